@@ -26,7 +26,7 @@ GMT_PLUS_ONE = "Etc/GMT-1"
 # Strict UTC text.
 UTC_TEXT_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 # Lab parameters whose text value is kept.
-TEXT_PARAMETERS = ("Färbung", "Trübung", "Geruch", "Bodensatz")
+TEXT_PARAMETERS = ("Farbe", "Trübung", "Geruch", "Bodensatz")
 # A plain decimal number (no 'd'/'f' suffix, no NaN/Infinity words).
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # Lab value: optional limit sign then a number.
@@ -138,9 +138,13 @@ def null_if_not_analysed(text: ColumnOrName) -> Column:
 
 # H-09 ----------------------------------------------------------------------
 def limit_comma_to_point(text: ColumnOrName) -> Column:
-    """First ',' becomes '.', but only in values carrying '<' or '>'."""
-    s = _c(text)
-    return F.when(s.rlike("[<>]"), F.regexp_replace(s, r"^([^,]*),", "$1.")).otherwise(s)
+    """First ',' becomes '.', but only in values carrying '<' or '>'.
+
+    One regular expression (a lookahead carries the '<'/'>' condition), so the
+    text is referenced once and the expression stays small when Catalyst
+    inlines it into pushed-down filters.
+    """
+    return F.regexp_replace(_c(text), r"^(?=.*[<>])([^,]*),", "$1.")
 
 
 # H-10 ----------------------------------------------------------------------
@@ -149,6 +153,7 @@ def lab_value(text: ColumnOrName, below_factor: float = 0.5) -> dict[str, Column
 
     '<x' -> x * below_factor and '<'; '>x' -> x and '>'; 'x' -> x and '';
     anything else (commas, words, '5d') -> NULL value and NULL sign.
+    Pass a column reference: the text is used several times.
     """
     s = _c(text)
     ok = F.coalesce(s.rlike(LAB_VALUE_PATTERN), F.lit(False))
@@ -158,6 +163,30 @@ def lab_value(text: ColumnOrName, below_factor: float = 0.5) -> dict[str, Column
     return {"numeric_value": value, "out_of_limit": sign}
 
 
+def with_lab_value(df, text_col: str, below_factor: float = 0.5, prefix: str = ""):
+    """DataFrame form of ``lab_value`` in stages (sign, number, value).
+
+    ``regexp_extract_all(...)[1]`` is NULL when the anchored pattern does not
+    match, so each part references the text once; this keeps generated code
+    small when Catalyst substitutes the stages into a pushed-down filter.
+    """
+    pat = LAB_VALUE_PATTERN
+    s = F.col(text_col)
+    staged = df.withColumns(
+        {
+            "__lv_sign": F.get(F.regexp_extract_all(s, F.lit(pat), 1), 0),
+            "__lv_num": F.get(F.regexp_extract_all(s, F.lit(pat), 2), 0).try_cast("double"),
+        }
+    )
+    sign, num = F.col("__lv_sign"), F.col("__lv_num")
+    return staged.withColumns(
+        {
+            f"{prefix}numeric_value": F.when(sign == "<", num * F.lit(below_factor)).otherwise(num),
+            f"{prefix}out_of_limit": sign,
+        }
+    ).drop("__lv_sign", "__lv_num")
+
+
 # H-11 ----------------------------------------------------------------------
 def micro_to_milli(unit: ColumnOrName, value: ColumnOrName) -> dict[str, Column]:
     """µg/l -> mg/l (value x 0.001); other units unchanged; NULL unit -> NULL."""
