@@ -129,7 +129,7 @@ def gather_with_meta(
         "file_name", F.col("sheet_name").alias("__ms"), "col_idx", F.col("value").alias("__field")
     )
     field_of = meta_cells.where(F.col("row_idx") > 1).join(
-        F.broadcast(meta_head), ["file_name", "col_idx"]
+        sized_broadcast(meta_head, broadcast_rows), ["file_name", "col_idx"]
     ).where(F.col("sheet_name") == F.col("__ms"))
     meta_rows = (
         field_of.groupBy("file_name", "row_idx")

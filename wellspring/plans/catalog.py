@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("queries", "queries_lab")
+_MODULES = ("queries", "queries_lab", "queries_cells")
 
 
 def _load() -> None:
