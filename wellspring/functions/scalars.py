@@ -304,8 +304,8 @@ def parameter_unit(parameter: ColumnOrName) -> Column:
 
 
 def depth_label(depth: ColumnOrName, sensor: ColumnOrName) -> Column:
-    """'<depth> m uGOK (<sensor>)'."""
-    return F.format_string("%s m uGOK (%s)", _c(depth).cast("string"), _c(sensor).cast("string"))
+    """'<depth> m uGOK (<sensor>)'; NULL when the depth is unknown."""
+    return F.concat(_c(depth).cast("string"), F.lit(" m uGOK ("), _c(sensor).cast("string"), F.lit(")"))
 
 
 # H-26 ------------------------------------------------------------------------
