@@ -81,19 +81,13 @@ def chain_series(long: DataFrame, metadata: DataFrame, well: int | None = None)
 
 
 # C-05 ----------------------------------------------------------------------------------
-def lab_archive_yearly(
-    long: DataFrame,
-    lookup_para: DataFrame,
-    parameters: DataFrame,
-    sites: DataFrame,
-    abstraction: DataFrame,
-    water_type: str | None = None,
+def archive_timeseries(
+    long: DataFrame, lookup_para: DataFrame, parameters: DataFrame, sites: DataFrame
 ) -> DataFrame:
-    """C-05: cleaned archive values -> parameter and site metadata -> yearly
-    mean per (parameter, waterworks, year) -> abstraction of that year.
+    """C-05 cleaning: values with a date, mapped parameters (inner), site
+    metadata (left), numeric value.
 
     ``long``: VariableName_org, DataValue, Datum/Probenahme, site_id.
-    ``abstraction``: werk, year, Foerdermenge_m3.
     """
     x = long.where(F.col("DataValue").isNotNull())
     date_cols = [c for c in ("Datum", "Probenahme") if c in x.columns]
@@ -101,7 +95,16 @@ def lab_archive_yearly(
     x = x.where(F.col("Date").isNotNull())
     x = J.add_parameter_metadata(x, lookup_para, parameters)
     x = J.add_site_metadata(x, sites)
-    x = x.withColumn("value", S.to_number("DataValue"))
+    return x.withColumn("value", S.to_number("DataValue"))
+
+
+def lab_archive_yearly(
+    timeseries: DataFrame, abstraction: DataFrame, water_type: str | None = None
+) -> DataFrame:
+    """C-05: yearly mean per (parameter, waterworks, year) of one water type,
+    joined with the abstraction of that year (``werk, year, ...``).  The
+    reference loops over parameters; here the parameter is a grouping key."""
+    x = timeseries
     if water_type is not None:
         x = x.where(F.col("prufgegenstand") == water_type)
     means = A.yearly_mean(x, ["para_kurzname", "werk"], "Date", "value", "mean_value")
@@ -171,6 +174,18 @@ def solver_long(data: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 # C-10 ----------------------------------------------------------------------------------------
+def survey_table(sheets: dict[str, DataFrame], plan: DataFrame) -> DataFrame:
+    """C-10: survey sheets with differing columns -> one table -> synonyms
+    remapped -> import plan right-joined -> dates parsed."""
+    x = R.union_fill(sheets, "sheet")
+    x = P.drop_empty_rows(x, [c for c in x.columns if c not in ("sheet", "ods_names_clean")])
+    x = P.drop_header_repeats(x, "datum", "Datum")
+    x = P.drop_missing(x, ["messstelle"])
+    x = P.remap_synonyms(x)
+    x = J.keyed_join(plan, x, ["ods_names_clean"], how="right", broadcast_rows=None)
+    return x.withColumn("datum", S.survey_date("datum"))
+
+
 def survey_sites(df: DataFrame, col: str = "messstelle") -> DataFrame:
     """C-10 tail (H-21 ... H-23): split the survey site text into object,
     borehole number / year, pipe, gallery and well id."""
