@@ -136,6 +136,13 @@ def null_if_not_analysed(text: ColumnOrName) -> Column:
     return F.when(~F.coalesce(s.rlike(NOT_ANALYSED_PATTERN), F.lit(False)), s)
 
 
+def blank_if_not_analysed(text: ColumnOrName) -> Column:
+    """H-08 in single-reference form: marked values become '' (then parse to
+    NULL).  Used inside the lab flow, where Catalyst may inline the text into
+    pushed-down filters."""
+    return F.regexp_replace(_c(text), r"^.*" + NOT_ANALYSED_PATTERN + r".*$", "")
+
+
 # H-09 ----------------------------------------------------------------------
 def limit_comma_to_point(text: ColumnOrName) -> Column:
     """First ',' becomes '.', but only in values carrying '<' or '>'.
@@ -179,11 +186,10 @@ def with_lab_value(df, text_col: str, below_factor: float = 0.5, prefix: str = "
         }
     )
     sign, num = F.col("__lv_sign"), F.col("__lv_num")
+    # number x factor: each input referenced once (see micro_to_milli)
+    factor = F.when(sign == "<", F.lit(below_factor)).otherwise(F.lit(1.0))
     return staged.withColumns(
-        {
-            f"{prefix}numeric_value": F.when(sign == "<", num * F.lit(below_factor)).otherwise(num),
-            f"{prefix}out_of_limit": sign,
-        }
+        {f"{prefix}numeric_value": num * factor, f"{prefix}out_of_limit": sign}
     ).drop("__lv_sign", "__lv_num")
 
 
@@ -192,9 +198,12 @@ def micro_to_milli(unit: ColumnOrName, value: ColumnOrName) -> dict[str, Column]
     """µg/l -> mg/l (value x 0.001); other units unchanged; NULL unit -> NULL."""
     u, v = _c(unit), _c(value)
     micro = u == F.lit("µg/l")
+    # value x factor (NULL factor for a NULL unit) references the value once,
+    # so inlining it into a pushed-down filter does not duplicate the parse.
+    factor = F.when(micro, F.lit(0.001)).when(u.isNotNull(), F.lit(1.0))
     return {
         "unit": F.when(micro, F.lit("mg/l")).otherwise(u),
-        "numeric_value": F.when(micro, v * F.lit(0.001)).when(u.isNotNull(), v),
+        "numeric_value": v * factor,
     }
 
 

@@ -1,9 +1,17 @@
 """Equi-joins with R's NULL rules.
 
 dplyr joins match NA with NA; Spark's ``=`` does not, so key comparisons use
-``<=>`` (still planned as hash / sort-merge equi-joins).  Lookups are
-broadcast only after their size has been checked; above the bound the join
-stays a shuffle join and AQE (skew-join on) re-plans at run time.
+``<=>`` (still planned as hash / sort-merge equi-joins).
+
+Broadcast policy -- every broadcast is behind a size check, with a shuffle
+join beyond it:
+* lookups read from tables (default): Catalyst's size estimate from the
+  files decides against ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+  re-decides with runtime sizes; no extra job;
+* derived lookups whose size Catalyst cannot estimate (``broadcast_rows=N``):
+  ``sized_broadcast`` counts at most N+1 rows and hints a broadcast only
+  below N.  Above either bound the join is a shuffle join, and AQE's skew
+  join splits hot keys on the large side.
 """
 
 from __future__ import annotations
@@ -35,12 +43,12 @@ def keyed_join(
     how: str = "left",
     columns: Sequence[str] | None = None,
     null_safe: bool = True,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join on (possibly differently named) keys; right keys are dropped.
 
     ``columns`` restricts the right side to those columns (projection
-    before the join).  ``broadcast_rows`` = None disables the broadcast check.
+    before the join).  ``broadcast_rows``: see the module docstring.
     """
     left_on = list(left_on)
     right_on = list(right_on or left_on)
@@ -65,7 +73,7 @@ def natural_join(
     right: DataFrame,
     how: str = "left",
     null_safe: bool = True,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """J-03: join on every common column name (dplyr's default ``by``)."""
     common = [c for c in left.columns if c in right.columns]

@@ -124,8 +124,7 @@ def clean_lab_values(long: DataFrame, labor: str = "BWB", below_factor: float =
 
     ``long`` carries par_name, unit_org and par_val_org (plus keys).
     """
-    x = long.withColumn("__par_val", S.null_if_not_analysed("par_val_org"))
-    x = x.withColumn("__par_val", S.limit_comma_to_point("__par_val"))
+    x = long.withColumn("__par_val", S.limit_comma_to_point(S.blank_if_not_analysed("par_val_org")))
     x = S.with_lab_value(x, "__par_val", below_factor).drop("__par_val")
     conv = S.micro_to_milli("unit_org", "numeric_value")
     x = x.withColumns({"unit": conv["unit"], "numeric_value": conv["numeric_value"]})

@@ -70,7 +70,8 @@ def lab_cells(t: Tables, n_header: int = 2, meta: bool = False) -> DataFrame:
 
 
 def _lab_cells(t: Tables, n_header: int, meta: bool) -> DataFrame:
-    vals = sheet_values(t)
+    # Five branches read the per-cell values: materialise them once.
+    vals = cut_lineage(sheet_values(t))
     first_body = n_header + 1 if not meta else 2
     row = F.col("l_orderkey") + first_body
     col = F.col("l_partkey") + FIRST_PART_COL

@@ -18,7 +18,9 @@ SOLVER_NAMES = ["Cl", "Na", "S(6)", "pH", "temp"]
 
 
 def f2(c) -> F.Column:
-    return F.format_string("%.2f", c)
+    """Two-decimal text of a value with at most two decimals (decimal cast:
+    exact here, and much cheaper than a formatter)."""
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)").cast("string")
 
 
 def comma(c) -> F.Column:
@@ -70,12 +72,12 @@ WITH base AS (
     CASE WHEN l_linenumber = 7 AND l_linestatus = 'O' THEN NULL WHEN l_returnflag = 'R' THEN 'µg/l'
          WHEN l_linenumber = 4 AND l_linestatus = 'F' THEN NULL ELSE 'mg/l' END AS unit_org,
     CASE l_linenumber
-      WHEN 1 THEN '<' || replace(printf('%.2f', l_discount), '.', ',')
-      WHEN 2 THEN CASE l_returnflag WHEN 'R' THEN 'n. b.' WHEN 'A' THEN 'n.a.' ELSE printf('%.2f', l_tax) END
-      WHEN 3 THEN '> ' || replace(printf('%.2f', l_tax), '.', ',')
-      WHEN 4 THEN printf('%.2f', l_quantity)
-      WHEN 5 THEN replace(printf('%.2f', l_extendedprice), '.', ',')
-      WHEN 6 THEN printf('%.2f', l_quantity) || 'd'
+      WHEN 1 THEN '<' || replace(CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
+      WHEN 2 THEN CASE l_returnflag WHEN 'R' THEN 'n. b.' WHEN 'A' THEN 'n.a.' ELSE CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR) END
+      WHEN 3 THEN '> ' || replace(CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
+      WHEN 4 THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)
+      WHEN 5 THEN replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
+      WHEN 6 THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) || 'd'
       ELSE CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'ohne' END END AS par_val_org
   FROM lineitem),
 v AS (SELECT *, CASE WHEN regexp_matches(par_val_org, 'n\.\s{{0,10}}(a|b)\.') THEN NULL ELSE par_val_org END AS v0 FROM base),
@@ -155,11 +157,11 @@ def lab_matrix_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["lab_matrix_long"] = """
 SELECT l_orderkey AS probe_nr, l_linenumber AS lfd, 'Cl' AS par_name, 'DIN 38405' AS method,
-       'Cl' AS par_name_phreeqc, 'mg/l' AS unit_org, printf('%.2f', l_quantity) AS par_val_org FROM lineitem
+       'Cl' AS par_name_phreeqc, 'mg/l' AS unit_org, CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS par_val_org FROM lineitem
 UNION ALL
-SELECT l_orderkey, l_linenumber, 'Na', 'ICP', 'Na', 'µg/l', printf('%.2f', l_extendedprice) FROM lineitem
+SELECT l_orderkey, l_linenumber, 'Na', 'ICP', 'Na', 'µg/l', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) FROM lineitem
 UNION ALL
-SELECT l_orderkey, l_linenumber, 'pH', '', 'pH', '', printf('%.2f', l_tax) FROM lineitem
+SELECT l_orderkey, l_linenumber, 'pH', '', 'pH', '', CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR) FROM lineitem
 UNION ALL
 SELECT l_orderkey, l_linenumber, 'Temp', 'x', NULL, NULL, l_returnflag FROM lineitem
 UNION ALL
@@ -234,20 +236,20 @@ k AS (SELECT probe_nr, 'S' || CAST(supp AS VARCHAR) AS messstelle, strftime(sd,
              q, d, tx, n, st, ep, qmin FROM g),
 long AS (
   SELECT probe_nr, messstelle, probenahme_datum, 'Cl' AS par_name, 'DIN 38405-1' AS method, 'Cl' AS par_name_phreeqc,
-         'mg/l' AS unit_org, printf('%.2f', q) AS par_val_org FROM k
+         'mg/l' AS unit_org, CAST(CAST(q AS DECIMAL(18,2)) AS VARCHAR) AS par_val_org FROM k
   UNION ALL
   SELECT probe_nr, messstelle, probenahme_datum, 'Na', 'ICP-MS', 'Na', 'µg/l',
-         CASE WHEN d < 0.05 THEN '<' || replace(printf('%.2f', d), '.', ',') ELSE printf('%.2f', d) END FROM k
+         CASE WHEN d < 0.05 THEN '<' || replace(CAST(CAST(d AS DECIMAL(18,2)) AS VARCHAR), '.', ',') ELSE CAST(CAST(d AS DECIMAL(18,2)) AS VARCHAR) END FROM k
   UNION ALL
-  SELECT probe_nr, messstelle, probenahme_datum, 'pH', 'DIN 38404', 'pH', '', printf('%.2f', tx * 100) FROM k
+  SELECT probe_nr, messstelle, probenahme_datum, 'pH', 'DIN 38404', 'pH', '', CAST(CAST(tx * 100 AS DECIMAL(18,2)) AS VARCHAR) FROM k
   UNION ALL
   SELECT probe_nr, messstelle, probenahme_datum, 'Geruch', 'sensorisch', '', '',
          CASE WHEN n > 4 THEN 'ohne' ELSE 'n. b.' END FROM k
   UNION ALL
   SELECT probe_nr, messstelle, probenahme_datum, 'SO4', 'IC', 'S(6)', 'mg/l',
-         CASE WHEN st = 'F' THEN 'n.a.' ELSE printf('%.2f', ep) END FROM k
+         CASE WHEN st = 'F' THEN 'n.a.' ELSE CAST(CAST(ep AS DECIMAL(18,2)) AS VARCHAR) END FROM k
   UNION ALL
-  SELECT probe_nr, messstelle, probenahme_datum, 'Temp', 'Feld', 'temp', '°C', printf('%.2f', qmin) FROM k),
+  SELECT probe_nr, messstelle, probenahme_datum, 'Temp', 'Feld', 'temp', '°C', CAST(CAST(qmin AS DECIMAL(18,2)) AS VARCHAR) FROM k),
 v AS (SELECT *, CASE WHEN regexp_matches(par_val_org, 'n\.\s{{0,10}}(a|b)\.') THEN NULL ELSE par_val_org END AS v0 FROM long),
 w AS (SELECT *, CASE WHEN regexp_matches(v0, '[<>]') THEN regexp_replace(v0, '^([^,]*),', '\1.') ELSE v0 END AS par_val FROM v),
 x AS (SELECT *, coalesce(regexp_matches(par_val, '{LAB_VALUE_SQL_PATTERN}'), false) AS ok FROM w),
@@ -315,8 +317,8 @@ WITH s AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS probe_nr, CAST(s_nationkey AS VARCHAR) AS messstelle,
          CAST(CAST(strptime(lpad(CAST(s_nationkey + 1 AS VARCHAR), 2, '0') || '.03.2021', '%d.%m.%Y') AS DATE) AS TIMESTAMP)
            AS probenahme_datum,
-         CASE WHEN s_acctbal < 0 THEN '<' || printf('%.2f', -s_acctbal) ELSE printf('%.2f', s_acctbal) END AS isotope_2h,
-         printf('%.2f', CAST(s_nationkey AS DOUBLE)) AS isotope_18o,
+         CASE WHEN s_acctbal < 0 THEN '<' || CAST(CAST(-s_acctbal AS DECIMAL(18,2)) AS VARCHAR) ELSE CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) END AS isotope_2h,
+         CAST(CAST(CAST(s_nationkey AS DOUBLE) AS DECIMAL(18,2)) AS VARCHAR) AS isotope_18o,
          ' ' || CAST(s_suppkey AS VARCHAR) AS cond_field
   FROM supplier),
 l AS (
