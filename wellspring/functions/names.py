@@ -31,7 +31,7 @@ def clean_name(name: str) -> str:
     """snake_case ASCII; 'x' before a leading digit; empty -> 'x'."""
     s = "".join(_UMLAUTS.get(ch, ch) for ch in str(name))
     s = unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii")
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
+    s = re.sub(r"([a-z])([A-Z])", r"\1_\2", s)
     s = re.sub(r"[^A-Za-z0-9]+", "_", s).strip("_").lower()
     if not s:
         s = "x"
