@@ -215,6 +215,17 @@ def local_plus_one_to_utc(text: ColumnOrName, fmt: str | None = None) -> Column:
     return F.convert_timezone(F.lit(GMT_PLUS_ONE), F.lit("UTC"), ntz)
 
 
+def utc_bound_as_local_plus_one(since_utc: str) -> str:
+    """A UTC bound expressed on the loggers' UTC+1 clock.  The offset is
+    constant (no daylight saving), so ``to_utc(local) >= since`` equals
+    ``local >= since + 1 h`` -- a predicate on the raw column that Catalyst
+    can push into the scan."""
+    import datetime as _dt
+
+    t = _dt.datetime.fromisoformat(str(since_utc)) + _dt.timedelta(hours=1)
+    return t.isoformat(sep=" ")
+
+
 def utc_to_local_plus_one(ts: ColumnOrName) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(GMT_PLUS_ONE), _c(ts).cast("timestamp_ntz"))
 

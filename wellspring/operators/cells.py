@@ -9,8 +9,9 @@ gathering and joining of any number of workbooks is one distributed job:
   aggregation (no pivot discovery job); small, broadcast after a size check;
 * body cells join the header on (file, sheet, col_idx) -- by position, so
   duplicate header names cannot fan out (Q-7);
-* kept columns (dates, sample ids) are pivoted per (file, sheet, row) with
-  an explicit name list and joined back on the row key.
+* kept columns (dates, sample ids) and value cells meet in one aggregation
+  per (file, sheet, row) -- bounded by the sheet width -- so attaching the
+  kept columns to every value costs a single shuffle of the body.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.names import clean_names, gather_ignore_pattern
+from ..session import cut_lineage
 from .joins import sized_broadcast
 
 SHEET = ("file_name", "sheet_name")
@@ -67,19 +69,55 @@ def header_metadata(cells: DataFrame, names: Sequence[str]) -> DataFrame:
     return meta.withColumn("key", S.header_key(list(names))).withColumn("site_id", S.site_id("sheet_name"))
 
 
-def _attach_kept(
-    body: DataFrame, kept_head: DataFrame, name_col: str, broadcast_rows: int
+def _gather_rows(
+    body: DataFrame,
+    columns: DataFrame,
+    name_col: str,
+    carry: Sequence[str],
+    keep_pattern: str,
+    broadcast_rows: int,
 ) -> tuple[DataFrame, list[str]]:
-    """R-06: kept cells as named columns per (file, sheet, row_idx).
-
-    Of several kept columns with the same name the leftmost wins.
+    """R-06 + gather in one shuffle.
+
+    ``columns`` has one row per (file, sheet, col_idx) with ``name_col`` and
+    the header columns to ``carry``.  Columns whose name matches
+    ``keep_pattern`` are kept (of duplicates the leftmost); all others are
+    gathered.  Body cells meet their column by a broadcast join (header
+    metadata is small and size-checked), then one aggregation per sheet row
+    -- a row has at most sheet-width cells -- builds the kept values as a map
+    and the value cells as a list, which is exploded back to one row per value.
+    Returns the long rows and the kept names.
     """
-    first = kept_head.groupBy(*SHEET, name_col).agg(F.min("col_idx").alias("col_idx"))
+    is_kept = F.coalesce(F.col(name_col).rlike(keep_pattern), F.lit(False))
+    first = columns.where(is_kept).groupBy(*SHEET, name_col).agg(F.min("col_idx").alias("__first"))
     kept_names = sorted(r[0] for r in first.select(name_col).distinct().collect() if r[0] is not None)
-    first_b = sized_broadcast(first, broadcast_rows)
-    kept_cells = body.join(first_b, [*SHEET, "col_idx"], "inner")
-    kept_rows = kept_cells.groupBy(*SHEET, "row_idx").pivot(name_col, kept_names).agg(F.first("value"))
-    return kept_rows, kept_names
+    roles = (
+        columns.join(first, [*SHEET, name_col], "left")
+        .withColumn(
+            "__role",
+            F.when(~is_kept, F.lit("v")).when(F.col("col_idx") == F.col("__first"), F.lit("k")),
+        )
+        .where(F.col("__role").isNotNull())
+        .drop("__first")
+    )
+    cells = body.join(sized_broadcast(roles, broadcast_rows), [*SHEET, "col_idx"], "inner")
+    value_struct = F.struct(
+        F.col("col_idx"), F.col("value").alias("DataValue"), F.col(name_col), *[F.col(c) for c in carry]
+    )
+    per_row = cells.groupBy(*SHEET, "row_idx").agg(
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("__role") == "k", F.struct(F.col(name_col), F.col("value"))))
+        ).alias("__kept"),
+        F.collect_list(F.when(F.col("__role") == "v", value_struct)).alias("__vals"),
+    )
+    long = per_row.select(*SHEET, "row_idx", "__kept", F.explode("__vals").alias("__v"))
+    long = long.select(
+        *[F.try_element_at("__kept", F.lit(k)).alias(k) for k in kept_names],
+        *SHEET,
+        "row_idx",
+        "__v.*",
+    )
+    return long, kept_names
 
 
 def gather_with_header(
@@ -91,22 +129,17 @@ def gather_with_header(
     """R-03 / R-04 (header-2 / header-4 sheets) -> long table.
 
     Output: kept columns, ``key``, ``DataValue``, header columns,
-    ``file_name``, ``sheet_name``, ``site_id``.
+    ``file_name``, ``sheet_name``, ``site_id``, ``row_idx``, ``col_idx``.
     """
     keep_pattern = keep_pattern or gather_ignore_pattern()
     n = len(header_names)
-    meta = header_metadata(cells, header_names)
-    meta_b = sized_broadcast(meta, broadcast_rows)
+    # One pass over the header rows, materialised: every later step (size
+    # check, kept names, broadcast) reads this small table, not the cells.
+    meta = cut_lineage(header_metadata(cells, header_names))
     body = cells.where(F.col("row_idx") > n)
-    is_kept = F.coalesce(F.col("key").rlike(keep_pattern), F.lit(False))
-    kept_rows, kept_names = _attach_kept(body, meta.where(is_kept), "key", broadcast_rows)
-    values = (
-        body.join(meta_b.where(~is_kept), [*SHEET, "col_idx"], "inner")
-        .withColumnRenamed("value", "DataValue")
-    )
-    out = values.join(kept_rows, [*SHEET, "row_idx"], "left")
-    return out.select(
-        *kept_names, "key", "DataValue", *header_names, *SHEET, "site_id", "row_idx", "col_idx"
+    long, kept = _gather_rows(body, meta, "key", [*header_names, "site_id"], keep_pattern, broadcast_rows)
+    return long.select(
+        *kept, "key", "DataValue", *header_names, *SHEET, "site_id", "row_idx", "col_idx"
     )
 
 
@@ -143,19 +176,16 @@ def gather_with_meta(
     )
     data = cells.where(~is_meta)
     names = data.where(F.col("row_idx") == 1).select(*SHEET, "col_idx", F.col("value").alias("OriginalName"))
-    described = names.join(
-        meta_rows.withColumnRenamed("Sheet", "sheet_name"), ["file_name", "sheet_name", "OriginalName"], "inner"
-    ).withColumn("VariableName_org", F.col("Name"))
-    described_b = sized_broadcast(described, broadcast_rows)
-    body = data.where(F.col("row_idx") > 1)
-    is_kept = F.coalesce(F.col("Name").rlike(keep_pattern), F.lit(False))
-    kept_rows, kept_names = _attach_kept(body, described.where(is_kept), "Name", broadcast_rows)
-    values = body.join(described_b.where(~is_kept), [*SHEET, "col_idx"], "inner").withColumnRenamed(
-        "value", "DataValue"
+    described = cut_lineage(
+        names.join(
+            meta_rows.withColumnRenamed("Sheet", "sheet_name"), ["file_name", "sheet_name", "OriginalName"], "inner"
+        )
     )
-    out = values.join(kept_rows, [*SHEET, "row_idx"], "left")
-    return out.select(
-        *kept_names, "VariableName_org", "DataValue", "OriginalName", "Name", *SHEET, "row_idx", "col_idx"
+    body = data.where(F.col("row_idx") > 1)
+    long, kept = _gather_rows(body, described, "Name", ["OriginalName"], keep_pattern, broadcast_rows)
+    return long.select(
+        *kept, F.col("Name").alias("VariableName_org"), "DataValue", "OriginalName", "Name", *SHEET,
+        "row_idx", "col_idx",
     )
 
 

@@ -114,10 +114,10 @@ INSTALLATION_UTC = "2024-01-15 00:00:00"
 
 @register("since_installation")
 def since_installation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sensor_series(Tables(spark, sf_dir)).withColumn(
-        "datum_uhrzeit", S.local_plus_one_to_utc("datum_uhrzeit")
-    )
-    return P.remove_before(s, "datum_uhrzeit", INSTALLATION_UTC)
+    # Filter on the raw UTC+1 column (pushed into the parquet scan), then convert.
+    s = sensor_series(Tables(spark, sf_dir))
+    s = P.remove_before(s, "datum_uhrzeit", S.utc_bound_as_local_plus_one(INSTALLATION_UTC))
+    return s.withColumn("datum_uhrzeit", S.local_plus_one_to_utc("datum_uhrzeit"))
 
 
 # --- P-14 ---------------------------------------------------------------------------------------
