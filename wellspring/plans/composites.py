@@ -80,6 +80,38 @@ def chain_series(long: DataFrame, metadata: DataFrame, well: int | None = None)
     )
 
 
+# C-04 ----------------------------------------------------------------------------------
+def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None = None) -> DataFrame:
+    """C-04: lab archive import by layout, for any number of workbooks.
+
+    Per file: a META sheet -> header-1 reader; else a sheet starting with a
+    site code -> header-2 reader; files on the explicit ``header4_files``
+    list use the header-4 reader (Q-13: never chosen automatically); files
+    of no layout are left out (reported by ``cells.sheet_layouts``).  The
+    branches are one table (``rbindlist(fill=TRUE)``) with a ``layout`` column.
+    """
+    from ..operators import cells as CL
+    from ..session import cut_lineage
+
+    layouts = cut_lineage(CL.sheet_layouts(cells).select("file_name", "layout"))
+    h4 = F.col("file_name").isin(list(header4_files)) if header4_files else F.lit(False)
+    choice = layouts.select(
+        "file_name",
+        F.when(h4, F.lit("header4")).otherwise(F.col("layout")).alias("layout"),
+    )
+
+    def files_of(layout: str) -> DataFrame:
+        return cells.join(F.broadcast(choice.where(F.col("layout") == layout)), "file_name", "left_semi")
+
+    site_sheets = F.col("sheet_name").rlike(S.SITE_ID_PATTERN)
+    parts = {
+        "header1": CL.gather_with_meta(files_of("header1"), keep_pattern=keep_pattern),
+        "header2": CL.gather_with_header(files_of("header2").where(site_sheets), CL.HEADER_2, keep_pattern),
+        "header4": CL.gather_with_header(files_of("header4").where(site_sheets), CL.HEADER_4, keep_pattern),
+    }
+    return R.union_fill(parts, "layout")
+
+
 # C-05 ----------------------------------------------------------------------------------
 def archive_timeseries(
     long: DataFrame, lookup_para: DataFrame, parameters: DataFrame, sites: DataFrame

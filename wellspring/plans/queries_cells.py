@@ -21,6 +21,7 @@ from ..operators import joins as J
 from ..operators import quality as Q
 from ..session import cut_lineage
 from ..tables import Tables
+from . import composites as C
 from .oracle import ORACLE
 from .queries import register, ts
 
@@ -69,9 +70,10 @@ def lab_cells(t: Tables, n_header: int = 2, meta: bool = False) -> DataFrame:
     return cut_lineage(_lab_cells(t, n_header, meta))
 
 
-def _lab_cells(t: Tables, n_header: int, meta: bool) -> DataFrame:
+def _lab_cells(t: Tables, n_header: int, meta: bool, vals: DataFrame | None = None) -> DataFrame:
     # Five branches read the per-cell values: materialise them once.
-    vals = cut_lineage(sheet_values(t))
+    if vals is None:
+        vals = cut_lineage(sheet_values(t))
     first_body = n_header + 1 if not meta else 2
     row = F.col("l_orderkey") + first_body
     col = F.col("l_partkey") + FIRST_PART_COL
@@ -324,3 +326,52 @@ FROM p JOIN part ON l_partkey = p_partkey
 """
 
 __all__ = ["ts"]
+
+
+# --- C-04: archive of mixed layouts -------------------------------------------------------------
+ARCHIVE_LAYOUTS = {"R": ("meta", 0), "A": ("header", 2), "N": ("header", 4)}
+
+
+def archive_cells(t: Tables) -> DataFrame:
+    """One archive: lab_R as a META (header-1) workbook, lab_A with 2 and
+    lab_N with 4 header rows -- each workbook built from its own lines."""
+    vals = cut_lineage(sheet_values(t))
+    parts = [
+        _lab_cells(t, n or 1, kind == "meta", vals.where(F.col("file_name") == f"lab_{flag}.xlsx"))
+        for flag, (kind, n) in ARCHIVE_LAYOUTS.items()
+    ]
+    return cut_lineage(_union(parts))
+
+
+@register("archive_import")
+def archive_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.read_archive(archive_cells(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"])
+
+
+ORACLE["archive_import"] = "WITH " + _B + """
+, x AS (SELECT b.*, strftime(o_orderdate, '%Y-%m-%d') AS Datum, CAST(l_orderkey AS VARCHAR) AS Probe_Nr,
+               p_name, p_type, p_brand, p_size
+        FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)
+SELECT Datum, Probe_Nr, 'p' || CAST(l_partkey AS VARCHAR) AS VariableName_org, CAST(CAST(q AS DECIMAL(18,2)) AS VARCHAR) AS DataValue,
+       'P' || CAST(l_partkey AS VARCHAR) || ' ' || p_name AS OriginalName, 'p' || CAST(l_partkey AS VARCHAR) AS Name,
+       file_name, sheet_name, CAST(l_orderkey + 2 AS BIGINT) AS row_idx, CAST(l_partkey + 3 AS BIGINT) AS col_idx,
+       'header1' AS layout
+FROM x WHERE file_name = 'lab_R.xlsx'
+UNION ALL BY NAME
+SELECT Datum, Probe_Nr, p_name || CASE WHEN p_size >= 5 THEN '@' || p_brand ELSE '' END AS "key",
+       CAST(CAST(q AS DECIMAL(18,2)) AS VARCHAR) AS DataValue, p_name AS VariableName_org,
+       CASE WHEN p_size >= 5 THEN p_brand END AS UnitName_org, file_name, sheet_name,
+       CAST(s_nationkey AS DOUBLE) AS site_id, CAST(l_orderkey + 3 AS BIGINT) AS row_idx,
+       CAST(l_partkey + 3 AS BIGINT) AS col_idx, 'header2' AS layout
+FROM x WHERE file_name = 'lab_A.xlsx'
+UNION ALL BY NAME
+SELECT Datum, Probe_Nr,
+       p_name || '@' || p_type || '@' || coalesce(CASE WHEN p_size >= 5 THEN p_brand END, 'NA') || '@'
+         || coalesce(CASE WHEN p_size > 40 THEN CAST(p_size AS VARCHAR) END, 'NA') AS "key",
+       CAST(CAST(q AS DECIMAL(18,2)) AS VARCHAR) AS DataValue, p_name AS VariableName_org, p_type AS Method,
+       CASE WHEN p_size >= 5 THEN p_brand END AS UnitName_org,
+       CASE WHEN p_size > 40 THEN CAST(p_size AS VARCHAR) END AS Limit_TrinkWV,
+       file_name, sheet_name, CAST(s_nationkey AS DOUBLE) AS site_id, CAST(l_orderkey + 5 AS BIGINT) AS row_idx,
+       CAST(l_partkey + 3 AS BIGINT) AS col_idx, 'header4' AS layout
+FROM x WHERE file_name = 'lab_N.xlsx'
+"""
