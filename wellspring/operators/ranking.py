@@ -30,13 +30,6 @@ _PID, _RID, _TIE = "__pid", "__rid", "__tie"
 _FIRST, _OFFSET, _BLOCK_N, _GROUP_N = "__first", "__offset", "__block_n", "__group_n"
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return num_partitions

@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import scalars as S
 
@@ -42,7 +41,7 @@ def to_wide(
 ) -> DataFrame:
     """R-11: one row per key, one column per name (explicit list, no extra
     job to discover values).  (key, name) must be unique; see
-    ``quality.duplicate_keys``."""
+    ``quality.duplicated_samples``."""
     return df.groupBy(*keys).pivot(name_col, list(names)).agg(F.first(value_col))
 
 
@@ -142,6 +141,3 @@ def wide_to_long_matching(
     vals = [c for c in df.columns if re.search(pattern, c) and c not in ids]
     return to_long(df, ids, vals, name_col, value_col, value_type)
 
-
-def wide_schema(keys: Sequence[T.StructField], names: Sequence[str]) -> T.StructType:
-    return T.StructType(list(keys) + [T.StructField(n, T.DoubleType()) for n in names])

@@ -23,9 +23,8 @@ from ..session import cut_lineage
 from ..tables import Tables
 from . import composites as C
 from .oracle import ORACLE
-from .queries import register, ts
+from .queries import register
 
-CELL_SCHEMA_COLS = ("file_name", "sheet_name", "row_idx", "col_idx", "value")
 FIRST_PART_COL = 3  # columns 1 and 2 hold the date and the sample id
 
 
@@ -325,7 +324,6 @@ SELECT file_name, sheet_name, CAST(l_partkey + 3 AS BIGINT) AS col_idx,
 FROM p JOIN part ON l_partkey = p_partkey
 """
 
-__all__ = ["ts"]
 
 
 # --- C-04: archive of mixed layouts -------------------------------------------------------------

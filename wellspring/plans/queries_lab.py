@@ -11,7 +11,7 @@ from ..operators import reshape as R
 from ..tables import Tables
 from . import composites as C
 from .oracle import ORACLE
-from .queries import dbl, r6, register, ts
+from .queries import r6, register, ts
 
 LAB_VALUE_SQL_PATTERN = r"^\s*([<>]?)\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 SOLVER_NAMES = ["Cl", "Na", "S(6)", "pH", "temp"]
@@ -355,4 +355,3 @@ SELECT CAST(o_orderkey AS VARCHAR) AS probe_nr, 'preis' AS par_name, CAST(o_tota
        o_orderpriority FROM orders
 """
 
-__all__ = ["dbl"]

@@ -6,7 +6,7 @@ against the schema (``enforceSchema=false``).
 
 from __future__ import annotations
 
-import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
-from ..functions.names import clean_name
 
 # --- schemas of the reference's machine files ------------------------------------
 SENSOR_METADATA_SCHEMA = T.StructType(
@@ -108,8 +107,6 @@ def read_sensor_files(spark: SparkSession, paths: str | Sequence[str], root: str
 
 
 def _re_escape(s: str) -> str:
-    import re
-
     return re.escape(s)
 
 
@@ -184,14 +181,3 @@ def newest_files(files: DataFrame, time_col: str = "modificationTime") -> DataFr
 
     return latest_rows(files, time_col)
 
-
-def write_scratch_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).csv(path)
-    return path
-
-
-def path_join(*parts: str) -> str:
-    return os.path.join(*parts)
-
-
-__all__ = ["clean_name"]
