@@ -30,12 +30,6 @@ _PID, _RID, _TIE = "__pid", "__rid", "__tie"
 _FIRST, _OFFSET, _BLOCK_N, _GROUP_N = "__first", "__offset", "__block_n", "__group_n"
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _sorted_blocks(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -52,9 +46,15 @@ def _sorted_blocks(
     sort_keys = [F.col(g).asc_nulls_last() for g in group_cols]
     sort_keys += order_exprs
     sort_keys.append(F.col(_TIE).asc())
+    # Without an explicit count AQE may coalesce adjacent ranges (small
+    # inputs); merged ranges stay in key order, so the stamps remain valid.
+    ranged = (
+        stamped.repartitionByRange(num_partitions, *sort_keys)
+        if num_partitions
+        else stamped.repartitionByRange(*sort_keys)
+    )
     laid_out = (
-        stamped.repartitionByRange(_partitions(df, num_partitions), *sort_keys)
-        .sortWithinPartitions(*sort_keys)
+        ranged.sortWithinPartitions(*sort_keys)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_RID, F.monotonically_increasing_id())
     )
