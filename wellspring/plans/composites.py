@@ -19,6 +19,7 @@ from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
 from ..operators import stats as A
+from ..session import cut_lineage
 
 SENSOR_VALUE_COLUMNS = ("Leitfaehigkeit", "Temperatur")
 CONDUCTIVITY_LIMIT = 20000.0  # µS/cm; higher readings are sensor faults
@@ -91,7 +92,6 @@ def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None =
     branches are one table (``rbindlist(fill=TRUE)``) with a ``layout`` column.
     """
     from ..operators import cells as CL
-    from ..session import cut_lineage
 
     layouts = cut_lineage(CL.sheet_layouts(cells).select("file_name", "layout"))
     h4 = F.col("file_name").isin(list(header4_files)) if header4_files else F.lit(False)
@@ -167,7 +167,9 @@ def clean_lab_values(long: DataFrame, labor: str = "BWB", below_factor: float =
 
 def lab_table(wide: DataFrame, sample_col: str = "probe_nr", labor: str = "BWB") -> DataFrame:
     """C-07: lab matrix (key columns without '@', values 'name@method@phreeqc@unit')
-    -> checked, long, cleaned."""
+    -> checked, long, cleaned.  The matrix is materialised once: the duplicate
+    check (an action) and the rest of the flow read the same table."""
+    wide = cut_lineage(wide)
     Q.check(Q.duplicated_samples(wide, [sample_col]), "duplicated samples")
     return clean_lab_values(R.lab_matrix_long(wide), labor)
 
@@ -187,8 +189,12 @@ def isotopes_long(wide: DataFrame, date_format: str = "dd.MM.yyyy") -> DataFrame
 
 # C-09 --------------------------------------------------------------------------------------
 def solver_data(lab: DataFrame) -> DataFrame:
-    """``get_phreeqc_data``: rows with a solver name; units must be mg/l."""
-    dat = P.keep_text(lab, "par_name_phreeqc")
+    """``get_phreeqc_data``: rows with a solver name; units must be mg/l.
+    Materialised once, so the unit check and the solver input share one
+    evaluation of the lab flow."""
+    dat = cut_lineage(
+        P.keep_text(lab, "par_name_phreeqc").select("probe_nr", "par_name_phreeqc", "unit", "numeric_value")
+    )
     Q.check(Q.unit_violations(dat), "units other than mg/l")
     return dat.select("probe_nr", "par_name_phreeqc", "numeric_value")
 
