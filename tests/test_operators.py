@@ -212,3 +212,14 @@ def test_sinks_and_sources_roundtrip(spark):
     assert SR.read_accumulated(spark, root + "/nothing").count() == 0
     g = K.write_german_csv(spark.createDataFrame([(1, 2.5)], "k int, v double"), root + "/de")
     assert spark.read.option("header", True).option("sep", ";").csv(g).first().v == "2,50"
+
+
+def test_sensor_csv_sink_gzip(spark):
+    long = spark.createDataFrame(
+        [("f", 1, dt.datetime(2020, 1, 1, 10), "Temperatur", 1.5)], SR.SENSOR_LONG_SCHEMA
+    )
+    path = K.write_sensor_data(long, scratch_path(spark, "test-csv"), fmt="csv")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").collect()
+    assert any(r.path.endswith(".csv.gz") for r in files)
+    back = spark.read.option("header", True).csv(path).first()
+    assert (back.parameter, float(back.messwert)) == ("Temperatur", 1.5)
