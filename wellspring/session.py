@@ -85,4 +85,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no footer-inference job on read-back.
+    return spark.read.schema(df.schema).parquet(path)
