@@ -26,6 +26,7 @@ from .oracle import ORACLE
 from .queries import register
 
 FIRST_PART_COL = 3  # columns 1 and 2 hold the date and the sample id
+CELL_COLS = ("file_name", "sheet_name", "row_idx", "col_idx", "value")
 
 
 def _cell(df: DataFrame, row, col, value) -> DataFrame:
@@ -70,32 +71,50 @@ def lab_cells(t: Tables, n_header: int = 2, meta: bool = False) -> DataFrame:
 
 
 def _lab_cells(t: Tables, n_header: int, meta: bool, vals: DataFrame | None = None) -> DataFrame:
-    # Five union branches read the per-cell values; Spark reuses the one
+    # Several branches read the per-cell values; Spark reuses the one
     # aggregation exchange for all of them (measured faster than a cut here).
     if vals is None:
         vals = sheet_values(t)
     first_body = n_header + 1 if not meta else 2
-    row = F.col("l_orderkey") + first_body
-    col = F.col("l_partkey") + FIRST_PART_COL
-    body = _cell(vals, row, col, F.format_string("%.2f", "q"))
+    row = (F.col("l_orderkey") + first_body).cast("long")
+    col = (F.col("l_partkey") + FIRST_PART_COL).cast("long")
+    # two-decimal text of the (integral) summed quantity
+    body = _cell(vals, row, col, F.col("q").cast("decimal(18,2)").cast("string"))
     rows = J.keyed_join(
         vals.select("file_name", "sheet_name", "l_orderkey").distinct(),
-        t.orders.select("o_orderkey", "o_orderdate"), ["l_orderkey"], ["o_orderkey"], broadcast_rows=None,
+        t.orders.select("o_orderkey", "o_orderdate"), ["l_orderkey"], ["o_orderkey"],
     )
-    kept_body = [
-        _cell(rows, row, 1, F.date_format("o_orderdate", "yyyy-MM-dd")),
-        _cell(rows, row, 2, F.col("l_orderkey").cast("string")),
-    ]
+    # kept cells of a row (date, sample id) in one pass: one struct per cell
+    kept_body = rows.select(
+        "file_name", "sheet_name", row.alias("row_idx"),
+        F.inline(F.array(
+            F.struct(F.lit(1).cast("long").alias("col_idx"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("value")),
+            F.struct(F.lit(2).cast("long").alias("col_idx"), F.col("l_orderkey").cast("string").alias("value")),
+        )),
+    ).select(*CELL_COLS)
     sheets = vals.select("file_name", "sheet_name").distinct()
     parts = J.keyed_join(
         vals.select("file_name", "sheet_name", "l_partkey").distinct(),
         t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), ["l_partkey"], ["p_partkey"],
     )
     if not meta:
-        head = [_cell(sheets, 1, 1, "Datum"), _cell(sheets, 1, 2, "Probe_Nr")]
-        for i, v in enumerate(_part_header_values(parts, n_header)):
-            head.append(_cell(parts.where(v.isNotNull()), i + 1, col, v))
-        return _union([*head, *kept_body, body])
+        kept_head = sheets.select(
+            "file_name", "sheet_name",
+            F.inline(F.array(*[
+                F.struct(F.lit(1).cast("long").alias("row_idx"), F.lit(c).cast("long").alias("col_idx"),
+                         F.lit(name).alias("value"))
+                for c, name in ((1, "Datum"), (2, "Probe_Nr"))
+            ])),
+        ).select(*CELL_COLS)
+        # all header rows of a column in one pass; empty header cells are absent
+        part_head = parts.select(
+            "file_name", "sheet_name", col.alias("col_idx"),
+            F.inline(F.array(*[
+                F.struct(F.lit(i + 1).cast("long").alias("row_idx"), v.cast("string").alias("value"))
+                for i, v in enumerate(_part_header_values(parts, n_header))
+            ])),
+        ).where(F.col("value").isNotNull()).select(*CELL_COLS)
+        return _union([kept_head, part_head, kept_body, body])
 
     original = F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit(" "), F.col("p_name"))
     clean = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
@@ -104,6 +123,7 @@ def _lab_cells(t: Tables, n_header: int, meta: bool, vals: DataFrame | None = No
         _cell(sheets, 1, 2, "Probe_Nr"),
         _cell(parts, 1, col, original),
     ]
+    kept_body = [kept_body]
     # META sheet per file: header row, then (Sheet, OriginalName, Name) rows.
     files = vals.select("file_name").distinct().withColumn("sheet_name", F.lit("META"))
     meta_cells = [_cell(files, 1, i + 1, name) for i, name in enumerate(("Sheet", "OriginalName", "Name"))]
