@@ -100,22 +100,31 @@ def _gather_rows(
         .where(F.col("__role").isNotNull())
         .drop("__first")
     )
-    cells = body.join(sized_broadcast(roles, broadcast_rows), [*SHEET, "col_idx"], "inner")
-    value_struct = F.struct(
-        F.col("col_idx"), F.col("value").alias("DataValue"), F.col(name_col), *[F.col(c) for c in carry]
-    )
+    roles_b = sized_broadcast(roles, broadcast_rows)
+    cells = body.join(roles_b.select(*SHEET, "col_idx", name_col, "__role"), [*SHEET, "col_idx"], "inner")
+    # Only (column, value) travels through the row shuffle; the header
+    # columns are re-attached after the explode by the same broadcast.
     per_row = cells.groupBy(*SHEET, "row_idx").agg(
         F.map_from_entries(
             F.collect_list(F.when(F.col("__role") == "k", F.struct(F.col(name_col), F.col("value"))))
         ).alias("__kept"),
-        F.collect_list(F.when(F.col("__role") == "v", value_struct)).alias("__vals"),
+        F.collect_list(
+            F.when(F.col("__role") == "v", F.struct(F.col("col_idx"), F.col("value").alias("DataValue")))
+        ).alias("__vals"),
+    )
+    long = per_row.select(*SHEET, "row_idx", "__kept", F.explode("__vals").alias("__v")).select(
+        *SHEET, "row_idx", "__kept", "__v.col_idx", "__v.DataValue"
     )
-    long = per_row.select(*SHEET, "row_idx", "__kept", F.explode("__vals").alias("__v"))
+    header = roles_b.where(F.col("__role") == "v").select(*SHEET, "col_idx", name_col, *carry)
+    long = long.join(header, [*SHEET, "col_idx"], "inner")
     long = long.select(
         *[F.try_element_at("__kept", F.lit(k)).alias(k) for k in kept_names],
         *SHEET,
         "row_idx",
-        "__v.*",
+        "col_idx",
+        "DataValue",
+        name_col,
+        *carry,
     )
     return long, kept_names
 
