@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.names import clean_names, gather_ignore_pattern
 from ..session import cut_lineage
-from .joins import sized_broadcast
+from .joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 SHEET = ("file_name", "sheet_name")
 CELL_COLUMNS = ("file_name", "sheet_name", "row_idx", "col_idx", "value")
@@ -133,7 +133,7 @@ def gather_with_header(
     cells: DataFrame,
     header_names: Sequence[str] = HEADER_2,
     keep_pattern: str | None = None,
-    broadcast_rows: int = 1_000_000,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """R-03 / R-04 (header-2 / header-4 sheets) -> long table.
 
@@ -156,7 +156,7 @@ def gather_with_meta(
     cells: DataFrame,
     meta_pattern: str = META_SHEET_PATTERN,
     keep_pattern: str | None = None,
-    broadcast_rows: int = 1_000_000,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """R-02 / J-07: header-1 sheets described by a META sheet.
 

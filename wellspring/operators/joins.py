@@ -21,7 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookups up to this many rows are broadcast (a few MB for narrow tables).
+# Derived lookups up to this many rows are broadcast: ~20 MB at ~100 bytes a
+# row, small enough to ship to every executor of a large cluster.
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
