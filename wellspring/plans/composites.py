@@ -101,7 +101,8 @@ def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None =
     )
 
     def files_of(layout: str) -> DataFrame:
-        return cells.join(F.broadcast(choice.where(F.col("layout") == layout)), "file_name", "left_semi")
+        # one row per workbook: broadcast only below the checked bound
+        return cells.join(J.sized_broadcast(choice.where(F.col("layout") == layout)), "file_name", "left_semi")
 
     site_sheets = F.col("sheet_name").rlike(S.SITE_ID_PATTERN)
     parts = {
