@@ -223,3 +223,24 @@ def test_sensor_csv_sink_gzip(spark):
     assert any(r.path.endswith(".csv.gz") for r in files)
     back = spark.read.option("header", True).csv(path).first()
     assert (back.parameter, float(back.messwert)) == ("Temperatur", 1.5)
+
+
+def test_set_ops_and_distinct_labels(spark):
+    a = spark.createDataFrame([("p1",), ("p2",), ("p2",)], "f string")
+    b = spark.createDataFrame([("p2",), ("p3",)], "f string")
+    assert [r.f for r in R.set_difference(a, b).collect()] == ["p1"]
+    assert [r.f for r in R.set_intersection(a, b).collect()] == ["p2"]
+    units = spark.createDataFrame([("Cl", "mg/l"), ("Cl", "µg/l"), ("Cl", "mg/l"), ("Cl", None), ("Na", None)],
+                                  "p string, u string")
+    n = {r.p: r.n for r in A.count_distinct_by(units, ["p"], "u", "n").collect()}
+    txt = {r.p: r.units for r in A.joined_distinct_text(units, ["p"], "u", "units").collect()}
+    assert n == {"Cl": 2} and txt == {"Cl": "mg/l, µg/l"}
+
+
+def test_transform_hook_and_require_rows(spark):
+    df = spark.createDataFrame([(None, 5.0)], "lf double, el_lf double")
+    # SURVEY §2.12: any DataFrame -> DataFrame callable plugs into df.transform
+    out = df.transform(P.remap_synonyms).transform(P.with_constants, {"labor": "BWB"}).first()
+    assert (out.lf, out.labor) == (5.0, "BWB")
+    with pytest.raises(Q.QualityError):
+        Q.require_rows(df.where("false"), "lookup")
