@@ -22,17 +22,43 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for ~100 TB inputs on a large cluster (profile="cluster").  The
+# initial shuffle width is generous (about 100 TB / 2 GB per partition ... /
+# 200 MB), AQE coalesces it towards 256 MB per partition; scans split at
+# 256 MB; partitions 5x above the median and above 512 MB count as skewed
+# and are split by the skew join; broadcasts stay below 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "50000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 20),
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def get_session(
     app_name: str = "wellspring",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra_conf: dict | None = None,
+    profile: str = "local",
 ) -> SparkSession:
-    """Build (or reuse) a session with AQE, UTC and ANSI mode switched on."""
+    """Build (or reuse) a session with AQE, UTC and ANSI mode switched on.
+
+    ``profile="cluster"`` adds ``CLUSTER_CONF`` (partition and broadcast
+    sizing for ~100 TB inputs); settings given by the cluster still win
+    where a session already exists.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
