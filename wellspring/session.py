@@ -23,10 +23,10 @@ DEFAULT_CONF = {
 
 
 # Sizing for ~100 TB inputs on a large cluster (profile="cluster").  The
-# initial shuffle width is generous (about 100 TB / 2 GB per partition ... /
-# 200 MB), AQE coalesces it towards 256 MB per partition; scans split at
-# 256 MB; partitions 5x above the median and above 512 MB count as skewed
-# and are split by the skew join; broadcasts stay below 64 MB.
+# initial shuffle width of 50 000 is about 100 TB / 2 GB; AQE coalesces it
+# towards 256 MB per partition.  Scans split at 256 MB; partitions 5x above
+# the median and above 512 MB count as skewed and are split by the skew
+# join; broadcasts stay below 64 MB.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "50000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
