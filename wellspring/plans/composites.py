@@ -158,10 +158,16 @@ def clean_lab_values(long: DataFrame, labor: str = "BWB", below_factor: float =
     ``long`` carries par_name, unit_org and par_val_org (plus keys).
     """
     x = long.withColumn("__par_val", S.limit_comma_to_point(S.blank_if_not_analysed("par_val_org")))
+    # P-15 in its cheapest equivalent form: a number exists exactly when the
+    # unit is known and the cleaned text matches the lab-value pattern (the
+    # factors are never NULL, the matched number always casts).  Catalyst
+    # pushes this filter towards the scan, so it is one regex, not the parse.
+    is_text = F.coalesce(F.col("par_name").isin(list(S.TEXT_PARAMETERS)), F.lit(False))
+    has_number = F.col("unit_org").isNotNull() & F.coalesce(F.col("__par_val").rlike(S.LAB_VALUE_PATTERN), F.lit(False))
+    x = x.where((is_text & F.col("par_val_org").isNotNull()) | (~is_text & has_number))
     x = S.with_lab_value(x, "__par_val", below_factor).drop("__par_val")
     conv = S.micro_to_milli("unit_org", "numeric_value")
     x = x.withColumns({"unit": conv["unit"], "numeric_value": conv["numeric_value"]})
-    x = P.keep_measured(x)
     x = x.withColumn("character_value", S.text_value("par_name", "par_val_org"))
     return x.withColumn("labor", F.lit(labor))
 
