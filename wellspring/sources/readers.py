@@ -139,10 +139,15 @@ def logger_inventory(files: DataFrame, root: str, path_col: str = "path") -> Dat
 
 
 def read_accumulated(spark: SparkSession, path: str, schema: T.StructType = SENSOR_LONG_SCHEMA) -> DataFrame:
-    """S-05: the accumulated data set; absent -> empty with the fixed schema."""
+    """S-05: the accumulated data set; absent -> empty with the fixed schema.
+    Only a missing path means 'nothing yet'; any other error is raised."""
+    from pyspark.errors import AnalysisException
+
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - missing path means 'nothing yet'
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
