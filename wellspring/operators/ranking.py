@@ -139,36 +139,43 @@ def exact_quantiles(
     )
     rows, blocks = _sorted_blocks(values, group_cols, [value_col], num_partitions)
 
-    # Needed 1-based ranks per group, attached to the block table (small).
+    # Needed 1-based ranks per group (type 7: floor(h)+1 and the next one),
+    # turned into global row ids from the small block table: a block holds
+    # rank r when offset < r <= offset + block_n, at row id first + r-1-offset.
     n1 = F.col(_GROUP_N) - 1
-    needs = []
+    wanted = []
     for i, p in enumerate(probs):
         h = n1 * F.lit(float(p))
         lo = F.floor(h)
-        blocks = blocks.withColumn(f"__lo{i}", (lo + 1).cast("long")).withColumn(
-            f"__hi{i}", F.least(lo + 2, F.col(_GROUP_N)).cast("long")
-        ).withColumn(f"__fr{i}", h - lo)
-        needs += [f"__lo{i}", f"__hi{i}", f"__fr{i}"]
-
-    keys = [_PID, *group_cols]
-    right = blocks.select(*[F.col(k).alias(f"__b_{k}") for k in keys], _FIRST, _OFFSET, *needs)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & rows[k].eqNullSafe(right[f"__b_{k}"])
-    ranked = rows.join(right, cond, "inner").withColumn(
-        "__rank", F.col(_RID) - F.col(_FIRST) + F.col(_OFFSET) + 1
+        frac = h - lo
+        for kind, rank in (("lo", lo + 1), ("hi", F.least(lo + 2, F.col(_GROUP_N)))):
+            wanted.append(
+                F.struct(F.lit(i).alias("i"), F.lit(kind).alias("kind"), rank.cast("long").alias("r"), frac.alias("fr"))
+            )
+    needed = (
+        blocks.select(*group_cols, _FIRST, _OFFSET, _BLOCK_N, F.explode(F.array(*wanted)).alias("__w"))
+        .where((F.col("__w.r") > F.col(_OFFSET)) & (F.col("__w.r") <= F.col(_OFFSET) + F.col(_BLOCK_N)))
+        .select(
+            *group_cols,
+            (F.col(_FIRST) + F.col("__w.r") - 1 - F.col(_OFFSET)).alias("__need_rid"),
+            F.col("__w.i").alias("__i"),
+            F.col("__w.kind").alias("__kind"),
+            F.col("__w.fr").alias("__fr"),
+        )
+    )
+    # Row ids are unique, so this join has no skew; ``needed`` has at most
+    # 2 * len(probs) rows per group and is broadcast by AQE when small --
+    # the value rows themselves are then never shuffled.
+    picked = rows.select(F.col(_RID).alias("__need_rid"), F.col(value_col).alias("__val")).join(
+        needed, "__need_rid", "inner"
     )
-    wanted = F.lit(False)
-    for i in range(len(probs)):
-        wanted = wanted | (F.col("__rank") == F.col(f"__lo{i}")) | (F.col("__rank") == F.col(f"__hi{i}"))
-    picked = ranked.where(wanted)
-
     aggs = []
     for i in range(len(probs)):
+        sel = F.col("__i") == i
         aggs += [
-            F.max(F.when(F.col("__rank") == F.col(f"__lo{i}"), F.col(value_col))).alias(f"__vlo{i}"),
-            F.max(F.when(F.col("__rank") == F.col(f"__hi{i}"), F.col(value_col))).alias(f"__vhi{i}"),
-            F.max(f"__fr{i}").alias(f"__f{i}"),
+            F.max(F.when(sel & (F.col("__kind") == "lo"), F.col("__val"))).alias(f"__vlo{i}"),
+            F.max(F.when(sel & (F.col("__kind") == "hi"), F.col("__val"))).alias(f"__vhi{i}"),
+            F.max(F.when(sel, F.col("__fr"))).alias(f"__f{i}"),
         ]
     per_group = picked.groupBy(*group_cols).agg(*aggs)
     out_cols = [
