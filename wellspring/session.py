@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -72,8 +73,10 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where nothing is
-    configured (local tests) a private folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a session on a
+    ``local[...]`` master, where driver and executors are one process, gets a
+    private folder if nothing is configured; any other master raises, since
+    executors could not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -86,6 +89,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {sc.master!r}")
         configured = tempfile.mkdtemp(prefix="wellspring-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -97,6 +102,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "wellspring", f"{name}-{uuid.uuid4().hex}")
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one table below the shared checkpoint folder once nothing reads it any more."""
+    if not path.startswith(os.path.join(checkpoint_root(spark), "wellspring", "")):
+        raise ValueError(f"not a scratch table: {path!r}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and continue from that table.
