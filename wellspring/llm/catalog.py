@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, mixing
+from . import chat, mixing, packing
 
 QUERIES = {
     "op3_mixing": mixing.op3_mixing,
+    "op4_packing": packing.op4_packing,
     "op10_chat": chat.op10_chat,
 }
 
