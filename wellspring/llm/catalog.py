@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, packing
+from . import chat, mixing, packing, toxicity
 
 QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op10_chat": chat.op10_chat,
 }
 

@@ -93,10 +93,10 @@ def substring_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     return mixed((sums[ends] - sums[starts]) * INVERSES.upto(len(sums))[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, document) of every maximal run of non-space bytes."""
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document) of every maximal run of bytes that are not ``between``."""
     inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = ~SPACE[data]
+    inside[1:-1] = ~between[data]
     starts_here = inside[1:-1] & ~inside[:-2]
     ends_here = inside[1:-1] & ~inside[2:]
     edges = offsets[1:-1]
