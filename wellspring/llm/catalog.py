@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, packing, toxicity
+from . import chat, mixing, packing, quality, toxicity
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op5_toxicity": toxicity.op5_toxicity,
