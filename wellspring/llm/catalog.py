@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, packing, quality, toxicity
+from . import chat, mixing, ngram_join, packing, quality, repeats, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_repeats": repeats.op2_repeats,
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op7_jaccard": ngram_join.op7_jaccard,
     "op10_chat": chat.op10_chat,
 }
 
