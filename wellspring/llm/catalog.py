@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, ngram_join, packing, quality, repeats, toxicity
+import corpus_pipeline
+
+from . import bm25, chat, mixing, ngram_join, nn_descent, packing, quality, repeats, token_counts, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,11 +12,17 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_packing": packing.op4_packing,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_jaccard": ngram_join.op7_jaccard,
+    "op8_neighbours": nn_descent.op8_neighbours,
+    "op9_search": bm25.op9_search,
     "op10_chat": chat.op10_chat,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op10_chat": chat.ORACLE_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
