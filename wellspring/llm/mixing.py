@@ -30,11 +30,12 @@ def word_count(text: Column) -> Column:
 def source_targets(sized: DataFrame, source: str, weights: tuple, share: float, cap: float) -> DataFrame:
     """(source, source_size, target), one row per source.
 
-    Filling by weight with a ceiling has a closed form: sources reach their
-    ceiling in the order of ceiling / weight.  If the first k of them are full,
-    the rest get ``level * weight`` with ``level = (total - full) / open weight``;
-    the k is right when the level is above no ceiling that is still open.
-    The windows run over one row per source, never over documents.
+    Resharing the excess by weight until no source is above its ceiling ends at
+    min(ceiling, level * weight) with one level for all.  Sources become full in
+    the order of ceiling / weight.  Supposing the first k full gives the level
+    (total - their ceilings) / (weight of the others); no such level is above the true
+    one, which is among them, so it is their largest.  The windows run over one
+    row per source, never over documents.
     """
     per = sized.groupBy(F.col(source).alias("_source")).agg(F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("_source").asc_nulls_last())
@@ -52,12 +53,9 @@ def source_targets(sized: DataFrame, source: str, weights: tuple, share: float,
         F.sum("_w").over(everything).alias("_w_all"),
     )
     level = (share * F.col("_all") - cap * F.col("_full")) / (F.col("_w_all") - F.col("_w_full"))
-    per = per.withColumn("_level", F.when(level * F.col("_w") <= cap * F.col("source_size"), level))
-    per = per.withColumn("_level", F.min("_level").over(everything))
-    target = F.least(
-        cap * F.col("source_size").cast("double"),
-        F.coalesce(F.col("_level") * F.col("_w"), cap * F.col("source_size").cast("double")),
-    )
+    ceiling = cap * F.col("source_size").cast("double")
+    per = per.withColumn("_level", F.max(level).over(everything))
+    target = F.least(ceiling, F.col("_level") * F.col("_w")) if share < cap else ceiling
     return per.select("_source", "source_size", target.alias("target"))
 
 
@@ -124,10 +122,10 @@ WITH sized AS (
   FROM w a LEFT JOIN w b ON b.source_size::DOUBLE / b.w < a.source_size::DOUBLE / a.w
   GROUP BY a.source
 ), lv AS (
-  SELECT min(CAST(level AS DOUBLE)) AS level FROM tried WHERE level * w <= 2.0 * source_size
+  SELECT max(CAST(level AS DOUBLE)) AS level FROM tried
 ), targets AS (
   SELECT source, source_size,
-         CAST(least(2.0 * source_size, coalesce((SELECT level FROM lv) * w, 2.0 * source_size)) AS DOUBLE) AS target
+         CAST(least(2.0 * source_size, (SELECT level FROM lv) * w) AS DOUBLE) AS target
   FROM w
 ), rated AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,
