@@ -89,14 +89,16 @@ def mixing_rates(
     )
 
 
-def mix_sources(docs: DataFrame, **options) -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed documents themselves: each row ``copies`` times, with the columns of ``docs``."""
-    return (
-        mixing_rates(docs, **options)
-        .where("copies > 0")
-        .select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-        .drop("_copy")
+    carried = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+        F.col(id_col).alias("__id"),
+        F.col(text_col).alias("__text"),
+        F.col(source_col).alias("__source"),
     )
+    rated = mixing_rates(carried, "__id", "__text", "__source", **options).where("copies > 0")
+    return rated.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
