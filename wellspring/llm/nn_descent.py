@@ -22,7 +22,8 @@ smallest ids, so a vector with many copies is one node and its answers exact.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, neither as query nor as answer; rows with a null id
-neither; equal distances go to the smaller id; fewer candidates than ``k`` are all
+neither; an id with several vectors counts with the smallest of them; equal
+distances go to the smaller id; fewer candidates than ``k`` are all
 returned; an empty table gives no rows; only the id and vector columns are read.
 """
 
@@ -63,12 +64,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack([np.frombuffer(x.as_buffer(), np.float32) for x in column])
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """(id, vector) with the vector as float32 bytes."""
+def _packed(docs: DataFrame, scale: float) -> DataFrame:
+    """(id, vector) with the vector, divided by ``scale``, as float32 bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("<f4")
+            flat = (batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float) / scale).astype("<f4")
             width = len(flat) // max(batch.num_rows, 1)
             rows = [x.tobytes() for x in flat.reshape(batch.num_rows, width)]
             yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary())], ["id", "vector"])
@@ -375,9 +376,12 @@ def nearest_neighbours(
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")).where(F.col("id").isNotNull() & _usable(F.col("vector")))
     width = rows.agg(F.mode(F.size("vector"), deterministic=True)).first()[0]
     rows = rows.where(F.size("vector") == F.lit(width or 0)).withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0).cast("float")))
+    rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
     groups = rows.groupBy("vector").agg(F.min("id").alias("node"))
     members = cut_lineage(rows.join(groups, "vector").select("id", "node", "vector"))
-    nodes = cut_lineage(_packed(members.where("id = node").select("id", "vector").distinct()))
+    one = members.where("id = node").select("node", "vector")
+    scale = one.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0]
+    nodes = cut_lineage(_packed(one.select(F.col("node").alias("id"), "vector"), float(scale or 1)))
     count = nodes.count()
     bits = max(0, int(np.ceil(np.log2(max(count, 1) / LEAF))))
     sample = nodes.orderBy(F.xxhash64("id")).limit(MEDIAN_ROWS).select("vector").toArrow() if bits else None
@@ -386,14 +390,13 @@ def nearest_neighbours(
         forest.fit(_matrix(sample["vector"].combine_chunks()))
     graph = neighbour_graph(nodes, forest)
 
-    asking = members.where(is_query(F.col("id"))).select("node", "id").distinct()
+    asking = members.where(is_query(F.col("id"))).select("node", "id")
     queries = cut_lineage(nodes.join(asking.select(F.col("node").alias("id")).distinct(), "id"))
     blocks = max(1, count // BLOCK_ROWS, min(count // 512, spark.sparkContext.defaultParallelism))
     found = greedy_search(nodes, graph, queries, forest, beam, blocks)
 
     # exact distances between the nodes, then their members with the smallest ids
     near = found.select("query", F.explode(F.slice("nodes", 1, 4 * k)).alias("near"))
-    one = members.where("id = node").select("node", "vector").dropDuplicates(["node"])
     difference = F.zip_with("_x", "_y", lambda a, b: a.cast("double") - b.cast("double"))
     distance = F.sqrt(F.aggregate(difference, F.lit(0.0), lambda s, x: s + x * x))
     measured = (
@@ -402,7 +405,7 @@ def nearest_neighbours(
         .select("query", "near", distance.alias("score"))
     )
     first = Window.partitionBy("node").orderBy("id")
-    smallest = members.select("node", "id").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
+    smallest = members.select("node", "id").withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
     answers = (
         asking.select(F.col("id").alias("query_id"), F.col("node").alias("query"))
         .join(measured, "query")
