@@ -86,7 +86,7 @@ def count_tokens(
         encoding, token_bytes = _encoding(ranks_path, pattern)
         for batch in batches:
             texts = [text_column(batch, c) for c in columns]
-            record = texts[0] if len(texts) == 1 else pc.binary_join_element_wise(*texts, "\n")
+            record = texts[0] if len(texts) == 1 else pc.binary_join_element_wise(*texts, pa.scalar("\n", pa.large_string()))
             whole = pa.record_batch([record], ["record"])
             for first, n, part in slices(whole, "record"):
                 out: list[list] = [[], [], [], [], [], []]

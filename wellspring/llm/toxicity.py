@@ -88,13 +88,13 @@ class FactorizationMachine:
         labels: np.ndarray,
         min_docs: int = MIN_DOCS,
         min_z: float = MIN_Z,
-        epochs: int = 12,
+        steps: int = 2000,
         batch: int = 256,
         rate: float = 0.3,
         decay: float = 1e-5,
         seed: int = 11,
     ) -> FactorizationMachine:
-        """rows: the distinct features of each document."""
+        """rows: the distinct features of each document.  Whole epochs, ``steps`` batches at least."""
         n, share = len(rows), float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
         known = self.informative(rows, labels, min_docs, min_z)
         self.v[~known] = 0
@@ -102,7 +102,7 @@ class FactorizationMachine:
         self.w0 = float(np.log(share / (1 - share)))
         g0, gw, gv = 1e-6, np.full(self.w.shape, 1e-6, np.float32), np.full(self.v.shape, 1e-6, np.float32)
         rng = np.random.default_rng(seed)
-        for _ in range(epochs):
+        for _ in range(-(-steps // max(1, -(-n // batch)))):
             order = rng.permutation(n)
             for at in range(0, n, batch):
                 some = order[at : at + batch]
