@@ -160,7 +160,7 @@ def test_header1_with_meta(spark):
 def test_cells_to_table_and_layouts(spark):
     rows = [("Stammdaten", 1, 1, "Interne Nr."), ("Stammdaten", 1, 2, "Prüfgegenstand"),
             ("Stammdaten", 2, 1, "7"), ("Stammdaten", 2, 2, "Rohwasser")]
-    t = CL.cells_to_table(_grid(spark, rows)).first()
+    t = CL.cells_to_table(_grid(spark, rows), ["interne_nr", "prufgegenstand"]).first()
     assert (t.interne_nr, t.prufgegenstand) == ("7", "Rohwasser")
     sheets = spark.createDataFrame([("a", "META"), ("a", "12 X"), ("b", "3 Y"), ("c", "Info")],
                                    "file_name string, sheet_name string")
@@ -234,7 +234,8 @@ def test_set_ops_and_distinct_labels(spark):
                                   "p string, u string")
     n = {r.p: r.n for r in A.count_distinct_by(units, ["p"], "u", "n").collect()}
     txt = {r.p: r.units for r in A.joined_distinct_text(units, ["p"], "u", "units").collect()}
-    assert n == {"Cl": 2} and txt == {"Cl": "mg/l, µg/l"}
+    # a group without any value counts 0 and does not vanish
+    assert n == {"Cl": 2, "Na": 0} and txt == {"Cl": "mg/l, µg/l", "Na": ""}
 
 
 def test_transform_hook_and_require_rows(spark):

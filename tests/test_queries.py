@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from wellspring.plans.catalog import all_queries
-from wellspring.plans.verify import compare, duckdb_connection
+from verify import compare, duckdb_connection
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(all_queries())

@@ -8,14 +8,14 @@ import sys
 
 SCRIPT = r'''
 import sys
-sys.path.insert(0, {repo!r})
+sys.path[:0] = [{repo!r}, {repo!r} + "/tests"]
 from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "America/New_York").config("spark.sql.ansi.enabled", "false")
          .config("spark.ui.enabled", "false").getOrCreate())
 spark.sparkContext.setLogLevel("ERROR")
 import __spark_entry__ as E
-from wellspring.plans.verify import compare, duckdb_connection
+from verify import compare, duckdb_connection
 sf = "/root/testdata/sf0.001"
 con = duckdb_connection(sf)
 bad = []

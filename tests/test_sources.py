@@ -53,12 +53,12 @@ def test_isotope_file(spark):
            "lab_id;site_id;sampling_date;fuk_masl;x2h;x18o;cond_field\n"
            "L1;S1;05.03.2021;12.5;<1.5;-8.2;410\n"
            "L2;S2;06.03.2021;13.0;-60.1;-8.4;\n")
-    long = C.isotopes_long(SR.read_isotopes(spark, os.path.join(root, "iso.csv")))
+    long = C.isotopes_long(SR.read_isotopes(spark, os.path.join(root, "iso.csv")), "crew_1", "lab_B")
     got = {(r.probe_nr, r.par_name): (r.numeric_value, r.out_of_limit) for r in long.collect()}
     assert got[("L1", "isotope_2h")] == (0.75, "<")
     assert got[("L2", "isotope_18o")] == (-8.4, "")
     assert got[("L2", "cond_field")] == (None, None)
-    assert long.select("probenahme", "labor").distinct().collect()[0].asDict() == {"probenahme": "KWB", "labor": "UFZ"}
+    assert long.select("probenahme", "labor").distinct().collect()[0].asDict() == {"probenahme": "crew_1", "labor": "lab_B"}
 
 
 def test_template_and_import_plan(spark):

@@ -8,7 +8,7 @@ import hashlib
 
 import pandas as pd
 
-from ..tables import TABLES
+from wellspring.tables import TABLES
 
 
 def norm(v) -> str:

@@ -79,7 +79,3 @@ def utm_to_lonlat_sql(easting: str, northing: str) -> tuple[str, str]:
         lat = f"({lat} + {d!r} * sin({2.0 * j!r} * {chi}))"
     lon = f"({CENTRAL_MERIDIAN_DEG!r} + degrees(atan2(sinh({eta_p}), cos({xi_p}))))"
     return lon, f"degrees({lat})"
-
-
-def _check() -> None:  # pragma: no cover - documentation of the pinned values
-    assert math.isclose(series_constants()[0], 6367449.145771, rel_tol=1e-9)

@@ -51,8 +51,6 @@ def clean_names(names: Sequence[str]) -> list[str]:
     return out
 
 
-def clean_column_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*clean_names(df.columns))
 
 
 def rename_regex(df: DataFrame, pattern: str, repl: str) -> DataFrame:
@@ -69,8 +67,6 @@ def gather_ignore_pattern(fields: Sequence[str] = GATHER_IGNORE_FIELDS) -> str:
     return or_pattern(fields)
 
 
-def gather_ignore_pattern_clean(fields: Sequence[str] = GATHER_IGNORE_FIELDS_CLEAN) -> str:
-    return or_pattern(fields)
 
 
 def split_columns(names: Sequence[str], keep_pattern: str | None = None):

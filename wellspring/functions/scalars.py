@@ -79,7 +79,7 @@ def gallery_of_folder(folder: ColumnOrName) -> Column:
 
 
 def well_of_folder(folder: ColumnOrName) -> Column:
-    return to_int(F.substring(_c(folder), 2, 1 << 20))
+    return to_int(F.substr(_c(folder), F.lit(2)))
 
 
 # H-04 ----------------------------------------------------------------------
@@ -154,20 +154,6 @@ def limit_comma_to_point(text: ColumnOrName) -> Column:
     return F.regexp_replace(_c(text), r"^(?=.*[<>])([^,]*),", "$1.")
 
 
-# H-10 ----------------------------------------------------------------------
-def lab_value(text: ColumnOrName, below_factor: float = 0.5) -> dict[str, Column]:
-    """Lab text -> numeric value and limit sign.
-
-    '<x' -> x * below_factor and '<'; '>x' -> x and '>'; 'x' -> x and '';
-    anything else (commas, words, '5d') -> NULL value and NULL sign.
-    Pass a column reference: the text is used several times.
-    """
-    s = _c(text)
-    ok = F.coalesce(s.rlike(LAB_VALUE_PATTERN), F.lit(False))
-    sign = F.when(ok, F.regexp_extract(s, LAB_VALUE_PATTERN, 1))
-    number = F.when(ok, F.regexp_extract(s, LAB_VALUE_PATTERN, 2)).try_cast("double")
-    value = F.when(sign == "<", number * F.lit(below_factor)).otherwise(number)
-    return {"numeric_value": value, "out_of_limit": sign}
 
 
 def with_lab_value(df, text_col: str, below_factor: float = 0.5, prefix: str = ""):
@@ -208,10 +194,19 @@ def micro_to_milli(unit: ColumnOrName, value: ColumnOrName) -> dict[str, Column]
 
 
 # H-12 / H-13 / H-17 ----------------------------------------------------------
+def _try_ntz(text: Column, fmt: str) -> Column:
+    """Text of a format -> TIMESTAMP_NTZ, else NULL: parsed as UTC and counted from the epoch."""
+    instant = F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(fmt + "X"))
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+
+
 def local_plus_one_to_utc(text: ColumnOrName, fmt: str | None = None) -> Column:
-    """Wall-clock text (or NTZ timestamp) in fixed UTC+1 -> UTC as TIMESTAMP_NTZ."""
+    """Wall-clock text (or NTZ timestamp) in fixed UTC+1 -> UTC as TIMESTAMP_NTZ; text that
+    is no time -> NULL.  Never goes through the session's time zone."""
     t = _c(text)
-    ntz = F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz") if fmt else t.cast("timestamp_ntz")
+    ntz = _try_ntz(t, fmt) if fmt else t.try_cast("timestamp_ntz")
     return F.convert_timezone(F.lit(GMT_PLUS_ONE), F.lit("UTC"), ntz)
 
 
@@ -237,9 +232,7 @@ def is_utc_text(text: ColumnOrName) -> Column:
 def parse_utc_text(text: ColumnOrName) -> Column:
     """Strict ``yyyy-MM-ddTHH:mm:ssZ`` -> TIMESTAMP_NTZ in UTC, else NULL."""
     s = _c(text)
-    return F.when(is_utc_text(s), F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))).cast(
-        "timestamp_ntz"
-    )
+    return F.when(is_utc_text(s), F.regexp_replace(s, "Z$", "")).try_cast("timestamp_ntz")
 
 
 def period_text(ts_utc: ColumnOrName) -> Column:

@@ -6,7 +6,7 @@ Input contract: ``cells(file_name, sheet_name, row_idx, col_idx, value)``,
 gathering and joining of any number of workbooks is one distributed job:
 
 * header rows -> one metadata row per (file, sheet, column) by conditional
-  aggregation (no pivot discovery job); small, broadcast after a size check;
+  aggregation (no pivot discovery job);
 * body cells join the header on (file, sheet, col_idx) -- by position, so
   duplicate header names cannot fan out (Q-7);
 * kept columns (dates, sample ids) and value cells meet in one aggregation
@@ -18,19 +18,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..functions.names import clean_names, gather_ignore_pattern
 from ..session import cut_lineage
-from .joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 SHEET = ("file_name", "sheet_name")
 CELL_COLUMNS = ("file_name", "sheet_name", "row_idx", "col_idx", "value")
 HEADER_2 = ("VariableName_org", "UnitName_org")
 HEADER_4 = ("VariableName_org", "Method", "UnitName_org", "Limit_TrinkWV")
 META_SHEET_PATTERN = "META"
+META_FIELDS = ("Sheet", "OriginalName", "Name")
+# Kept columns that become columns of the long table; others stay in its map.
+KEPT_NAMES = ("Datum", "Probe_Nr")
 
 
 # S-07 / S-09 --------------------------------------------------------------------
@@ -53,11 +56,6 @@ def cell_range(
     return cells.where(row_ok & col_ok)
 
 
-# P-21 -------------------------------------------------------------------------------
-def sheets_matching(cells: DataFrame, pattern: str) -> DataFrame:
-    return cells.where(F.col("sheet_name").rlike(pattern))
-
-
 # R-05 / H-18 -------------------------------------------------------------------------
 def header_metadata(cells: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per (file, sheet, col_idx) with the header rows as columns,
@@ -69,41 +67,38 @@ def header_metadata(cells: DataFrame, names: Sequence[str]) -> DataFrame:
     return meta.withColumn("key", S.header_key(list(names))).withColumn("site_id", S.site_id("sheet_name"))
 
 
+def _roles(columns: DataFrame, name_col: str, keep_pattern: str) -> DataFrame:
+    """``columns`` (one row per file, sheet, col_idx) with ``__role``: 'k' for a kept
+    column, 'd' for a further kept column of the same name, 'v' for a value column."""
+    is_kept = F.coalesce(F.col(name_col).rlike(keep_pattern), F.lit(False))
+    first = F.min(F.when(is_kept, F.col("col_idx"))).over(Window.partitionBy(*SHEET, name_col))
+    role = F.when(~is_kept, F.lit("v")).when(F.col("col_idx") == first, F.lit("k")).otherwise(F.lit("d"))
+    return columns.withColumn("__role", role)
+
+
 def _gather_rows(
     body: DataFrame,
     columns: DataFrame,
     name_col: str,
     carry: Sequence[str],
     keep_pattern: str,
-    broadcast_rows: int,
-) -> tuple[DataFrame, list[str]]:
+    kept: Sequence[str],
+) -> DataFrame:
     """R-06 + gather in one shuffle.
 
     ``columns`` has one row per (file, sheet, col_idx) with ``name_col`` and
     the header columns to ``carry``.  Columns whose name matches
-    ``keep_pattern`` are kept (of duplicates the leftmost); all others are
-    gathered.  Body cells meet their column by a broadcast join (header
-    metadata is small and size-checked), then one aggregation per sheet row
-    -- a row has at most sheet-width cells -- builds the kept values as a map
-    and the value cells as a list, which is exploded back to one row per value.
-    Returns the long rows and the kept names.
+    ``keep_pattern`` are kept (of duplicates the leftmost, see
+    ``dropped_columns``); all others are gathered.  One aggregation per sheet
+    row -- a row has at most sheet-width cells -- builds the kept values as a
+    map and the value cells as a list, which is exploded back to one row per
+    value.  The names in ``kept`` become columns, all kept values of the row
+    stay in the map column ``kept``; no name is looked up in the data.
     """
-    is_kept = F.coalesce(F.col(name_col).rlike(keep_pattern), F.lit(False))
-    first = columns.where(is_kept).groupBy(*SHEET, name_col).agg(F.min("col_idx").alias("__first"))
-    kept_names = sorted(r[0] for r in first.select(name_col).distinct().collect() if r[0] is not None)
-    roles = (
-        columns.join(first, [*SHEET, name_col], "left")
-        .withColumn(
-            "__role",
-            F.when(~is_kept, F.lit("v")).when(F.col("col_idx") == F.col("__first"), F.lit("k")),
-        )
-        .where(F.col("__role").isNotNull())
-        .drop("__first")
-    )
-    roles_b = sized_broadcast(roles, broadcast_rows)
-    cells = body.join(roles_b.select(*SHEET, "col_idx", name_col, "__role"), [*SHEET, "col_idx"], "inner")
+    roles = _roles(columns, name_col, keep_pattern).where(F.col("__role") != "d")
+    cells = body.join(roles.select(*SHEET, "col_idx", name_col, "__role"), [*SHEET, "col_idx"], "inner")
     # Only (column, value) travels through the row shuffle; the header
-    # columns are re-attached after the explode by the same broadcast.
+    # columns are joined again after the explode.
     per_row = cells.groupBy(*SHEET, "row_idx").agg(
         F.map_from_entries(
             F.collect_list(F.when(F.col("__role") == "k", F.struct(F.col(name_col), F.col("value"))))
@@ -115,10 +110,11 @@ def _gather_rows(
     long = per_row.select(*SHEET, "row_idx", "__kept", F.explode("__vals").alias("__v")).select(
         *SHEET, "row_idx", "__kept", "__v.col_idx", "__v.DataValue"
     )
-    header = roles_b.where(F.col("__role") == "v").select(*SHEET, "col_idx", name_col, *carry)
+    header = roles.where(F.col("__role") == "v").select(*SHEET, "col_idx", name_col, *carry)
     long = long.join(header, [*SHEET, "col_idx"], "inner")
-    long = long.select(
-        *[F.try_element_at("__kept", F.lit(k)).alias(k) for k in kept_names],
+    return long.select(
+        *[F.try_element_at("__kept", F.lit(k)).alias(k) for k in kept],
+        F.col("__kept").alias("kept"),
         *SHEET,
         "row_idx",
         "col_idx",
@@ -126,93 +122,117 @@ def _gather_rows(
         name_col,
         *carry,
     )
-    return long, kept_names
 
 
 def gather_with_header(
     cells: DataFrame,
     header_names: Sequence[str] = HEADER_2,
     keep_pattern: str | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    kept: Sequence[str] = KEPT_NAMES,
 ) -> DataFrame:
     """R-03 / R-04 (header-2 / header-4 sheets) -> long table.
 
-    Output: kept columns, ``key``, ``DataValue``, header columns,
-    ``file_name``, ``sheet_name``, ``site_id``, ``row_idx``, ``col_idx``.
+    Output: the ``kept`` names as columns, the map ``kept``, ``key``,
+    ``DataValue``, header columns, ``file_name``, ``sheet_name``, ``site_id``,
+    ``row_idx``, ``col_idx``.
     """
     keep_pattern = keep_pattern or gather_ignore_pattern()
     n = len(header_names)
-    # One pass over the header rows, materialised: every later step (size
-    # check, kept names, broadcast) reads this small table, not the cells.
+    # One pass over the header rows, materialised: every later step reads
+    # this small table, not the cells.
     meta = cut_lineage(header_metadata(cells, header_names))
     body = cells.where(F.col("row_idx") > n)
-    long, kept = _gather_rows(body, meta, "key", [*header_names, "site_id"], keep_pattern, broadcast_rows)
+    long = _gather_rows(body, meta, "key", [*header_names, "site_id"], keep_pattern, kept)
     return long.select(
-        *kept, "key", "DataValue", *header_names, *SHEET, "site_id", "row_idx", "col_idx"
+        *kept, "kept", "key", "DataValue", *header_names, *SHEET, "site_id", "row_idx", "col_idx"
+    )
+
+
+def dropped_columns(cells: DataFrame, header_names: Sequence[str] = HEADER_2, keep_pattern: str | None = None) -> DataFrame:
+    """Q-H: what gathering leaves out, per (file, sheet, col_idx): further kept
+    columns of one name ('second kept column') and columns without any header
+    ('no header'), with the number of their body cells."""
+    keep_pattern = keep_pattern or gather_ignore_pattern()
+    n = len(header_names)
+    roles = _roles(header_metadata(cells, header_names), "key", keep_pattern).select(*SHEET, "col_idx", "key", "__role")
+    counts = cells.where(F.col("row_idx") > n).groupBy(*SHEET, "col_idx").agg(F.count("value").alias("n_cells"))
+    reason = F.when(F.col("__role").isNull(), F.lit("no header")).when(F.col("__role") == "d", F.lit("second kept column"))
+    joined = counts.join(roles, [*SHEET, "col_idx"], "left").withColumn("reason", reason)
+    return joined.where(F.col("reason").isNotNull()).select(*SHEET, "col_idx", "key", "reason", "n_cells")
+
+
+def meta_rows(cells: DataFrame, meta_pattern: str = META_SHEET_PATTERN, fields: Sequence[str] = META_FIELDS) -> DataFrame:
+    """The rows of META sheets as (file_name, Sheet, OriginalName, Name, other
+    ``fields``, meta): ``meta`` is a map of all columns of the sheet."""
+    meta_cells = cells.where(F.col("sheet_name").rlike(meta_pattern))
+    head = meta_cells.where(F.col("row_idx") == 1).select(*SHEET, "col_idx", F.col("value").alias("__field"))
+    field_of = meta_cells.where(F.col("row_idx") > 1).join(head, [*SHEET, "col_idx"])
+    rows = field_of.groupBy(*SHEET, "row_idx").agg(
+        *[F.max(F.when(F.col("__field") == f, F.col("value"))).alias(f) for f in fields],
+        F.map_from_entries(F.collect_list(F.struct("__field", "value"))).alias("meta"),
     )
+    return rows.where(F.col("Sheet").isNotNull()).drop("sheet_name", "row_idx")
 
 
 def gather_with_meta(
     cells: DataFrame,
     meta_pattern: str = META_SHEET_PATTERN,
     keep_pattern: str | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    kept: Sequence[str] = KEPT_NAMES,
+    fields: Sequence[str] = META_FIELDS,
 ) -> DataFrame:
     """R-02 / J-07: header-1 sheets described by a META sheet.
 
     The META sheet (header row: Sheet, OriginalName, Name, ...) maps each
     sheet's original header names to clean names (Q-6: renamed first, then
-    gathered and joined on the clean name).
+    gathered and joined on the clean name).  A column that META does not
+    describe keeps its original name and is gathered too; further META columns
+    come along as ``fields`` beyond the first three and in the map ``meta``.
     """
     keep_pattern = keep_pattern or gather_ignore_pattern()
-    is_meta = F.col("sheet_name").rlike(meta_pattern)
-    meta_cells = cells.where(is_meta)
-    meta_head = meta_cells.where(F.col("row_idx") == 1).select(
-        "file_name", F.col("sheet_name").alias("__ms"), "col_idx", F.col("value").alias("__field")
-    )
-    field_of = meta_cells.where(F.col("row_idx") > 1).join(
-        sized_broadcast(meta_head, broadcast_rows), ["file_name", "col_idx"]
-    ).where(F.col("sheet_name") == F.col("__ms"))
-    meta_rows = (
-        field_of.groupBy("file_name", "row_idx")
-        .agg(
-            F.max(F.when(F.col("__field") == "Sheet", F.col("value"))).alias("Sheet"),
-            F.max(F.when(F.col("__field") == "OriginalName", F.col("value"))).alias("OriginalName"),
-            F.max(F.when(F.col("__field") == "Name", F.col("value"))).alias("Name"),
-        )
-        .drop("row_idx")
-        .where(F.col("Sheet").isNotNull())
-    )
-    data = cells.where(~is_meta)
+    more = [f for f in fields if f not in META_FIELDS]
+    data = cells.where(~F.col("sheet_name").rlike(meta_pattern))
     names = data.where(F.col("row_idx") == 1).select(*SHEET, "col_idx", F.col("value").alias("OriginalName"))
-    described = cut_lineage(
-        names.join(
-            meta_rows.withColumnRenamed("Sheet", "sheet_name"), ["file_name", "sheet_name", "OriginalName"], "inner"
-        )
-    )
+    about = meta_rows(cells, meta_pattern, fields).withColumnRenamed("Sheet", "sheet_name")
+    described = names.join(about, ["file_name", "sheet_name", "OriginalName"], "left")
+    described = cut_lineage(described.withColumn("__name", F.coalesce("Name", "OriginalName")))
     body = data.where(F.col("row_idx") > 1)
-    long, kept = _gather_rows(body, described, "Name", ["OriginalName"], keep_pattern, broadcast_rows)
+    long = _gather_rows(body, described, "__name", ["OriginalName", "Name", *more, "meta"], keep_pattern, kept)
     return long.select(
-        *kept, F.col("Name").alias("VariableName_org"), "DataValue", "OriginalName", "Name", *SHEET,
-        "row_idx", "col_idx",
+        *kept, "kept", F.col("__name").alias("VariableName_org"), "DataValue", "OriginalName", "Name", *more, "meta",
+        *SHEET, "row_idx", "col_idx",
     )
 
 
 # S-08 / S-10 / S-11 / H-20 ---------------------------------------------------------
-def cells_to_table(cells: DataFrame, header_row: int = 1, clean: bool = True) -> DataFrame:
-    """One header row gives the names; the rows below become rows.
+@F.udf(T.ArrayType(T.StringType()))
+def _clean_headers(raw):
+    """H-20 for the header of one sheet (as long as the sheet is wide)."""
+    return clean_names(raw)
+
+
+def table_rows(cells: DataFrame, header_row: int = 1, clean: bool = True) -> DataFrame:
+    """(file_name, sheet_name, row_idx, values): one row per sheet row below the
+    header, ``values`` mapping that sheet's own column names to the cells.
+    Names are cleaned (snake_case) and unique within each sheet."""
+    head = cells.where(F.col("row_idx") == header_row).groupBy(*SHEET).agg(
+        F.array_sort(F.collect_list(F.struct("col_idx", "value"))).alias("h")
+    )
+    raw = F.transform("h", lambda x: x["value"])
+    named = head.select(*SHEET, "h", (_clean_headers(raw) if clean else raw).alias("n"))
+    names = named.select(*SHEET, F.explode(F.arrays_zip(F.transform("h", lambda x: x["col_idx"]).alias("c"), F.col("n"))).alias("x"))
+    names = names.select(*SHEET, F.col("x.c").alias("col_idx"), F.col("x.n").alias("__name"))
+    body = cells.where(F.col("row_idx") > header_row).join(names, [*SHEET, "col_idx"])
+    return body.groupBy(*SHEET, "row_idx").agg(F.map_from_entries(F.collect_list(F.struct("__name", "value"))).alias("values"))
 
-    Names are cleaned (snake_case, unique).  The name list comes from the
-    header row (bounded by sheet width), so the pivot needs no extra job.
-    """
-    head = cells.where(F.col("row_idx") == header_row).select("col_idx", "value").distinct()
-    pairs = sorted((r["col_idx"], r["value"]) for r in head.collect())
-    idx = [p[0] for p in pairs]
-    raw = [str(p[1]) for p in pairs]
-    names = clean_names(raw) if clean else raw
-    body = cells.where(F.col("row_idx") > header_row)
-    wide = body.groupBy(*SHEET, "row_idx").pivot("col_idx", idx).agg(F.first("value"))
-    return wide.select(*SHEET, "row_idx", *[F.col(str(i)).alias(nm) for i, nm in zip(idx, names)])
+
+def cells_to_table(cells: DataFrame, names: Sequence[str], header_row: int = 1, clean: bool = True, rest: bool = False) -> DataFrame:
+    """The sheets' rows with the columns ``names`` (NULL where a sheet has none of
+    that name); with ``rest`` also the map ``values`` of all columns.  Any number of
+    sheets with different headers."""
+    rows = table_rows(cells, header_row, clean)
+    out = [F.try_element_at("values", F.lit(n)).alias(n) for n in names]
+    return rows.select(*SHEET, "row_idx", *out, *(["values"] if rest else []))
 
 
 # P-22 / Q-D / Q-E / Q-F -------------------------------------------------------------
@@ -242,8 +262,8 @@ def sheet_layouts(
 
 # A-10 --------------------------------------------------------------------------------
 def column_types(body: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Per (file, sheet, col_idx): 'numeric' if every value is a number,
-    'date' if every value is a date, else 'text'."""
+    """Per (file, sheet, col_idx): 'empty' without any value, 'numeric' if every
+    value is a number, 'date' if every value is a date, else 'text'."""
     v = F.col("value")
     flags = body.groupBy(*SHEET, "col_idx").agg(
         F.count(v).alias("__n"),
@@ -253,7 +273,8 @@ def column_types(body: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     return flags.select(
         *SHEET,
         "col_idx",
-        F.when(F.col("__num") == F.col("__n"), F.lit("numeric"))
+        F.when(F.col("__n") == 0, F.lit("empty"))
+        .when(F.col("__num") == F.col("__n"), F.lit("numeric"))
         .when(F.col("__date") == F.col("__n"), F.lit("date"))
         .otherwise(F.lit("text"))
         .alias("type"),

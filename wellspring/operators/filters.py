@@ -59,9 +59,6 @@ def drop_header_repeats(df: DataFrame, col: str, header_text: str) -> DataFrame:
     return df.where(F.col(col) != F.lit(header_text))
 
 
-# P-12 / P-13 / P-16 / P-18 -----------------------------------------------------------
-def keep_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    return df.where(F.col(col).isin(list(values)))
 
 
 def exclude_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
@@ -89,19 +86,6 @@ def null_implausible(
     return df.withColumn(value_col, F.when(~F.coalesce(bad, F.lit(False)), F.col(value_col)))
 
 
-# P-15 / H-28 -----------------------------------------------------------------------
-def keep_measured(
-    df: DataFrame,
-    par_col: str = "par_name",
-    raw_col: str = "par_val_org",
-    num_col: str = "numeric_value",
-    text_parameters: Sequence[str] = S.TEXT_PARAMETERS,
-) -> DataFrame:
-    """Text parameters need a raw value, all others a number."""
-    is_text = F.coalesce(F.col(par_col).isin(list(text_parameters)), F.lit(False))
-    return df.where(
-        (is_text & F.col(raw_col).isNotNull()) | (~is_text & F.col(num_col).isNotNull())
-    )
 
 
 # P-19 --------------------------------------------------------------------------------

@@ -3,15 +3,10 @@
 dplyr joins match NA with NA; Spark's ``=`` does not, so key comparisons use
 ``<=>`` (still planned as hash / sort-merge equi-joins).
 
-Broadcast policy -- every broadcast is behind a size check, with a shuffle
-join beyond it:
-* lookups read from tables (default): Catalyst's size estimate from the
-  files decides against ``spark.sql.autoBroadcastJoinThreshold`` and AQE
-  re-decides with runtime sizes; no extra job;
-* derived lookups whose size Catalyst cannot estimate (``broadcast_rows=N``):
-  ``sized_broadcast`` counts at most N+1 rows and hints a broadcast only
-  below N.  Above either bound the join is a shuffle join, and AQE's skew
-  join splits hot keys on the large side.
+No broadcast hints: Catalyst's size estimate from the files decides against
+``spark.sql.autoBroadcastJoinThreshold``, and AQE decides again with the bytes
+that a derived lookup really has.  Beyond the threshold the join is a shuffle
+join, and AQE's skew join splits hot keys on the large side.
 """
 
 from __future__ import annotations
@@ -21,21 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Derived lookups up to this many rows are broadcast: ~20 MB at ~100 bytes a
-# row, small enough to ship to every executor of a large cluster.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Size check that stops reading after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def keyed_join(
     left: DataFrame,
     right: DataFrame,
@@ -44,20 +24,17 @@ def keyed_join(
     how: str = "left",
     columns: Sequence[str] | None = None,
     null_safe: bool = True,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join on (possibly differently named) keys; right keys are dropped.
 
     ``columns`` restricts the right side to those columns (projection
-    before the join).  ``broadcast_rows``: see the module docstring.
+    before the join).
     """
     left_on = list(left_on)
     right_on = list(right_on or left_on)
     keep = list(columns) if columns is not None else [c for c in right.columns if c not in right_on]
     tmp = [f"__rk{i}" for i in range(len(right_on))]
     r = right.select(*[F.col(k).alias(t) for k, t in zip(right_on, tmp)], *keep)
-    if broadcast_rows is not None and how in ("left", "inner", "left_semi", "left_anti"):
-        r = sized_broadcast(r, broadcast_rows)
     cond = None
     for lk, t in zip(left_on, tmp):
         c = left[lk].eqNullSafe(r[t]) if null_safe else left[lk] == r[t]
@@ -74,13 +51,12 @@ def natural_join(
     right: DataFrame,
     how: str = "left",
     null_safe: bool = True,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """J-03: join on every common column name (dplyr's default ``by``)."""
     common = [c for c in left.columns if c in right.columns]
     if not common:
         raise ValueError("natural join: no common columns")
-    return keyed_join(left, right, common, how=how, null_safe=null_safe, broadcast_rows=broadcast_rows)
+    return keyed_join(left, right, common, how=how, null_safe=null_safe)
 
 
 def add_parameter_metadata(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .joins import keyed_join
 from .stats import duplicate_ids
 
 
@@ -69,7 +70,7 @@ def group_status(df: DataFrame, group_col: str, rules: Mapping[str, DataFrame])
     status = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_rows"))
     for name, viol in rules.items():
         counts = viol.groupBy(group_col).agg(F.count(F.lit(1)).alias(f"n_{name}"))
-        status = status.join(counts, group_col, "left").withColumn(
+        status = keyed_join(status, counts, [group_col]).withColumn(
             f"n_{name}", F.coalesce(F.col(f"n_{name}"), F.lit(0)).cast("long")
         )
     bad = F.lit(False)
@@ -79,9 +80,9 @@ def group_status(df: DataFrame, group_col: str, rules: Mapping[str, DataFrame])
 
 
 def keep_good_groups(df: DataFrame, status: DataFrame, group_col: str) -> DataFrame:
-    """Q-H: drop the rows of failed groups; good groups are still used."""
+    """Q-H: drop the rows of failed groups (the NULL group is one); good groups are still used."""
     failed = status.where(F.col("status") == "failed").select(group_col)
-    return df.join(failed, group_col, "left_anti")
+    return keyed_join(df, failed, [group_col], how="left_anti")
 
 
 def require_rows(df: DataFrame, what: str) -> None:

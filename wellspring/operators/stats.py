@@ -18,6 +18,7 @@ from .ranking import exact_quantiles, mark_repeats, rolling_mean_rows, sort_rank
 __all__ = [
     "measurement_stats",
     "overall_period",
+    "period_of",
     "daily_totals",
     "rolling_means",
     "yearly_mean",
@@ -29,7 +30,6 @@ __all__ = [
     "duplicate_ids",
     "mark_repeats",
     "latest_rows",
-    "order_measurements",
     "sort_rank",
 ]
 
@@ -93,6 +93,15 @@ def overall_period(stats: DataFrame) -> DataFrame:
     )
 
 
+def period_of(df: DataFrame, time_col: str = "datum_uhrzeit") -> DataFrame:
+    """A-02 straight from the measurements: one aggregate, no quantiles."""
+    return df.agg(
+        F.min(time_col).alias("datetime_min"),
+        F.max(time_col).alias("datetime_max"),
+        F.count(F.lit(1)).alias("number_of_samples"),
+    )
+
+
 def daily_totals(
     df: DataFrame,
     date_col: str,
@@ -168,14 +177,14 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def count_distinct_by(df: DataFrame, keys: Sequence[str], col: str, out_col: str) -> DataFrame:
     """A-08: two-phase distinct (distinct pairs, then count) keeps a hot key
     from building one large set in one task."""
-    pairs = df.select(*keys, col).where(F.col(col).isNotNull()).distinct()
-    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(out_col))
+    pairs = df.select(*keys, col).distinct()
+    return pairs.groupBy(*keys).agg(F.count(col).alias(out_col))  # 0 for a group of NULLs
 
 
 def joined_distinct_text(df: DataFrame, keys: Sequence[str], col: str, out_col: str, sep: str = ", ") -> DataFrame:
     """A-09: sorted distinct values joined as text (a label, e.g. the units
     of one parameter -- bounded by the value domain, not by row count)."""
-    pairs = df.select(*keys, col).where(F.col(col).isNotNull()).distinct()
+    pairs = df.select(*keys, col).distinct()
     return pairs.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(col)), sep).alias(out_col))
 
 
@@ -192,9 +201,3 @@ def latest_rows(df: DataFrame, col: str) -> DataFrame:
     """
     top = df.agg(F.max(col).alias("__max"))
     return df.join(F.broadcast(top), F.col(col) == F.col("__max"), "inner").drop("__max")
-
-
-def order_measurements(df: DataFrame, cols: Sequence[str | Column] = ("parameter", "sensor_id", "datum_uhrzeit")) -> DataFrame:
-    """O-01: global order, NULLs last (R).  At the sink use
-    ``repartitionByRange`` + ``sortWithinPartitions`` instead."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols])

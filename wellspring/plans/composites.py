@@ -24,7 +24,6 @@ from ..session import cut_lineage
 SENSOR_VALUE_COLUMNS = ("Leitfaehigkeit", "Temperatur")
 CONDUCTIVITY_LIMIT = 20000.0  # µS/cm; higher readings are sensor faults
 DAILY_VOLUME_LIMIT = 2000.0  # m³/day; plausible well abstraction
-WELLS_WITH_CHAINS = (9, 10, 13)
 
 
 # C-01 / T-02 -------------------------------------------------------------------
@@ -101,8 +100,7 @@ def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None =
     )
 
     def files_of(layout: str) -> DataFrame:
-        # one row per workbook: broadcast only below the checked bound
-        return cells.join(J.sized_broadcast(choice.where(F.col("layout") == layout)), "file_name", "left_semi")
+        return cells.join(choice.where(F.col("layout") == layout), "file_name", "left_semi")
 
     site_sheets = F.col("sheet_name").rlike(S.SITE_ID_PATTERN)
     parts = {
@@ -141,7 +139,7 @@ def lab_archive_yearly(
     if water_type is not None:
         x = x.where(F.col("prufgegenstand") == water_type)
     means = A.yearly_mean(x, ["para_kurzname", "werk"], "Date", "value", "mean_value")
-    return J.keyed_join(means, abstraction, ["werk", "year"], broadcast_rows=None)
+    return J.keyed_join(means, abstraction, ["werk", "year"])
 
 
 # C-06 -----------------------------------------------------------------------------------
@@ -182,8 +180,9 @@ def lab_table(wide: DataFrame, sample_col: str = "probe_nr", labor: str = "BWB")
 
 
 # C-08 ------------------------------------------------------------------------------------
-def isotopes_long(wide: DataFrame, date_format: str = "dd.MM.yyyy") -> DataFrame:
-    """C-08: isotope sheet (clean names) -> long with parsed values."""
+def isotopes_long(wide: DataFrame, sampler: str, laboratory: str, date_format: str = "dd.MM.yyyy") -> DataFrame:
+    """C-08: isotope sheet (clean names) -> long with parsed values; ``sampler`` and
+    ``laboratory`` say who took and who analysed the samples."""
     x = wide.withColumn("sampling_date", S.parse_date("sampling_date", date_format)).drop("fuk_masl")
     x = P.rename_columns(x, {"lab_id": "probe_nr", "sampling_date": "probenahme_datum", "site_id": "messstelle"})
     x = rename_regex(x, "^x", "isotope_")
@@ -191,7 +190,7 @@ def isotopes_long(wide: DataFrame, date_format: str = "dd.MM.yyyy") -> DataFrame
     ids = [c for c in x.columns if "isotope" not in c and "cond" not in c]
     long = R.wide_to_long_matching(x, ids, "isotope|cond", "par_name", "par_val_org")
     long = S.with_lab_value(long, "par_val_org")
-    return long.withColumns({"probenahme": F.lit("KWB"), "labor": F.lit("UFZ")})
+    return long.withColumns({"probenahme": F.lit(sampler), "labor": F.lit(laboratory)})
 
 
 # C-09 --------------------------------------------------------------------------------------
@@ -206,27 +205,35 @@ def solver_data(lab: DataFrame) -> DataFrame:
     return dat.select("probe_nr", "par_name_phreeqc", "numeric_value")
 
 
-def solver_long(data: DataFrame, names: Sequence[str]) -> DataFrame:
-    """R-12: widen by solver name (replicates averaged), add units, back to
-    long, drop missing values."""
-    per = data.groupBy("probe_nr", "par_name_phreeqc").agg(F.avg("numeric_value").alias("numeric_value"))
-    wide = R.to_wide(per.withColumnRenamed("probe_nr", "solution"), ["solution"], "par_name_phreeqc",
-                     "numeric_value", names)
-    wide = wide.withColumn("units", F.lit("ppm"))
-    long = R.to_long(wide, ["solution", "units"], list(names), "par_name_phreeqc", "numeric_value", "double")
-    return long.where(F.col("numeric_value").isNotNull())
+def solver_long(data: DataFrame) -> DataFrame:
+    """R-12: one row per sample and solver name with the unit of the solver, missing
+    values dropped.  Every name of the data stays; a name that a sample has twice is an error."""
+    Q.check(Q.duplicated_samples(data, ["probe_nr", "par_name_phreeqc"]), "solver names that a sample has twice")
+    return data.where(F.col("numeric_value").isNotNull()).select(
+        F.col("probe_nr").alias("solution"), F.lit("ppm").alias("units"), "par_name_phreeqc", "numeric_value"
+    )
 
 
 # C-10 ----------------------------------------------------------------------------------------
+def survey_sheet(sheet: DataFrame) -> DataFrame:
+    """One survey sheet: ``messstellen`` renamed, empty rows dropped, repeated header
+    rows dropped where the sheet has a date, rows without a site dropped where it has sites."""
+    if "messstellen" in sheet.columns and "messstelle" not in sheet.columns:
+        sheet = sheet.withColumnRenamed("messstellen", "messstelle")
+    sheet = P.drop_empty_rows(sheet, [c for c in sheet.columns if c != "ods_names_clean"])
+    if "datum" in sheet.columns:
+        sheet = P.drop_header_repeats(sheet, "datum", "Datum")
+    if "messstelle" in sheet.columns:
+        sheet = P.drop_missing(sheet, ["messstelle"])
+    return sheet
+
+
 def survey_table(sheets: dict[str, DataFrame], plan: DataFrame) -> DataFrame:
-    """C-10: survey sheets with differing columns -> one table -> synonyms
-    remapped -> import plan right-joined -> dates parsed."""
-    x = R.union_fill(sheets, "sheet")
-    x = P.drop_empty_rows(x, [c for c in x.columns if c not in ("sheet", "ods_names_clean")])
-    x = P.drop_header_repeats(x, "datum", "Datum")
-    x = P.drop_missing(x, ["messstelle"])
+    """C-10: survey sheets with differing columns, each cleaned by its own columns
+    -> one table -> synonyms remapped -> import plan right-joined -> dates parsed."""
+    x = R.union_fill({name: survey_sheet(sheet) for name, sheet in sheets.items()}, "sheet")
     x = P.remap_synonyms(x)
-    x = J.keyed_join(plan, x, ["ods_names_clean"], how="right", broadcast_rows=None)
+    x = J.keyed_join(plan, x, ["ods_names_clean"], how="right")
     return x.withColumn("datum", S.survey_date("datum"))
 
 

@@ -174,7 +174,7 @@ FROM part WHERE p_brand IS NOT NULL GROUP BY p_type
 """
 
 ORACLE["projection"] = """
-SELECT 'lab_A' AS labor, 'KWB' AS probenahme, l_orderkey AS item_orderkey, l_partkey AS item_part,
+SELECT 'lab_A' AS labor, 'crew_1' AS probenahme, l_orderkey AS item_orderkey, l_partkey AS item_part,
        l_quantity AS item_quantity, l_extendedprice AS item_extendedprice, l_discount AS item_discount
 FROM lineitem
 """

@@ -98,7 +98,7 @@ def sensor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- A-02 --------------------------------------------------------------------------------
 @register("overall_period")
 def overall_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.overall_period(stats_table(Tables(spark, sf_dir)))
+    return A.period_of(sensor_series(Tables(spark, sf_dir)))
 
 
 # --- R-01 ---------------------------------------------------------------------------------
@@ -222,7 +222,7 @@ def yearly_mean_abstraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     vol = well_volumes(t).groupBy(F.col("well").alias("werk"), F.year("bwb_datum").alias("year")).agg(
         F.sum("menge").alias("foerdermenge")
     )
-    out = J.keyed_join(means, vol, ["werk", "year"], broadcast_rows=None)
+    out = J.keyed_join(means, vol, ["werk", "year"])
     return out.select("werk", "year", r6("mean_value").alias("mean_value"), r6("foerdermenge").alias("foerdermenge"))
 
 
@@ -273,7 +273,7 @@ def remap_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n_chars") >= 1000, 1).otherwise(0).alias("quality_est"),
         F.when(F.col("lang") == "en", 0).otherwise(1).alias("toxic_flag"),
     )
-    joined = J.keyed_join(docs, t.labels, ["doc_id"], columns=["quality", "toxic"], broadcast_rows=None)
+    joined = J.keyed_join(docs, t.labels, ["doc_id"], columns=["quality", "toxic"])
     return P.remap_synonyms(joined, [("quality", "quality_est"), ("toxic", "toxic_flag")])
 
 
@@ -320,7 +320,7 @@ def projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = P.rename_columns(li, {"l_partkey": "l_part", "no_such_column": "ignored"})
     out = rename_regex(out, "^l_", "item_")
     out = P.drop_prefixed(out, "item_t")
-    out = P.with_constants(out, {"labor": "lab_A", "probenahme": "KWB"})
+    out = P.with_constants(out, {"labor": "lab_A", "probenahme": "crew_1"})
     return out.select("labor", "probenahme", "item_orderkey", "item_part", "item_quantity",
                       "item_extendedprice", "item_discount")
 

@@ -159,7 +159,7 @@ b AS (
 # --- R-03 / R-05 / R-06 / J-06 / H-18 (header-2) ------------------------------------
 @register("header2_cells")
 def header2_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 2), CL.HEADER_2)
+    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 2), CL.HEADER_2).drop("kept")
 
 
 ORACLE["header2_cells"] = "WITH " + _B + """
@@ -176,7 +176,7 @@ FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 # --- R-04 (header-4) -----------------------------------------------------------------------
 @register("header4_cells")
 def header4_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 4), CL.HEADER_4)
+    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 4), CL.HEADER_4).drop("kept")
 
 
 ORACLE["header4_cells"] = "WITH " + _B + """
@@ -195,7 +195,7 @@ FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 # --- R-02 / J-07 (header-1 with META sheet) -------------------------------------------------
 @register("header1_cells")
 def header1_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.gather_with_meta(lab_cells(Tables(spark, sf_dir), meta=True))
+    return CL.gather_with_meta(lab_cells(Tables(spark, sf_dir), meta=True)).drop("kept", "meta")
 
 
 ORACLE["header1_cells"] = "WITH " + _B + """
@@ -207,6 +207,49 @@ FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 """
 
 
+@register("header1_undescribed")
+def header1_undescribed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """META without the rows of every third part: those columns keep their original name."""
+    cells = lab_cells(Tables(spark, sf_dir), meta=True)
+    part = F.floor((F.col("row_idx") - 1000) / 32)
+    gone = (F.col("sheet_name") == "META") & (F.col("row_idx") >= 1000) & (part % 3 == 0)
+    return CL.gather_with_meta(cells.where(~gone)).drop("kept", "meta")
+
+
+ORACLE["header1_undescribed"] = "WITH " + _B + """
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS Datum, CAST(l_orderkey AS VARCHAR) AS Probe_Nr,
+       CASE WHEN l_partkey % 3 = 0 THEN 'P' || CAST(l_partkey AS VARCHAR) || ' ' || p_name
+            ELSE 'p' || CAST(l_partkey AS VARCHAR) END AS VariableName_org, printf('%.2f', q) AS DataValue,
+       'P' || CAST(l_partkey AS VARCHAR) || ' ' || p_name AS OriginalName,
+       CASE WHEN l_partkey % 3 <> 0 THEN 'p' || CAST(l_partkey AS VARCHAR) END AS Name,
+       file_name, sheet_name, CAST(l_orderkey + 2 AS BIGINT) AS row_idx, CAST(l_partkey + 3 AS BIGINT) AS col_idx
+FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+"""
+
+
+SECOND_DATE_COL = 1 << 40
+
+
+@register("dropped_columns_report")
+def dropped_columns_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth part without a header and a second 'Datum' column in every sheet:
+    the gathered cells and the report together hold every body cell."""
+    cells = lab_cells(Tables(spark, sf_dir), 2)
+    no_header = (F.col("row_idx") <= 2) & (F.col("col_idx") >= FIRST_PART_COL) & ((F.col("col_idx") - FIRST_PART_COL) % 5 == 0)
+    second = cells.where(F.col("col_idx") == 1).withColumn("col_idx", F.lit(SECOND_DATE_COL))
+    return CL.dropped_columns(cells.where(~no_header).unionByName(second))
+
+
+ORACLE["dropped_columns_report"] = "WITH " + _B + f"""
+SELECT file_name, sheet_name, CAST(l_partkey + 3 AS BIGINT) AS col_idx, CAST(NULL AS VARCHAR) AS "key",
+       'no header' AS reason, count(*) AS n_cells
+FROM b WHERE l_partkey % 5 = 0 GROUP BY ALL
+UNION ALL
+SELECT file_name, sheet_name, CAST({1 << 40} AS BIGINT), 'Datum', 'second kept column', count(DISTINCT l_orderkey)
+FROM b GROUP BY ALL
+"""
+
+
 # --- A-10 ---------------------------------------------------------------------------------------
 @register("type_census")
 def type_census(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,6 +344,7 @@ EXCEPT SELECT file_name, sheet_name FROM sh
 
 # --- S-08 / S-11 / H-20 --------------------------------------------------------------------------------------
 MASTER_HEADER = ("Interne Nr.", "Name der Messstelle", "Prüfgegenstand", "Werk")
+MASTER_COLUMNS = ("interne_nr", "name_der_messstelle", "prufgegenstand", "werk")
 
 
 def master_cells(t: Tables) -> DataFrame:
@@ -316,7 +360,7 @@ def master_cells(t: Tables) -> DataFrame:
 
 @register("cells_to_table")
 def cells_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.cells_to_table(cut_lineage(master_cells(Tables(spark, sf_dir))))
+    return CL.cells_to_table(cut_lineage(master_cells(Tables(spark, sf_dir))), MASTER_COLUMNS)
 
 
 ORACLE["cells_to_table"] = """
@@ -327,6 +371,31 @@ FROM customer
 """
 
 
+@register("cells_to_table_sheets")
+def cells_to_table_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sheets with different headers in the same columns become one table."""
+    t = Tables(spark, sf_dir)
+    s = t.supplier.withColumn("file_name", F.lit("stammdaten.xlsx")).withColumn("sheet_name", F.lit("Lieferanten"))
+    head = s.select("file_name", "sheet_name").distinct()
+    other = [_cell(head, 1, i + 1, name) for i, name in enumerate(("Werk", "Werk", "Interne Nr."))]
+    for i, src in enumerate(("s_nationkey", "s_name", "s_suppkey")):
+        other.append(_cell(s, F.col("s_suppkey") + 2, i + 1, F.col(src).cast("string")))
+    cells = cut_lineage(_union([master_cells(t), *other]))
+    return CL.cells_to_table(cells, [*MASTER_COLUMNS, "werk_2"])
+
+
+ORACLE["cells_to_table_sheets"] = """
+SELECT 'stammdaten.xlsx' AS file_name, 'Stammdaten' AS sheet_name, CAST(c_custkey + 2 AS BIGINT) AS row_idx,
+       CAST(c_custkey AS VARCHAR) AS interne_nr, c_name AS name_der_messstelle, c_mktsegment AS prufgegenstand,
+       CAST(c_nationkey AS VARCHAR) AS werk, CAST(NULL AS VARCHAR) AS werk_2
+FROM customer
+UNION ALL
+SELECT 'stammdaten.xlsx', 'Lieferanten', CAST(s_suppkey + 2 AS BIGINT), CAST(s_suppkey AS VARCHAR), NULL, NULL,
+       CAST(s_nationkey AS VARCHAR), s_name
+FROM supplier
+"""
+
+
 # --- H-24 -------------------------------------------------------------------------------------------------------
 @register("header_programme")
 def header_programme(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +433,7 @@ def archive_cells(t: Tables) -> DataFrame:
 
 @register("archive_import")
 def archive_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.read_archive(archive_cells(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"])
+    return C.read_archive(archive_cells(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"]).drop("kept", "meta")
 
 
 ORACLE["archive_import"] = "WITH " + _B + """

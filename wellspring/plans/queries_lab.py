@@ -278,7 +278,10 @@ SELECT probe_nr, messstelle, probenahme_datum, par_name, method, par_name_phreeq
 @register("solver_long")
 def solver_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = C.solver_data(current_lab_df(Tables(spark, sf_dir)))
-    out = C.solver_long(data, SOLVER_NAMES)
+    # the driver rows hold several values of a sample and name; the flow refuses such
+    # data, so this query makes them unique first
+    once = data.groupBy("probe_nr", "par_name_phreeqc").agg(F.avg("numeric_value").alias("numeric_value"))
+    out = C.solver_long(once)
     return out.select("solution", "units", "par_name_phreeqc", r6("numeric_value").alias("numeric_value"))
 
 
@@ -286,7 +289,7 @@ ORACLE["solver_long"] = _CUR_CTE + """
 , d AS (SELECT probe_nr, par_name_phreeqc, avg(numeric_value) AS v FROM cur
         WHERE coalesce(length(par_name_phreeqc), 0) > 0 GROUP BY probe_nr, par_name_phreeqc)
 SELECT probe_nr AS solution, 'ppm' AS units, par_name_phreeqc, round(v, 6) AS numeric_value
-FROM d WHERE v IS NOT NULL AND par_name_phreeqc IN ('Cl', 'Na', 'S(6)', 'pH', 'temp')
+FROM d WHERE v IS NOT NULL
 """
 
 
@@ -308,7 +311,7 @@ def isotope_sheet(t: Tables) -> DataFrame:
 
 @register("isotopes_long")
 def isotopes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = C.isotopes_long(isotope_sheet(Tables(spark, sf_dir)))
+    x = C.isotopes_long(isotope_sheet(Tables(spark, sf_dir)), "crew_1", "lab_B")
     return x.withColumns({"probenahme_datum": ts("probenahme_datum"), "numeric_value": r6("numeric_value")})
 
 
@@ -331,7 +334,7 @@ y AS (SELECT *, CASE WHEN ok THEN regexp_extract(par_val_org, '{LAB_VALUE_SQL_PA
       FROM x)
 SELECT probe_nr, messstelle, probenahme_datum, par_name, par_val_org,
        round(CASE WHEN out_of_limit = '<' THEN num0 * 0.5 ELSE num0 END, 6) AS numeric_value,
-       out_of_limit, 'KWB' AS probenahme, 'UFZ' AS labor
+       out_of_limit, 'crew_1' AS probenahme, 'lab_B' AS labor
 FROM y
 """
 

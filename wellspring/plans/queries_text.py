@@ -22,6 +22,12 @@ from .queries import dbl, r6, register, sensor_series, ts
 PAT = S.LOGGER_FILE_PATTERN
 
 
+def padded(name: str, width: int):
+    """A number as text with leading zeros; a longer number keeps all its digits."""
+    text = F.col(name).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 # --- H-01 ... H-04 / Q-B: logger file names -----------------------------------------
 def logger_paths(t: Tables) -> DataFrame:
     o = t.orders
@@ -29,7 +35,7 @@ def logger_paths(t: Tables) -> DataFrame:
     stem = F.when(F.col("o_orderstatus") == "P", F.lit("readme")).otherwise(
         F.concat(
             F.when(F.col("o_orderpriority") < "3", F.lit("LF_")).otherwise(F.lit("")),
-            F.lpad(F.col("o_orderkey").cast("string"), 7, "0"),
+            padded("o_orderkey", 7),
             F.when(F.col("o_totalprice") > 200000, F.lit("-")).otherwise(F.lit("_")),
             F.date_format("o_orderdate", "yyyy-MM-dd-HHmm"),
         )
@@ -60,7 +66,7 @@ WITH p AS (
   SELECT upper(substr(o_orderstatus, 1, 1)) || CAST(year(o_orderdate) - 1990 AS VARCHAR) || '/' ||
          CASE WHEN o_orderstatus = 'P' THEN 'readme'
               ELSE (CASE WHEN o_orderpriority < '3' THEN 'LF_' ELSE '' END)
-                   || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')
+                   || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(7, len(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')
                    || CASE WHEN o_totalprice > 200000 THEN '-' ELSE '_' END
                    || strftime(o_orderdate, '%Y-%m-%d-%H%M') END || '.csv' AS sftp_path
   FROM orders),
@@ -109,7 +115,7 @@ def well_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Tables(spark, sf_dir).supplier
     letter = F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.col("s_nationkey") + 1, F.lit(1))
     code = F.concat(
-        F.lit("FRI"), letter, F.lpad(F.col("s_suppkey").cast("string"), 4, "0"), F.lit("-"),
+        F.lit("FRI"), letter, padded("s_suppkey", 4), F.lit("-"),
         F.when(F.col("s_acctbal") >= 0, F.lit("A")).otherwise(F.lit("B")), F.lit("-"),
         (F.col("s_nationkey") + 1990).cast("string"), F.lit("V"),
     )
@@ -120,7 +126,7 @@ def well_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["well_codes"] = """
 WITH c AS (
   SELECT s_suppkey, s_name,
-         'FRI' || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', s_nationkey + 1, 1) || lpad(CAST(s_suppkey AS VARCHAR), 4, '0')
+         'FRI' || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', s_nationkey + 1, 1) || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(4, len(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0')
          || '-' || CASE WHEN s_acctbal >= 0 THEN 'A' ELSE 'B' END || '-' || CAST(s_nationkey + 1990 AS VARCHAR)
          || 'V' AS code
   FROM supplier)
@@ -147,7 +153,7 @@ def survey_texts(t: Tables) -> DataFrame:
         .when(ptype == "LARGE", F.lit("Go"))
         .otherwise(F.concat(F.lit("GE,Br0"), size))
     )
-    bhrgs = F.concat(F.col("p_partkey").cast("string"), F.lit("/"), F.substring("p_brand", 7, 100))
+    bhrgs = F.concat(F.col("p_partkey").cast("string"), F.lit("/"), F.substr(F.col("p_brand"), F.lit(7)))
     rohr = F.when(F.col("p_size") < 10, F.concat(F.lit("0"), size)).otherwise(size)
     ms = F.concat(objekt, F.lit(" "), bhrgs, F.when(ptype == "MEDIUM", F.lit("")).otherwise(F.concat(F.lit("  "), rohr)))
     return p.select("p_partkey", ms.alias("messstelle"))
@@ -161,7 +167,7 @@ WITH m AS (
                      WHEN 'SMALL' THEN 'GO,,' || CAST(p_size AS VARCHAR)
                      WHEN 'LARGE' THEN 'Go'
                      ELSE 'GE,Br0' || CAST(p_size AS VARCHAR) END
-         || ' ' || CAST(p_partkey AS VARCHAR) || '/' || substr(p_brand, 7, 100)
+         || ' ' || CAST(p_partkey AS VARCHAR) || '/' || substr(p_brand, 7)
          || CASE WHEN p_type = 'MEDIUM' THEN ''
                  ELSE '  ' || CASE WHEN p_size < 10 THEN '0' || CAST(p_size AS VARCHAR) ELSE CAST(p_size AS VARCHAR) END
             END AS messstelle
@@ -373,7 +379,7 @@ def plan_right_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, v in SOURCE_FILE_NAMES.items():
         clean = F.when(src == k, F.lit(v.lower().replace("-", "_"))).otherwise(clean)
     data = t.documents.select("doc_id", "lang", clean.alias("ods_names_clean"))
-    out = J.keyed_join(plan, data, ["ods_names_clean"], how="right", broadcast_rows=None)
+    out = J.keyed_join(plan, data, ["ods_names_clean"], how="right")
     return out.withColumn("skip_rows", dbl("skip_rows"))
 
 

@@ -24,12 +24,12 @@ DEFAULT_CONF = {
 
 
 # Sizing for ~100 TB inputs on a large cluster (profile="cluster").  The
-# initial shuffle width of 50 000 is about 100 TB / 2 GB; AQE coalesces it
-# towards 256 MB per partition.  Scans split at 256 MB; partitions 5x above
+# initial shuffle width of 400 000 is 100 TB / 256 MB: AQE merges small
+# partitions of an exchange but does not split large ones.  Scans split at 256 MB; partitions 5x above
 # the median and above 512 MB count as skewed and are split by the skew
 # join; broadcasts stay below 64 MB.
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "50000",
+    "spark.sql.shuffle.partitions": "400000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 20),
     "spark.sql.files.maxPartitionBytes": str(256 << 20),

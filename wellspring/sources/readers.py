@@ -9,11 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from ..functions.names import clean_name
 
 # --- schemas of the reference's machine files ------------------------------------
 SENSOR_METADATA_SCHEMA = T.StructType(
@@ -79,15 +80,12 @@ SURVEY_FILES_TO_IGNORE = ("cl25", "clliste", "rupelauf", "salzlast")
 # ---------------------------------------------------------------------------------
 
 
+# Batch and streaming readers alike: header names are checked against the schema.
+CSV_OPTIONS = {"header": True, "enforceSchema": False, "ignoreLeadingWhiteSpace": True, "mode": "PERMISSIVE"}
+
+
 def _csv(spark: SparkSession, schema: T.StructType, sep: str = ","):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("enforceSchema", False)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("mode", "PERMISSIVE")
-    )
+    return spark.read.schema(schema).options(**CSV_OPTIONS).option("sep", sep)
 
 
 def read_sensor_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -99,13 +97,18 @@ def read_sensor_files(spark: SparkSession, paths: str | Sequence[str], root: str
     """S-02 / S-03: logger CSVs -> raw rows with a ``file`` column relative
     to ``root`` (Q-3); one distributed scan over all files."""
     df = _csv(spark, SENSOR_FILE_SCHEMA).csv(paths if isinstance(paths, str) else list(paths))
-    path = F.col("_metadata.file_path")
+    path = file_path()
     if root:
         prefix = root.rstrip("/") + "/"
         path = F.regexp_replace(path, "^(file:)?" + _re_escape(prefix), "")
     return df.withColumn("file", path)
 
 
+def file_path() -> Column:
+    """The file of a row as its plain path: Spark gives it URL-encoded (blanks, umlauts)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def _re_escape(s: str) -> str:
     return re.escape(s)
 
@@ -125,6 +128,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 def logger_inventory(files: DataFrame, root: str, path_col: str = "path") -> DataFrame:
     """S-04 + H-01 ... H-04: sftp_path below root -> folder, file, gallery,
     well, prefix, sensor id, sensor end digit, time."""
+    # listings give plain paths, the readers' file column is decoded to the same
     rel = F.regexp_replace(F.col(path_col), "^(file:)?" + _re_escape(root.rstrip("/") + "/"), "")
     x = files.withColumn("sftp_path", rel)
     x = x.withColumns({"folder": S.path_folder("sftp_path"), "file": S.path_file("sftp_path")})
@@ -161,6 +165,11 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CELLS_SCHEMA).parquet(path)
 
 
+@F.udf(T.StringType())
+def _cleaned(stem):
+    return clean_name(stem)
+
+
 def import_plan(
     paths: DataFrame,
     path_col: str = "ods_paths",
@@ -170,7 +179,10 @@ def import_plan(
     """S-12: per survey file its clean id and the header rows to skip."""
     files = S.path_file(path_col)
     stem = F.regexp_replace(files, r"\.ods$", "")
-    clean = F.regexp_replace(F.lower(F.regexp_replace(stem, "[^A-Za-z0-9]+", "_")), "^_+|_+$", "")
+    # H-20 on all files of the plan together, so that no two get one name
+    at = Window.partitionBy(_cleaned(stem)).orderBy(path_col)
+    number = F.row_number().over(at)
+    clean = F.concat(_cleaned(stem), F.when(number > 1, F.concat(F.lit("_"), number)).otherwise(F.lit("")))
     skip = None
     for pattern, n in rules:
         cond = files.rlike(pattern)

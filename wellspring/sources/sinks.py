@@ -42,7 +42,7 @@ def write_sensor_data(
     path = os.path.join(target_dir, f"{name}_{period_postfix(df)}")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ([partition_col] if partition_col else []) + list(order_cols)
-    laid = df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys]).sortWithinPartitions(*keys)
+    laid = df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys]).sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
     w = laid.write.mode("overwrite")
     if partition_col:
         w = w.partitionBy(partition_col)

@@ -9,25 +9,23 @@ exactly-once.  ``append_unseen`` is the batch twin (anti join on paths).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from ..operators import joins as J
 from ..operators import reshape as R
 from ..plans.composites import sensor_long_from_raw, sensor_stats_flow
-from ..sources.readers import SENSOR_FILE_SCHEMA
+from ..sources.readers import CSV_OPTIONS, SENSOR_FILE_SCHEMA, file_path
 
 
 def sensor_stream(spark: SparkSession, source_dir: str, glob: str = "*.csv", max_files: int | None = None) -> DataFrame:
     reader = (
         spark.readStream.schema(SENSOR_FILE_SCHEMA)
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = reader.csv(source_dir)
-    return raw.withColumn("file", F.col("_metadata.file_path"))
+    return raw.withColumn("file", file_path())
 
 
 def ingest_new_files(
@@ -37,10 +35,10 @@ def ingest_new_files(
     checkpoint_dir: str,
     installed_since=None,
     glob: str = "*.csv",
-) -> int:
+) -> int | None:
     """Process every file not yet recorded in ``checkpoint_dir`` and append
     its rows in long form to the parquet table at ``sink_dir``.  Returns the
-    number of micro-batches run."""
+    number of the last micro-batch since the checkpoint began, None if nothing was new."""
     long = sensor_long_from_raw(sensor_stream(spark, source_dir, glob), installed_since)
     query = (
         long.writeStream.format("parquet")
@@ -50,7 +48,8 @@ def ingest_new_files(
         .start(sink_dir)
     )
     query.awaitTermination()
-    return len(query.recentProgress)
+    last = query.lastProgress
+    return last["batchId"] if last and last["numInputRows"] else None
 
 
 def refresh_stats(spark: SparkSession, sink_dir: str) -> DataFrame:

@@ -11,68 +11,24 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Footers are inspected only for small local inputs; anything else (many
-# files, remote object stores) is assumed to carry enough row groups.
-_MAX_FILES_TO_INSPECT = 64
-# Tables below this many rows are not worth an extra exchange.
-_MIN_ROWS_TO_SPREAD = 50_000
-
-
-def _local_row_groups(paths: list[str]) -> tuple[int, int] | None:
-    """(row groups, rows) of a few local parquet files, else None (unknown)."""
-    if not paths or len(paths) > _MAX_FILES_TO_INSPECT:
-        return None
-    local = []
-    for p in paths:
-        if p.startswith("file:"):
-            p = p[len("file:"):]
-            while p.startswith("//"):
-                p = p[1:]
-        elif "://" in p:
-            return None
-        local.append(p)
-    try:
-        import pyarrow.parquet as pq
-
-        metas = [pq.ParquetFile(p).metadata for p in local]
-        return sum(m.num_row_groups for m in metas), sum(m.num_rows for m in metas)
-    except Exception:  # noqa: BLE001 - unreadable footer: leave the scan alone
-        return None
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """A parquet row group is read by one task.  Inputs written as one or a
-    few row groups (small exports, test data) would run every per-row
-    operator on a single core, so such scans are spread round-robin over the
-    session's cores.  Catalyst still pushes filters and column pruning below
-    the repartition into the scan; large inputs are returned unchanged."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    info = _local_row_groups(df.inputFiles())
-    if info is not None and info[0] < parallelism and info[1] >= _MIN_ROWS_TO_SPREAD:
-        return df.repartition(parallelism)
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan of one table; Catalyst prunes columns and pushes filters."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small_scan(df) if spread else df
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 class Tables:
     """``t.lineitem`` style access to the tables of one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark = spark
         self._dir = sf_dir
-        self._spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = table(self._spark, self._dir, name, self._spread)
+            self._cache[name] = table(self._spark, self._dir, name)
         return self._cache[name]
