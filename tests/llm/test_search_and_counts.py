@@ -54,6 +54,11 @@ def test_search_against_all_documents(spark, monkeypatch, shard_bytes, round_ter
     assert bm25.top_documents(docs.limit(0), lambda c: c % 100 == 0).count() == 0
 
 
+def test_shard_without_any_term_of_the_queries(spark):
+    docs = spark.createDataFrame([(100, "a b"), (1, "c d")], "doc_id long, text string").repartitionByRange(2, "doc_id")
+    assert bm25.top_documents(docs, lambda c: c % 100 == 0).count() == 0
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_sections_against_offsets(spark, rule):
     texts = corpus(7, 20) | {4000: "a\n\n\nb\n", 4001: "\n", 4002: "café\n\U0001F600\U0001F600\n   x"}
