@@ -43,7 +43,7 @@ LEAF = 512
 NEIGHBOURS = 24
 SAMPLE = 12
 ROUNDS = 2
-BEAM = 640
+BEAM = 400
 ENTRIES = 8
 FIXED_ENTRIES = 64
 #: Medians of the projections come from at most this many vectors.
@@ -291,11 +291,11 @@ def _merged(beams: DataFrame, beam: int) -> DataFrame:
     return beams.repartition("query").sortWithinPartitions("query").mapInArrow(run, _BEAM)
 
 
-def _measure(asked: DataFrame, nodes: DataFrame, blocks: int) -> DataFrame:
-    """(query, vector, nodes, distances, expanded = false) of ``asked`` (query, vector, node): the
-    nodes of a block meet, once each, the queries that ask for some of them."""
+def _measure(asked: DataFrame, vectors: DataFrame, nodes: DataFrame, blocks: int) -> DataFrame:
+    """(query, vector, nodes, distances, expanded = false) of ``asked`` (query, node) and the queries'
+    ``vectors`` (query, vector): the nodes of a block meet, once each, the queries that ask for some of them."""
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("long")
-    requests = asked.groupBy("query", block(F.col("node")).alias("block")).agg(F.first("vector").alias("vector"), F.collect_set("node").alias("nodes"))
+    requests = asked.groupBy("query", block(F.col("node")).alias("block")).agg(F.collect_set("node").alias("nodes")).join(vectors, "query")
     home = nodes.select(block(F.col("id")).alias("block"), F.lit(-1).cast("long").alias("query"), "vector", F.array("id").alias("nodes"), F.lit(0).alias("kind"))
     together = home.unionByName(requests.select("block", "query", "vector", "nodes", F.lit(1).alias("kind")))
 
@@ -340,24 +340,20 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, forest
     place = Window.partitionBy("leaf").orderBy(F.xxhash64("id"))
     mates = _coded(nodes, forest).select("id", "leaf").withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= entries)
     fixed = nodes.select("id").orderBy(F.xxhash64("id")).limit(FIXED_ENTRIES)
-    start = _coded(queries, forest).join(mates.select("leaf", F.col("id").alias("node")), "leaf").select(F.col("id").alias("query"), "vector", "node")
-    start = start.unionByName(queries.select(F.col("id").alias("query"), "vector").join(F.broadcast(fixed.select(F.col("id").alias("node")))))
-    state = cut_lineage(_merged(_measure(start.distinct(), nodes, blocks), beam))
+    start = _coded(queries, forest).select("id", "leaf").join(mates.select("leaf", F.col("id").alias("node")), "leaf").select(F.col("id").alias("query"), "node")
+    start = start.unionByName(queries.select(F.col("id").alias("query")).join(F.broadcast(fixed.select(F.col("id").alias("node")))))
+    state = cut_lineage(_merged(_measure(start, queries.select(F.col("id").alias("query"), "vector"), nodes, blocks), beam))
     done = None
     while not state.where("news > 0").isEmpty():
         ended = state.where("news = 0")
         done = ended if done is None else done.unionByName(ended)
         active = state.where("news > 0")
-        links = active.select("query", "vector", F.explode(F.arrays_zip("nodes", "expanded")).alias("l")).where("not l.expanded")
-        asked = (
-            links.select("query", "vector", F.col("l.nodes").alias("id"))
-            .join(graph, "id")
-            .select("query", "vector", F.explode("nodes").alias("node"))
-        )
+        links = active.select("query", F.explode(F.arrays_zip("nodes", "expanded")).alias("l")).where("not l.expanded")
+        asked = links.select("query", F.col("l.nodes").alias("id")).join(graph, "id").select("query", F.explode("nodes").alias("node")).distinct()
         known = active.select("query", F.explode("nodes").alias("node"))
         asked = asked.join(known, ["query", "node"], "left_anti")
         old = active.drop("news").withColumn("expanded", F.transform("expanded", lambda x: F.lit(True)))
-        state = cut_lineage(_merged(old.unionByName(_measure(asked, nodes, blocks)), beam))
+        state = cut_lineage(_merged(old.unionByName(_measure(asked, active.select("query", "vector"), nodes, blocks)), beam))
     done = state if done is None else done.unionByName(state)
     return done.select("query", "nodes")
 
