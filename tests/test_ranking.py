@@ -81,3 +81,15 @@ def test_mark_repeats(spark):
     df = spark.createDataFrame([(1, 2), (1, 1), (2, 5), (1, 3)], "id int, o int")
     got = sorted((r.id, r.o, r.is_duplicate) for r in mark_repeats(df, ["id"], ["o"]).collect())
     assert got == [(1, 1, False), (1, 2, True), (1, 3, True), (2, 5, False)]
+
+
+def test_mark_repeats_with_a_hot_id_and_nulls(spark):
+    rows = [("hot" if i % 3 == 0 else (None if i % 50 == 1 else f"k{i % 900}"), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(8)
+    first = {}
+    for k, i in rows:
+        first[k] = min(i, first.get(k, i))
+    out = mark_repeats(df, ["k"], ["i"])
+    assert out.columns == ["k", "i", "is_duplicate"]
+    got = out.collect()
+    assert len(got) == 4000 and all(r.is_duplicate == (r.i != first[r.k]) for r in got)

@@ -30,13 +30,13 @@ _PID, _RID, _TIE = "__pid", "__rid", "__tie"
 _FIRST, _OFFSET, _BLOCK_N, _GROUP_N = "__first", "__offset", "__block_n", "__group_n"
 
 
-def _sorted_blocks(
+def _sorted_rows(
     df: DataFrame,
     group_cols: Sequence[str],
     order_cols: Sequence[Column | str],
     num_partitions: int | None,
-) -> tuple[DataFrame, DataFrame]:
-    """Steps 1-3: checkpointed, stamped rows and the per-block offset table."""
+) -> DataFrame:
+    """Steps 1-2: the rows in order, stamped and written once."""
     # Names sort ascending with NULLs last (R's order); Columns keep the
     # direction the caller gave them (e.g. ``F.col(x).desc_nulls_last()``).
     order_exprs = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
@@ -58,8 +58,17 @@ def _sorted_blocks(
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_RID, F.monotonically_increasing_id())
     )
-    rows = cut_lineage(laid_out)
+    return cut_lineage(laid_out)
 
+
+def _sorted_blocks(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order_cols: Sequence[Column | str],
+    num_partitions: int | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Steps 1-3: stamped rows and the per-block offset table."""
+    rows = _sorted_rows(df, group_cols, order_cols, num_partitions)
     blocks = rows.groupBy(_PID, *group_cols).agg(
         F.count(F.lit(1)).alias(_BLOCK_N), F.min(_RID).alias(_FIRST)
     )
@@ -239,6 +248,19 @@ def mark_repeats(
     order_cols: Sequence[Column | str],
     flag_col: str = "is_duplicate",
 ) -> DataFrame:
-    """W-02: TRUE on every occurrence of an id except the first (R ``duplicated``)."""
-    ranked = rank_within(df, id_cols, order_cols, rank_col="__occ")
-    return ranked.withColumn(flag_col, F.col("__occ") > 1).drop("__occ")
+    """W-02: TRUE on every occurrence of an id except the first (R ``duplicated``).
+
+    In the sorted layout a row repeats its id when the row before has the same
+    one: inside a partition that is the previous row, for a partition's first
+    row the last id of the partition before -- a table of one row per
+    partition, however many ids there are.
+    """
+    ids = F.struct(*[F.col(c) for c in id_cols])
+    rows = _sorted_rows(df, id_cols, order_cols, None).withColumn("__id", ids)
+    ends = rows.groupBy(_PID).agg(F.max_by("__id", _RID).alias("__last"), F.count(F.lit(1)).alias("__n"))
+    before = ends.select(_PID, F.lag(F.struct("__last")).over(Window.orderBy(_PID)).alias("__before"))
+    own = Window.partitionBy(_PID).orderBy(_RID)
+    joined = rows.withColumn("__previous", F.lag(F.struct(F.col("__id").alias("__last"))).over(own)).join(before, _PID)
+    previous = F.coalesce("__previous", "__before")
+    same = previous.isNotNull() & previous["__last"].eqNullSafe(F.col("__id"))
+    return joined.withColumn(flag_col, same).drop(_PID, _RID, _TIE, "__id", "__previous", "__before")
