@@ -81,7 +81,7 @@ def chain_series(long: DataFrame, metadata: DataFrame, well: int | None = None)
 
 
 # C-04 ----------------------------------------------------------------------------------
-def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None = None) -> DataFrame:
+def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None = None, kept: Sequence[str] = ("Datum", "Probe_Nr")) -> DataFrame:
     """C-04: lab archive import by layout, for any number of workbooks.
 
     Per file: a META sheet -> header-1 reader; else a sheet starting with a
@@ -104,9 +104,9 @@ def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None =
 
     site_sheets = F.col("sheet_name").rlike(S.SITE_ID_PATTERN)
     parts = {
-        "header1": CL.gather_with_meta(files_of("header1"), keep_pattern=keep_pattern),
-        "header2": CL.gather_with_header(files_of("header2").where(site_sheets), CL.HEADER_2, keep_pattern),
-        "header4": CL.gather_with_header(files_of("header4").where(site_sheets), CL.HEADER_4, keep_pattern),
+        "header1": CL.gather_with_meta(files_of("header1"), keep_pattern=keep_pattern, kept=kept),
+        "header2": CL.gather_with_header(files_of("header2").where(site_sheets), CL.HEADER_2, keep_pattern, kept),
+        "header4": CL.gather_with_header(files_of("header4").where(site_sheets), CL.HEADER_4, keep_pattern, kept),
     }
     return R.union_fill(parts, "layout")
 

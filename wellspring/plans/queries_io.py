@@ -21,7 +21,7 @@ from ..tables import Tables
 from . import composites as C
 from .oracle import ORACLE
 from .queries import INSTALLATION_UTC, dbl, r6, register, ts
-from .queries_cells import lab_cells
+from .queries_cells import archive_cells, lab_cells
 from .queries_text import survey_paths
 
 STAT_COLS = ("min", "q10", "mean", "median", "q90", "max")
@@ -234,6 +234,26 @@ FROM m LEFT JOIN a ON m.werk IS NOT DISTINCT FROM a.werk AND m."year" IS NOT DIS
 """
 
 
+@register("lab_archive_merged")
+def lab_archive_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header-2 workbooks with a 'Datum' and header-4 workbooks with a 'Probenahme' as one
+    archive, then the yearly means."""
+    t = Tables(spark, sf_dir)
+    cells = archive_cells(t).where(F.col("file_name") != "lab_R.xlsx")
+    renamed = (F.col("file_name") == "lab_N.xlsx") & (F.col("row_idx") == 1) & (F.col("col_idx") == 1)
+    cells = cells.withColumn("value", F.when(renamed, F.lit("Probenahme")).otherwise(F.col("value")))
+    long = C.read_archive(cells, header4_files=["lab_N.xlsx"], kept=("Datum", "Probenahme"))
+    lookup_para, parameters, sites, abstraction = archive_lookups(t)
+    series = C.archive_timeseries(long, lookup_para, parameters, sites)
+    x = C.lab_archive_yearly(series, abstraction, "Rohwasser")
+    return x.withColumns({"mean_value": r6("mean_value"), "Foerdermenge_m3": r6("Foerdermenge_m3")})
+
+
+ORACLE["lab_archive_merged"] = ORACLE["lab_archive_yearly"].replace(
+    "WHERE prufgegenstand = 'Rohwasser'", "WHERE prufgegenstand = 'Rohwasser' AND file_name IN ('lab_A.xlsx', 'lab_N.xlsx')"
+)
+
+
 @register("availability_report")
 def availability_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = C.availability_report(archive_series(Tables(spark, sf_dir)), "W1")
@@ -306,3 +326,42 @@ SELECT ods_names_clean, CAST(skip_rows AS DOUBLE) AS skip_rows, CAST(year(datum)
        count(*) AS n, sum(lf) AS lf_sum
 FROM j GROUP BY ALL
 """
+
+
+@register("survey_sheets_mixed")
+def survey_sheets_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sheet without a date, one that calls its sites ``messstellen``; file names that meet
+    every skip rule of the plan."""
+    t = Tables(spark, sf_dir)
+    d = t.documents.select("doc_id", "lang", "source", "n_chars")
+    name = F.lower("source")
+    for source, clean in SURVEY_CLEAN_NAMES.items():
+        name = F.when(F.col("source") == source, F.lit(clean)).otherwise(name)
+    site = F.concat(F.lit("GF,Br"), F.col("doc_id").cast("string"))
+    datum = F.date_format(F.date_add(F.make_date(F.lit(1991), F.lit(1), F.lit(1)), F.col("doc_id").cast("int")), "yy/MM/dd")
+    a = d.where(F.col("lang") == "en").select(name.alias("ods_names_clean"), site.alias("messstelle"), F.col("n_chars").cast("double").alias("lf"))
+    b = d.where(F.col("lang") != "en").select(
+        name.alias("ods_names_clean"), site.alias("messstellen"),
+        F.when(F.col("lang") == "fr", F.lit("Datum")).otherwise(datum).alias("datum"),
+        F.col("n_chars").cast("double").alias("el_lf"),
+    )
+    plan = SR.import_plan(survey_paths(t)).select("ods_names_clean", "skip_rows")
+    x = C.survey_table({"undated": a, "other_name": b}, plan)
+    out = x.groupBy("ods_names_clean", "skip_rows", F.year("datum").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("lf").alias("lf_sum")
+    )
+    return out.withColumns({"skip_rows": dbl("skip_rows"), "year": dbl("year")})
+
+
+SURVEY_CLEAN_NAMES = {"src0": "cl25", "src1": "gwnmitte_91", "src2": "k1_ost", "src3": "b2_west"}
+ORACLE["survey_sheets_mixed"] = (
+    ORACLE["survey_counts"]
+    .replace(
+        "lower(source) AS ods_names_clean",
+        "CASE source WHEN 'src0' THEN 'cl25' WHEN 'src1' THEN 'gwnmitte_91' WHEN 'src2' THEN 'k1_ost'"
+        " WHEN 'src3' THEN 'b2_west' ELSE lower(source) END AS ods_names_clean",
+    )
+    .replace("messstelle, datum, CAST(n_chars AS DOUBLE) AS lf FROM d WHERE lang = 'en'", "messstelle, NULL AS datum, CAST(n_chars AS DOUBLE) AS lf FROM d WHERE lang = 'en'")
+    .replace('CAST(year(datum) AS INTEGER) AS "year"', 'CAST(year(datum) AS DOUBLE) AS "year"')
+    .replace("WHERE datum <> 'Datum' AND", "WHERE coalesce(datum, '') <> 'Datum' AND")
+)
