@@ -33,7 +33,7 @@ def brute(texts, k=10):
     return out
 
 
-@pytest.mark.parametrize(("shard_bytes", "round_terms", "block"), [(8 << 20, 2_000_000, 64), (20_000, 300, 4)])
+@pytest.mark.parametrize(("shard_bytes", "round_terms", "block"), [(8 << 20, 2_000_000, 64), (20_000, 300, 3)])
 def test_search_against_all_documents(spark, monkeypatch, shard_bytes, round_terms, block):
     monkeypatch.setattr(bm25, "SHARD_BYTES", shard_bytes)
     monkeypatch.setattr(bm25, "ROUND_TERMS", round_terms)
