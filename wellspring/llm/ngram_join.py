@@ -15,8 +15,9 @@ down in three steps, each exact:
 3. *Recursion.*  Larger open regions are split: a few pivots, each set goes to
    the Voronoi cell of the nearest and, by the triangle inequality, also to every
    cell whose pivot is at most two radii farther.  In what remains, only pairs
-   of different components whose distances to a pivot differ by at most the
-   radius are compared.
+   of different components are compared whose distances to a pivot differ by at
+   most the radius, and that have so many regions in common that the differing
+   classes can be as few as the differing shingles of a link.
 
 Equal sets are one node per task and class, so copies are never paired with
 each other.  Sets are compared by 64-bit shingle hashes.
@@ -43,13 +44,16 @@ from ..session import cut_lineage
 from .components import connected_components
 from .textops import distinct_per_document, mixed, shingle_hashes, slices, word_hashes
 
-BAND_RATIO = 1.5
+BAND_RATIO = 2
 #: Regions up to this many sets are compared directly; larger ones are split by this many pivots.
-LEAF = 64
+LEAF = 4096
 PIVOTS = 8
+#: Up to this many region numbers (8 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_REGIONS = 2_000_000
 #: Regions that pivots did not make smaller in so many rounds are compared directly.
 SPLITS = 3
 _SLACK = 1e-9
+_PARTS_BITS = 32
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +63,7 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def band_starts(limit: int) -> np.ndarray:
-    """Smallest set size of each size band: 1, 2, 3, 4, 6, 9, 13 ... beyond ``limit``."""
+    """Smallest set size of each size band: 1, 2, 4, 8 ... beyond ``limit``."""
     starts = [1]
     while starts[-1] <= limit:
         starts.append(max(starts[-1] + 1, int(starts[-1] * BAND_RATIO)))
@@ -71,13 +75,15 @@ def classes_of_band(last: int, similarity: Fraction) -> int:
     return int(2 * last * (1 - similarity) / (1 + similarity)) + 1
 
 
-def region_keys(h: np.ndarray, doc: np.ndarray, sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def region_keys(h: np.ndarray, doc: np.ndarray, sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(region, document, size band and number of the document's regions in it) of documents given
+    by their shingles, sorted by document.  A set is in its own size band and in those of larger sets it may link to."""
     starts = band_starts(int(sizes.max(initial=1) / similarity) + 1)
     classes = np.array([classes_of_band(int(b) - 1, similarity) for b in starts[1:]])
     own = np.searchsorted(starts, sizes, side="right") - 1
     largest = np.array([int(s / similarity) for s in sizes], np.int64)
     top = np.searchsorted(starts, largest, side="right") - 1
-    out_keys, out_doc = [], []
+    out_keys, out_doc, out_parts = [], [], []
     for extra in range(int((top - own).max(initial=0)) + 1):
         band = own + extra
         has = (band <= top) & (sizes > 0)
@@ -98,14 +104,16 @@ def region_keys(h: np.ndarray, doc: np.ndarray, sizes: np.ndarray, similarity: F
         key = mixed(total + mixed((at[begin] - slot[d]).astype(np.uint64) * np.uint64(1_000_003) + band[d].astype(np.uint64)))
         out_keys.append(key)
         out_doc.append(d)
+        out_parts.append(np.bincount(d, minlength=len(sizes))[d] | band[d] << _PARTS_BITS)
     if not out_keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(out_keys), np.concatenate(out_doc)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(out_keys), np.concatenate(out_doc), np.concatenate(out_parts)
 
 
 def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """(doc_id, n_shingles, set_id, keys) of every document.  ``keys`` are the regions of
-    the set; a task gives them for the first document of each set that it meets."""
+    """(doc_id, n_shingles, set_id, keys, parts) of every document.  ``keys`` are the regions of
+    the set, ``parts`` the size band of each and how many the set has in it; a task gives them for
+    the first document of each set that it meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
@@ -124,14 +132,14 @@ def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                         met.add(name)
                         new[i] = True
                 keep = new[doc]
-                keys, of = region_keys(h[keep], doc[keep], sizes * new, similarity)
+                keys, of, parts = region_keys(h[keep], doc[keep], sizes * new, similarity)
                 order = np.argsort(of, kind="stable")
                 offsets = np.searchsorted(of[order], np.arange(n + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[order].view(np.int64)))
-                columns = [ids, pa.array(sizes.astype(np.int64)), pa.array(set_ids, pa.binary()), lists]
-                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "keys"])
+                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[order])) for x in (keys.view(np.int64), parts)]
+                columns = [ids, pa.array(sizes.astype(np.int64)), pa.array(set_ids, pa.binary()), *lists]
+                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "keys", "parts"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>, parts array<long>")
 
 
 def _shingles(docs: DataFrame, width: int) -> DataFrame:
@@ -183,6 +191,41 @@ def _split(rows: DataFrame, shingles: DataFrame, similarity: Fraction, seed: int
     return cells, measured.where("linked").select("a", "b")
 
 
+def _pairs(rows: DataFrame, similarity: Fraction) -> DataFrame:
+    """(a, b) of nodes of a region that have different labels and whose distances to the region's
+    pivot differ by the radius at most.  Where the rows say all ``regions`` of their node, a pair comes
+    from its first common region only, and only with as many common ones as a link has."""
+    columns = {"_l": "label", "_d": "distance", "_n": "n", "_p": "parts", "_r": "regions"}
+    columns = {short: name for short, name in columns.items() if name in rows.columns}
+    x = rows.select("region", F.col("node").alias("a"), *[F.col(name).alias(short + "a") for short, name in columns.items()])
+    y = rows.select("region", F.col("node").alias("b"), *[F.col(name).alias(short + "b") for short, name in columns.items()])
+    window = F.abs(F.col("_da") - F.col("_db")) <= float(1 - similarity) + _SLACK
+    cond = (x["region"] == y["region"]) & (F.col("a") < F.col("b")) & (F.col("_la") != F.col("_lb")) & window
+    if "_r" in columns:
+        common = F.array_intersect("_ra", "_rb")
+        most = F.floor((F.col("_na") + F.col("_nb")) * (float((1 - similarity) / (1 + similarity)) + _SLACK))
+        parts = F.greatest("_pa", "_pb").bitwiseAND((1 << _PARTS_BITS) - 1)
+        cond = cond & (F.array_min(common) == x["region"]) & (parts - F.size(common) <= most)
+    return x.join(y, cond).select("a", "b")
+
+
+def _members(cells: DataFrame, similarity: Fraction) -> DataFrame:
+    """(node, parts, n, regions, leading) for each set and size band; ``regions`` in one order for all
+    sets, small regions first.
+
+    Two linked sets differ in no more classes than shingles, so they have
+    ``parts - (differing shingles)`` regions in common at least: sets with fewer
+    shared regions are linked with nothing, and the first common region of two linked
+    sets is among the ``leading`` ones of both; regions that no other set has come first of all.
+    """
+    code = F.shiftleft(F.least("count", F.lit((1 << 18) - 1)), 45).bitwiseOR(F.col("region").bitwiseAND((1 << 45) - 1))
+    per = cells.groupBy("node", "parts").agg(F.max("n").alias("n"), F.sort_array(F.collect_set(code)).alias("regions"))
+    most = F.floor(F.col("n") * (float((1 - similarity) / similarity) + _SLACK))
+    least = F.greatest(F.col("parts").bitwiseAND((1 << _PARTS_BITS) - 1) - most, F.lit(1))
+    leading = F.size("regions") - least + 1
+    return per.withColumn("leading", leading.cast("int")).where("leading > 0")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: str | float = "0.8") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; ids are whole numbers."""
     at_least = Fraction(str(similarity))
@@ -191,9 +234,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = cut_lineage(_sets(texts, width, at_least))
 
     # 1. regions with more than one set
-    cells = sets.select(F.explode("keys").alias("region"), F.col("doc_id").alias("node"))
-    shared = cells.groupBy("region").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).where("_lo <> _hi")
-    rows = cut_lineage(cells.join(shared.select("region"), "region").distinct())
+    shared = cut_lineage(sets.select(F.explode("keys").alias("region")).groupBy("region").count().where("count > 1").select("region", "count"))
+    cells = sets.select(F.explode(F.arrays_zip("keys", "parts")).alias("k"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
+    cells = cells.select(F.col("k.keys").alias("region"), "node", "n", F.col("k.parts").alias("parts"))
+    cells = cells.join(F.broadcast(shared) if shared.count() <= BROADCAST_REGIONS else shared, "region")
+    members = cut_lineage(_members(cells, at_least))
+    rows = cut_lineage(members.select(F.explode(F.slice("regions", 1, F.col("leading"))).alias("region"), "node", "parts"))
     wanted = cut_lineage(rows.select(F.col("node").alias("doc_id")).distinct())
     shingles = cut_lineage(_shingles(texts.join(wanted, "doc_id", "left_semi"), width))
 
@@ -210,11 +256,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     measured = _measured(rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")), shingles, at_least)
     links = cut_lineage(links.unionByName(measured.where("linked").select("a", "b")))
     distances = rows.join(measured, (rows["node"] == measured["a"]) & (rows["pivot"] == measured["b"]), "left")
-    distances = distances.select("region", "node", F.coalesce("distance", F.lit(0.0)).alias("distance"))
+    distances = distances.select("region", "node", "parts", F.coalesce("distance", F.lit(0.0)).alias("distance"))
 
     # 3. open regions: split the large ones, compare what is left
     waiting = cut_lineage(_open_regions(distances, links))
-    direct = [waiting.where(F.col("size") <= LEAF)]
+    pairs = _pairs(waiting.where(F.col("size") <= LEAF).join(members, ["node", "parts"]), at_least)
     large = waiting.where(F.col("size") > LEAF)
     for seed in range(SPLITS):
         if large.isEmpty():
@@ -222,17 +268,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         cells, found = _split(large, shingles, at_least, seed)
         links = cut_lineage(links.unionByName(found))
         parts = cut_lineage(_open_regions(cells, links))
-        direct.append(parts.where(F.col("size") <= LEAF))
+        pairs = pairs.unionByName(_pairs(parts.where(F.col("size") <= LEAF), at_least))
         large = parts.where(F.col("size") > LEAF)
     else:
-        direct.append(large)
-    pairs = None
-    for part in direct:
-        x = part.select("region", F.col("node").alias("a"), F.col("label").alias("_la"), F.col("distance").alias("_da"))
-        y = part.select("region", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("distance").alias("_db"))
-        window = F.abs(F.col("_da") - F.col("_db")) <= radius + _SLACK
-        some = x.join(y, "region").where((F.col("a") < F.col("b")) & (F.col("_la") != F.col("_lb")) & window).select("a", "b")
-        pairs = some if pairs is None else pairs.unionByName(some)
+        pairs = pairs.unionByName(_pairs(large, at_least))
     last = _measured(pairs, shingles, at_least).where("linked").select("a", "b")
 
     components = connected_components(links.unionByName(last)).withColumnRenamed("node", "class_id")
