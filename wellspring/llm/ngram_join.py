@@ -31,16 +31,17 @@ columns are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_scratch, scratch_path
 from .components import connected_components
 from .textops import distinct_per_document, mixed, shingle_hashes, slices, word_hashes
 
@@ -48,8 +49,8 @@ BAND_RATIO = 2
 #: Regions up to this many sets are compared directly; larger ones are split by this many pivots.
 LEAF = 4096
 PIVOTS = 8
-#: Up to this many region numbers (8 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_REGIONS = 2_000_000
+#: Up to this many shared regions (12 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_REGIONS = 4_000_000
 #: Regions that pivots did not make smaller in so many rounds are compared directly.
 SPLITS = 3
 _SLACK = 1e-9
@@ -139,7 +140,46 @@ def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 columns = [ids, pa.array(sizes.astype(np.int64)), pa.array(set_ids, pa.binary()), *lists]
                 yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "keys", "parts"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>, parts array<long>")
+    return docs.mapInArrow(run, _SETS)
+
+
+_SETS = "doc_id long, n_shingles long, set_id binary, keys array<long>, parts array<long>"
+
+
+def _free(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written: it does so
+    when their plans are collected as garbage, which a driver with free memory puts off."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _shared_cells(sets: DataFrame) -> DataFrame:
+    """(region, count, node, n, parts) for the regions that more than one set has."""
+    spark = sets.sparkSession
+    shared = cut_lineage(
+        sets.select(F.explode("keys").alias("region")).groupBy("region").agg(F.count("*").cast("int").alias("count")).where("count > 1")
+    )
+    if shared.count() > BROADCAST_REGIONS:
+        cells = sets.select(F.explode(F.arrays_zip("keys", "parts")).alias("k"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
+        return cells.select(F.col("k.keys").alias("region"), "node", "n", F.col("k.parts").alias("parts")).join(shared, "region")
+    table = shared.toArrow()
+    order = np.argsort(table["region"].to_numpy())
+    known = spark.sparkContext.broadcast((table["region"].to_numpy()[order], table["count"].to_numpy()[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        regions, counts = known.value
+        for batch in batches:
+            keys = batch.column(2)
+            region = keys.flatten().to_numpy()
+            if not len(regions) or not len(region):
+                continue
+            at = np.minimum(np.searchsorted(regions, region), len(regions) - 1)
+            hit = np.flatnonzero(regions[at] == region)
+            row = pa.array(np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())[hit])
+            columns = [pa.array(region[hit]), pa.array(counts[at[hit]]), batch.column(0).take(row), batch.column(1).take(row), batch.column(3).flatten().take(pa.array(hit))]
+            yield pa.record_batch(columns, ["region", "count", "node", "n", "parts"])
+
+    return sets.select("doc_id", "n_shingles", "keys", "parts").mapInArrow(run, "region long, count int, node long, n long, parts long")
 
 
 def _shingles(docs: DataFrame, width: int) -> DataFrame:
@@ -218,7 +258,7 @@ def _members(cells: DataFrame, similarity: Fraction) -> DataFrame:
     shared regions are linked with nothing, and the first common region of two linked
     sets is among the ``leading`` ones of both; regions that no other set has come first of all.
     """
-    code = F.shiftleft(F.least("count", F.lit((1 << 18) - 1)), 45).bitwiseOR(F.col("region").bitwiseAND((1 << 45) - 1))
+    code = F.shiftleft(F.least("count", F.lit((1 << 18) - 1)).cast("long"), 45).bitwiseOR(F.col("region").bitwiseAND((1 << 45) - 1))
     per = cells.groupBy("node", "parts").agg(F.max("n").alias("n"), F.sort_array(F.collect_set(code)).alias("regions"))
     most = F.floor(F.col("n") * (float((1 - similarity) / similarity) + _SLACK))
     least = F.greatest(F.col("parts").bitwiseAND((1 << _PARTS_BITS) - 1) - most, F.lit(1))
@@ -231,21 +271,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     at_least = Fraction(str(similarity))
     radius = float(1 - at_least)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = cut_lineage(_sets(texts, width, at_least))
+    spark = docs.sparkSession
+    path = scratch_path(spark, "sets")
+    _sets(texts, width, at_least).write.parquet(path)
+    members = cut_lineage(_members(_shared_cells(spark.read.schema(_SETS).parquet(path)), at_least))
+    sets = cut_lineage(spark.read.schema(_SETS).parquet(path).select("doc_id", "n_shingles", "set_id", (F.size("keys") > 0).alias("is_node")))
+    drop_scratch(spark, path)
+    _free(spark)
 
     # 1. regions with more than one set
-    shared = cut_lineage(sets.select(F.explode("keys").alias("region")).groupBy("region").count().where("count > 1").select("region", "count"))
-    cells = sets.select(F.explode(F.arrays_zip("keys", "parts")).alias("k"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
-    cells = cells.select(F.col("k.keys").alias("region"), "node", "n", F.col("k.parts").alias("parts"))
-    cells = cells.join(F.broadcast(shared) if shared.count() <= BROADCAST_REGIONS else shared, "region")
-    members = cut_lineage(_members(cells, at_least))
     rows = cut_lineage(members.select(F.explode(F.slice("regions", 1, F.col("leading"))).alias("region"), "node", "parts"))
     wanted = cut_lineage(rows.select(F.col("node").alias("doc_id")).distinct())
     shingles = cut_lineage(_shingles(texts.join(wanted, "doc_id", "left_semi"), width))
+    _free(spark)
 
     # equal sets: every node to the smallest id of its set
     classes = sets.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("class_id"))
-    nodes = sets.where(F.size("keys") > 0).select("set_id", F.col("doc_id").alias("node"))
+    nodes = sets.where("is_node").select("set_id", F.col("doc_id").alias("node"))
     links = nodes.join(classes, "set_id").where("node <> class_id").select(F.col("node").alias("a"), F.col("class_id").alias("b"))
 
     # 2. one pivot for each region: the set that meets most others
