@@ -33,10 +33,11 @@ def brute(texts, k=10):
     return out
 
 
-@pytest.mark.parametrize(("shard_bytes", "round_terms", "block"), [(8 << 20, 2_000_000, 64), (20_000, 300, 3)])
+@pytest.mark.parametrize(("shard_bytes", "round_terms", "block"), [(8 << 20, 2_000_000, 1), (20_000, 300, 3), (8 << 20, 300, 1)])
 def test_search_against_all_documents(spark, monkeypatch, shard_bytes, round_terms, block):
     monkeypatch.setattr(bm25, "SHARD_BYTES", shard_bytes)
     monkeypatch.setattr(bm25, "ROUND_TERMS", round_terms)
+    monkeypatch.setattr(bm25, "BLOCK", block)
     texts = corpus(6, 120)
     texts[100] = texts[4] + " the an ou"
     texts |= {4000 + 100 * i: texts[i] for i in range(3)}
