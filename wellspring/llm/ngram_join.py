@@ -168,7 +168,8 @@ def _shared_cells(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regions, counts = known.value
-        for batch in batches:
+        # a few documents at a time: their keys are many times their number
+        for batch in (b.slice(first, 256) for b in batches for first in range(0, b.num_rows, 256)):
             keys = batch.column(2)
             region = keys.flatten().to_numpy()
             if not len(regions) or not len(region):
