@@ -40,7 +40,7 @@ from .textops import slices
 WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 512
-_CACHED_WORDS = 800_000
+_CACHED_WORDS = 250_000
 #: Where the tokenizer itself always cuts: a letter or digit, then an ASCII mark other than the apostrophe.
 _MARK_AFTER_WORD = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~])"
 
