@@ -1,6 +1,7 @@
 import random
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from wellspring.llm import ngram_join
@@ -72,6 +73,37 @@ def test_large_regions_are_split(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
 
 
+@pytest.mark.parametrize(("width", "similarity"), [(3, "9/10"), (5, "8/10")])
+def test_near_copies_of_few_words(spark, width, similarity):
+    """Sets of few shingles, whose equal classes are often empty ones."""
+    rng = random.Random(width)
+    texts, expected = {}, {}
+    for seed in range(6000):
+        first = [f"s{seed}w{i}" for i in range(rng.randint(5, 60))]
+        second = first + [f"s{seed}x{i}" for i in range(rng.randint(0, 3))]
+        if rng.random() < 0.4:
+            second[rng.choice([0, rng.randrange(len(second))])] = f"s{seed}y"
+        pair = {2 * seed: " ".join(first), 2 * seed + 1: " ".join(second[rng.randint(0, 2) :])}
+        texts |= pair
+        expected |= brute(pair, width, similarity)
+    rows = ngram_join.jaccard_components(frame(spark, texts, (), ()), width=width, similarity=similarity).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
+
+
+def test_linked_sets_share_a_leading_region():
+    """Random sets around the last sizes of a band, where no class is to spare."""
+    rng = np.random.default_rng(3)
+    for similarity in (Fraction(9, 10), Fraction(8, 10)):
+        for seed in range(3000):
+            union = int(rng.integers(4, 140))
+            h = rng.integers(0, 2**63, union).astype(np.uint64)
+            most = int(union * (1 - similarity))
+            cut = int(rng.integers(0, most + 1))
+            sets = [np.sort(h[cut:]), np.sort(h[: union - (most - cut)])]
+            keys, doc, parts = ngram_join.region_keys(np.concatenate(sets), np.repeat([0, 1], [len(x) for x in sets]), np.array([len(x) for x in sets]), similarity)
+            assert set(keys[doc == 0]) & set(keys[doc == 1]), (similarity, seed, union, cut)
+
+
 def test_one_per_group(spark):
     texts = corpus(3, 20)
     docs = frame(spark, texts)

@@ -8,7 +8,9 @@ down in three steps, each exact:
    two linked sets of this size can differ in.  In at least one class their
    parts are then equal: distance 0 in that class's own Jaccard space, where
    every distinct part is a pivot and its Voronoi cell needs no window.  A
-   cell (region) with one set is done.
+   cell (region) with one set is done.  Parts that are empty in both sets say
+   nothing: a set with so few parts that all it has in common with a linked one may
+   be empty ones has each of its shingles as a class of its own too.
 2. *Pivots.*  In each region the set with most neighbours in its cells is
    the pivot; all sets of the region are measured against it.  Those within the
    radius are linked.  Regions whose sets are one component are done.
@@ -55,6 +57,8 @@ BROADCAST_REGIONS = 4_000_000
 SPLITS = 3
 _SLACK = 1e-9
 _PARTS_BITS = 32
+#: Marks the ``parts`` of regions that are single shingles.
+_SINGLE = 1 << 48
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,15 +80,26 @@ def classes_of_band(last: int, similarity: Fraction) -> int:
     return int(2 * last * (1 - similarity) / (1 + similarity)) + 1
 
 
+def most_differing(sizes: np.ndarray, others: np.ndarray, similarity: Fraction) -> np.ndarray:
+    """The shingles by which linked sets of these two sizes can differ."""
+    p, q = similarity.numerator, similarity.denominator
+    return (sizes + others) * (q - p) // (q + p)
+
+
 def region_keys(h: np.ndarray, doc: np.ndarray, sizes: np.ndarray, similarity: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(region, document, size band and number of the document's regions in it) of documents given
-    by their shingles, sorted by document.  A set is in its own size band and in those of larger sets it may link to."""
+    by their shingles, sorted by document.  A set is in its own size band and in those of larger sets it may link to.
+
+    Two linked sets have a common region in the band of the larger one unless both have no more parts
+    there than shingles can differ, for then all equal parts may be empty.  Such sets
+    also have one region for each shingle, the same in all bands."""
     starts = band_starts(int(sizes.max(initial=1) / similarity) + 1)
     classes = np.array([classes_of_band(int(b) - 1, similarity) for b in starts[1:]])
     own = np.searchsorted(starts, sizes, side="right") - 1
     largest = np.array([int(s / similarity) for s in sizes], np.int64)
     top = np.searchsorted(starts, largest, side="right") - 1
     out_keys, out_doc, out_parts = [], [], []
+    single = np.zeros(len(sizes), bool)
     for extra in range(int((top - own).max(initial=0)) + 1):
         band = own + extra
         has = (band <= top) & (sizes > 0)
@@ -103,9 +118,17 @@ def region_keys(h: np.ndarray, doc: np.ndarray, sizes: np.ndarray, similarity: F
         total = np.add.reduceat(value, begin)
         d = dd[order][begin]
         key = mixed(total + mixed((at[begin] - slot[d]).astype(np.uint64) * np.uint64(1_000_003) + band[d].astype(np.uint64)))
+        parts = np.bincount(d, minlength=len(sizes))
         out_keys.append(key)
         out_doc.append(d)
-        out_parts.append(np.bincount(d, minlength=len(sizes))[d] | band[d] << _PARTS_BITS)
+        out_parts.append(parts[d] | band[d] << _PARTS_BITS)
+        last = starts[np.minimum(band, len(classes) - 1) + 1] - 1
+        single |= has & (parts <= most_differing(sizes, np.minimum(largest, last), similarity))
+    pick = single[doc]
+    if pick.any():
+        out_keys.append(mixed(h[pick] + np.uint64(1_000_003)))
+        out_doc.append(doc[pick])
+        out_parts.append(sizes[doc[pick]] | _SINGLE)
     if not out_keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(out_keys), np.concatenate(out_doc), np.concatenate(out_parts)
@@ -255,14 +278,22 @@ def _members(cells: DataFrame, similarity: Fraction) -> DataFrame:
     sets, small regions first.
 
     Two linked sets differ in no more classes than shingles, so they have
-    ``parts - (differing shingles)`` regions in common at least: sets with fewer
-    shared regions are linked with nothing, and the first common region of two linked
-    sets is among the ``leading`` ones of both; regions that no other set has come first of all.
+    ``parts - (differing shingles)`` regions in common at least, where no more than
+    those of the largest partner in the band differ, and of regions that are single shingles
+    ``similarity * n``: sets with fewer shared regions are linked with nothing, and the first
+    common region of two linked sets is among the ``leading`` ones of both; regions that no
+    other set has come first of all.  Where the parts promise none, all regions are leading,
+    for the other set may be one whose parts promise one.
     """
     code = F.shiftleft(F.least("count", F.lit((1 << 18) - 1)).cast("long"), 45).bitwiseOR(F.col("region").bitwiseAND((1 << 45) - 1))
     per = cells.groupBy("node", "parts").agg(F.max("n").alias("n"), F.sort_array(F.collect_set(code)).alias("regions"))
-    most = F.floor(F.col("n") * (float((1 - similarity) / similarity) + _SLACK))
-    least = F.greatest(F.col("parts").bitwiseAND((1 << _PARTS_BITS) - 1) - most, F.lit(1))
+    lasts = F.array(*[F.lit(int(b) - 1) for b in band_starts(1 << 48)[1:]])
+    last = F.get(lasts, F.shiftright("parts", _PARTS_BITS).cast("int"))
+    partner = F.least(F.floor(F.col("n") * (float(1 / similarity) + _SLACK)), last)
+    most = F.floor((F.col("n") + partner) * (float((1 - similarity) / (1 + similarity)) + _SLACK))
+    of_parts = F.col("parts").bitwiseAND((1 << _PARTS_BITS) - 1) - most
+    of_shingles = F.ceil(F.col("n") * (float(similarity) - _SLACK))
+    least = F.greatest(F.when(F.col("parts") < _SINGLE, of_parts).otherwise(of_shingles), F.lit(1))
     leading = F.size("regions") - least + 1
     return per.withColumn("leading", leading.cast("int")).where("leading > 0")
 
