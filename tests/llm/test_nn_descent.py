@@ -60,6 +60,21 @@ def test_recall_of_the_descent(spark, monkeypatch):
     same(out, brute(good, [i for i in good if i % 100 == 0]), 0.9)
 
 
+def test_descent_goes_on_until_few_links_change(spark):
+    """Three trees of small leaves are a start that two rounds do not make good enough."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "id long, vector array<float>")
+    nodes = nn_descent._packed(df, 1.0).cache()
+    forest = nn_descent.Forest(8, 4, 3).fit(x[:500])
+    graph = nn_descent.neighbour_graph(nodes, forest, leaf=16, neighbours=12, sample=6).collect()
+    d = ((x[:, None, :].astype(float) - x[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    best = np.argsort(d, axis=1)[:, :12]
+    assert len(graph) == len(x)
+    assert np.mean([len(set(r.nodes) & set(best[r.id])) / 12 for r in graph]) > 0.9
+
+
 def test_query_recall(spark):
     rows = nn_descent.op8_neighbours(spark, SF).collect()
     read = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}

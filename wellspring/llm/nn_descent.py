@@ -8,7 +8,8 @@ and every vector keeps its ``neighbours`` nearest of all trees.
 *Descent.*  In each round every vector gathers some of its neighbours and of
 those that have it as one, new links first; Spark joins bring their vectors
 together, every pair with a new link is measured, and the graph keeps the
-nearest.  Every stage shuffles at most ``2 * sample`` vectors for each vector.
+nearest.  Rounds end when the links that the last one found are less than ``delta``
+of all.  Every stage shuffles at most ``2 * sample`` vectors for each vector.
 
 *Search.*  A query starts at leaf mates and a few fixed nodes and keeps its
 ``beam`` nearest nodes; in each round all that are not yet expanded send for
@@ -29,6 +30,7 @@ returned; an empty table gives no rows; only the id and vector columns are read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,7 +44,8 @@ TREES = 12
 LEAF = 512
 NEIGHBOURS = 24
 SAMPLE = 12
-ROUNDS = 2
+#: Rounds end when a smaller share of the links is new (the value of the NN-descent paper).
+DELTA = 0.001
 BEAM = 400
 ENTRIES = 8
 FIXED_ENTRIES = 64
@@ -242,10 +245,13 @@ def _round(nodes: DataFrame, graph: DataFrame, sample: int, neighbours: int, see
     return _nearest(old.unionByName(measured.withColumn("fresh", F.lit(True))), neighbours)
 
 
-def neighbour_graph(nodes: DataFrame, forest: Forest, leaf: int = LEAF, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, forest: Forest, leaf: int = LEAF, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, delta: float = DELTA) -> DataFrame:
     """(id, nodes, distances): the links of each node, to and from, at most ``2 * neighbours``."""
     graph = cut_lineage(_nearest(_leaf_neighbours(_coded(nodes, forest), leaf, neighbours).withColumn("fresh", F.lit(True)), neighbours))
-    for seed in range(rounds):
+    new = F.sum(F.size(F.filter("fresh", lambda x: x))) / F.sum(F.size("fresh"))
+    for seed in itertools.count():
+        if (graph.agg(new).first()[0] or 0) < delta:
+            break
         graph = cut_lineage(_round(nodes, graph, sample, neighbours, seed))
     links = graph.select("id", F.explode(F.arrays_zip("nodes", "distances")).alias("l")).select("id", F.col("l.nodes").alias("node"), F.col("l.distances").alias("distance"))
     back = links.select(F.col("node").alias("id"), F.col("id").alias("node"), "distance")
