@@ -75,6 +75,25 @@ def test_descent_goes_on_until_few_links_change(spark):
     assert np.mean([len(set(r.nodes) & set(best[r.id])) / 12 for r in graph]) > 0.9
 
 
+def test_one_huge_row_leaves_the_other_distances(spark):
+    rng = np.random.default_rng(8)
+    good = {i: [float(np.float32(v)) for v in rng.normal(size=12)] for i in range(1, 1500)}
+    good[0] = [float(np.float32(1e25))] + [0.0] * 11
+    df = spark.createDataFrame(list(good.items()), "vec_id long, embedding array<float>")
+    out = nn_descent.nearest_neighbours(df, lambda c: c % 100 == 0).collect()
+    ids = [i for i in good if i % 100 == 0 and i]
+    same([r for r in out if r.query_id], brute(good, ids), 0.95)
+
+
+def test_a_node_without_links_finds_itself(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, [float(c) for c in rng.normal(size=4)]) for i in range(400)], "id long, vector array<float>")
+    nodes = nn_descent._packed(df, 1.0).cache()
+    graph = spark.createDataFrame([], "id long, nodes array<long>")
+    found = nn_descent.greedy_search(nodes, graph, nodes, nn_descent.Forest(4, 0, 1)).collect()
+    assert len(found) == 400 and all(r.nodes[0] == r.query for r in found)
+
+
 def test_query_recall(spark):
     rows = nn_descent.op8_neighbours(spark, SF).collect()
     read = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}

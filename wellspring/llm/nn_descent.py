@@ -11,7 +11,7 @@ together, every pair with a new link is measured, and the graph keeps the
 nearest.  Rounds end when the links that the last one found are less than ``delta``
 of all.  Every stage shuffles at most ``2 * sample`` vectors for each vector.
 
-*Search.*  A query starts at leaf mates and a few fixed nodes and keeps its
+*Search.*  A query starts at its own node, leaf mates and a few fixed nodes and keeps its
 ``beam`` nearest nodes; in each round all that are not yet expanded send for
 their neighbours.  Distances are computed where the nodes are: for each round and
 block a query's vector travels once, with the list of nodes to measure.  It ends when
@@ -20,6 +20,8 @@ precision, on the original vectors.
 
 Equal vectors are one node, and each found node stands for its members with the
 smallest ids, so a vector with many copies is one node and its answers exact.
+Vectors travel as float32 with a unit of their own and are measured in double
+precision, so very large rows do not flatten the distances of others.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, neither as query nor as answer; rows with a null id
@@ -61,20 +63,23 @@ def _usable(vector: Column) -> Column:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Rows of a column of equally long binary float32 vectors."""
+    """Rows of a column of equally long vectors, each its unit and its float32 multiples."""
     if not len(column):
-        return np.zeros((0, 0), np.float32)
-    return np.stack([np.frombuffer(x.as_buffer(), np.float32) for x in column])
+        return np.zeros((0, 0))
+    raw = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for x in column])
+    return raw[:, 8:].copy().view("<f4") * raw[:, :8].copy().view("<f8")
 
 
 def _packed(docs: DataFrame, scale: float) -> DataFrame:
-    """(id, vector) with the vector, divided by ``scale``, as float32 bytes."""
+    """(id, vector) with the vector, divided by ``scale``, as bytes: a power of two near its
+    largest component, and float32 multiples of that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = (batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float) / scale).astype("<f4")
-            width = len(flat) // max(batch.num_rows, 1)
-            rows = [x.tobytes() for x in flat.reshape(batch.num_rows, width)]
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float) / scale
+            x = flat.reshape(batch.num_rows, len(flat) // max(batch.num_rows, 1))
+            unit = np.ldexp(1.0, np.frexp(np.abs(x).max(1, initial=0))[1]).astype("<f8")
+            rows = [u.tobytes() + r.tobytes() for u, r in zip(unit, (x / unit[:, None]).astype("<f4"), strict=True)]
             yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary())], ["id", "vector"])
 
     return docs.mapInArrow(run, "id long, vector binary")
@@ -116,11 +121,11 @@ def _lists(owner: np.ndarray, node: np.ndarray, distance: np.ndarray) -> pa.Reco
     begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
     offsets = pa.array(np.r_[begin, len(owner)].astype(np.int32))
     nodes = pa.ListArray.from_arrays(offsets, pa.array(node))
-    distances = pa.ListArray.from_arrays(offsets, pa.array(distance.astype(np.float32)))
+    distances = pa.ListArray.from_arrays(offsets, pa.array(distance.astype(np.float64)))
     return pa.record_batch([pa.array(owner[begin]), nodes, distances], ["id", "nodes", "distances"])
 
 
-_LISTS = "id long, nodes array<long>, distances array<float>"
+_LISTS = "id long, nodes array<long>, distances array<double>"
 
 
 class Forest:
@@ -130,11 +135,11 @@ class Forest:
         rng = np.random.default_rng(seed)
         self.bits, self.trees = bits, trees
         self.planes = rng.normal(size=(width, trees * bits)).astype(np.float32)
-        self.medians = np.zeros(trees * bits, np.float32)
+        self.medians = np.zeros(trees * bits)
 
     def fit(self, sample: np.ndarray) -> Forest:
         if len(sample):
-            self.medians = np.median(sample @ self.planes, axis=0).astype(np.float32)
+            self.medians = np.median(sample @ self.planes, axis=0)
         return self
 
     def codes(self, x: np.ndarray) -> np.ndarray:
@@ -260,7 +265,7 @@ def neighbour_graph(nodes: DataFrame, forest: Forest, leaf: int = LEAF, neighbou
     return cut_lineage(both.groupBy("id").agg(F.collect_set("node").alias("nodes")))
 
 
-_BEAM = "query long, vector binary, nodes array<long>, distances array<float>, expanded array<boolean>, news int"
+_BEAM = "query long, vector binary, nodes array<long>, distances array<double>, expanded array<boolean>, news int"
 
 
 def _merged(beams: DataFrame, beam: int) -> DataFrame:
@@ -287,7 +292,7 @@ def _merged(beams: DataFrame, beam: int) -> DataFrame:
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.binary()),
                     pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                    pa.array([r[3] for r in rows], pa.list_(pa.float32())),
+                    pa.array([r[3] for r in rows], pa.list_(pa.float64())),
                     pa.array([r[4] for r in rows], pa.list_(pa.bool_())),
                     pa.array([r[5] for r in rows], pa.int32()),
                 ],
@@ -306,7 +311,7 @@ def _measure(asked: DataFrame, vectors: DataFrame, nodes: DataFrame, blocks: int
     together = home.unionByName(requests.select("block", "query", "vector", "nodes", F.lit(1).alias("kind")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, ids, x, size = None, np.zeros(0, np.int64), np.zeros((0, 0), np.float32), None
+        here, ids, x, size = None, np.zeros(0, np.int64), np.zeros((0, 0)), None
         chunks: list = []
         for batch in batches:
             out: list[tuple] = []
@@ -333,12 +338,12 @@ def _measure(asked: DataFrame, vectors: DataFrame, nodes: DataFrame, blocks: int
                     wanted = asked_nodes.values.to_numpy()
                     at = np.searchsorted(ids, wanted)
                     d = ((x[at] - q) ** 2).sum(1)
-                    out.append((query, raw.as_py(), wanted, d.astype(np.float32), np.zeros(len(wanted), bool)))
-            types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.bool_())]
+                    out.append((query, raw.as_py(), wanted, d, np.zeros(len(wanted), bool)))
+            types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_())]
             yield pa.record_batch([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["query", "vector", "nodes", "distances", "expanded"])
 
     dealt = together.repartition("block").sortWithinPartitions("block", "kind")
-    return dealt.mapInArrow(run, "query long, vector binary, nodes array<long>, distances array<float>, expanded array<boolean>")
+    return dealt.mapInArrow(run, "query long, vector binary, nodes array<long>, distances array<double>, expanded array<boolean>")
 
 
 def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, forest: Forest, beam: int = BEAM, blocks: int = 1, entries: int = ENTRIES) -> DataFrame:
@@ -348,6 +353,7 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, forest
     fixed = nodes.select("id").orderBy(F.xxhash64("id")).limit(FIXED_ENTRIES)
     start = _coded(queries, forest).select("id", "leaf").join(mates.select("leaf", F.col("id").alias("node")), "leaf").select(F.col("id").alias("query"), "node")
     start = start.unionByName(queries.select(F.col("id").alias("query")).join(F.broadcast(fixed.select(F.col("id").alias("node")))))
+    start = start.unionByName(queries.select(F.col("id").alias("query"), F.col("id").alias("node")))
     state = cut_lineage(_merged(_measure(start, queries.select(F.col("id").alias("query"), "vector"), nodes, blocks), beam))
     done = None
     while not state.where("news > 0").isEmpty():
