@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bm25, chat, mixing, ngram_join, nn_descent, packing, quality, repeats, token_counts, toxicity
+from . import bm25, chat, infill, mixing, ngram_join, nn_descent, packing, quality, repeats, spelling, token_counts, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -17,12 +17,16 @@ QUERIES = {
     "op8_neighbours": nn_descent.op8_neighbours,
     "op9_search": bm25.op9_search,
     "op10_chat": chat.op10_chat,
+    "op12_infill": infill.op12_infill,
+    "op13_spelling": spelling.op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op10_chat": chat.ORACLE_SQL,
+    "op12_infill": infill.ORACLE_SQL,
+    "op13_spelling": spelling.ORACLE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
