@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bm25, chat, infill, mixing, ngram_join, nn_descent, packing, quality, repeats, spelling, token_counts, toxicity
+from . import bm25, chat, context_tree, infill, mixing, ngram_join, nn_descent, packing, quality, repeats, spelling, token_counts, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_neighbours": nn_descent.op8_neighbours,
     "op9_search": bm25.op9_search,
     "op10_chat": chat.op10_chat,
+    "op11_scores": context_tree.op11_scores,
     "op12_infill": infill.op12_infill,
     "op13_spelling": spelling.op13_spelling,
     "pipeline": corpus_pipeline.run,
@@ -25,6 +26,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op10_chat": chat.ORACLE_SQL,
+    "op11_scores": context_tree.op11_scores,
     "op12_infill": infill.ORACLE_SQL,
     "op13_spelling": spelling.ORACLE_SQL,
 }
