@@ -14,7 +14,7 @@ def spark():
 
     s = get_session(
         app_name="wellspring-tests",
-        master="local[*]",
+        master=f"local[{os.environ.get('TEST_CPUS', '*')}]",
         shuffle_partitions=8,
         extra_conf={"spark.driver.memory": "8g"},
     )

@@ -12,13 +12,17 @@ gathering and joining of any number of workbooks is one distributed job:
 * kept columns (dates, sample ids) and value cells meet in one aggregation
   per (file, sheet, row) -- bounded by the sheet width -- so attaching the
   kept columns to every value costs a single shuffle of the body.
+
+A cell, column name or description that is there more than once never ends a job: one of
+them counts by a stated rule, and ``sheet_problems`` names the sheet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,13 +61,20 @@ def cell_range(
 
 
 # R-05 / H-18 -------------------------------------------------------------------------
+def header_rows(cells: DataFrame, n: int) -> DataFrame:
+    """One row per (file, sheet, col_idx) with a cell in rows 1..n: the cells as ``h1`` ... ``hn`` (of
+    repeated cells the smallest value) and ``repeated``, an array of how many too many each row has."""
+    row, value = F.col("row_idx"), F.col("value")
+    parts = [F.min(F.when(row == i, value)).alias(f"h{i}") for i in range(1, n + 1)]
+    surplus = [F.greatest(F.count(F.when(row == i, 1)) - 1, F.lit(0)) for i in range(1, n + 1)]
+    return cells.where(row <= n).groupBy(*SHEET, "col_idx").agg(*parts, F.array(*surplus).alias("repeated"))
+
+
 def header_metadata(cells: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per (file, sheet, col_idx) with the header rows as columns,
     the '@' key (all-missing tail removed) and the sheet's site id."""
-    n = len(names)
-    head = cells.where(F.col("row_idx") <= n)
-    parts = [F.max(F.when(F.col("row_idx") == i + 1, F.col("value"))).alias(nm) for i, nm in enumerate(names)]
-    meta = head.groupBy(*SHEET, "col_idx").agg(*parts)
+    rows = header_rows(cells, len(names))
+    meta = rows.select(*SHEET, "col_idx", *[F.col(f"h{i + 1}").alias(name) for i, name in enumerate(names)])
     return meta.withColumn("key", S.header_key(list(names))).withColumn("site_id", S.site_id("sheet_name"))
 
 
@@ -76,59 +87,70 @@ def _roles(columns: DataFrame, name_col: str, keep_pattern: str) -> DataFrame:
     return columns.withColumn("__role", role)
 
 
-def _gather_rows(
-    body: DataFrame,
-    columns: DataFrame,
-    name_col: str,
-    carry: Sequence[str],
-    keep_pattern: str,
-    kept: Sequence[str],
-) -> DataFrame:
-    """R-06 + gather in one shuffle.
-
-    ``columns`` has one row per (file, sheet, col_idx) with ``name_col`` and
-    the header columns to ``carry``.  Columns whose name matches
-    ``keep_pattern`` are kept (of duplicates the leftmost, see
-    ``dropped_columns``); all others are gathered.  One aggregation per sheet
-    row -- a row has at most sheet-width cells -- builds the kept values as a
-    map and the value cells as a list, which is exploded back to one row per
-    value.  The names in ``kept`` become columns, all kept values of the row
-    stay in the map column ``kept``; no name is looked up in the data.
+def _first_of_each(cells: Column, field: str) -> Column:
+    """Of the structs with one value of ``field`` the smallest; the arrays without repeats, as nearly all are, stay as they are."""
+    ordered = F.sort_array(cells)
+    firsts = F.filter(ordered, lambda x, i: (i == 0) | (x[field] != F.get(ordered, i - 1)[field]))
+    repeats = F.size(F.array_distinct(F.transform(cells, lambda x: x[field]))) < F.size(cells)
+    return F.when(repeats, firsts).otherwise(cells)
+
+
+def sheet_rows(cells: DataFrame, columns: DataFrame, kept: Sequence[str], kept_map: bool) -> DataFrame:
+    """One row per sheet row below the header: the ``kept`` names as columns (with ``kept_map`` also all
+    kept cells as the map ``kept``), the value cells as ``__vals`` and ``__repeated``, how many cells
+    are there more than once.  The one shuffle of the body.
+
+    ``columns`` has one row per (file, sheet, col_idx) with ``__depth``, the number of header
+    rows of the sheet, ``__name`` and ``__role``.  Only the kept columns, a few of each sheet, meet the
+    body before the shuffle; of a repeated cell the smallest value counts.
     """
-    roles = _roles(columns, name_col, keep_pattern).where(F.col("__role") != "d")
-    cells = body.join(roles.select(*SHEET, "col_idx", name_col, "__role"), [*SHEET, "col_idx"], "inner")
-    # Only (column, value) travels through the row shuffle; the header
-    # columns are joined again after the explode.
-    per_row = cells.groupBy(*SHEET, "row_idx").agg(
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("__role") == "k", F.struct(F.col(name_col), F.col("value"))))
-        ).alias("__kept"),
-        F.collect_list(
-            F.when(F.col("__role") == "v", F.struct(F.col("col_idx"), F.col("value").alias("DataValue")))
-        ).alias("__vals"),
-    )
-    long = per_row.select(*SHEET, "row_idx", "__kept", F.explode("__vals").alias("__v")).select(
-        *SHEET, "row_idx", "__kept", "__v.col_idx", "__v.DataValue"
+    sheets = columns.select(*SHEET, "__depth").distinct()
+    keys = columns.where(F.col("__role") != "v").select(*SHEET, "col_idx", "__name", "__role")
+    body = cells.where(F.col("row_idx") > 1).join(sheets, [*SHEET]).where(F.col("row_idx") > F.col("__depth"))
+    role = F.col("__role")
+    per_row = (
+        body.join(keys, [*SHEET, "col_idx"], "left")
+        .where(role.isNull() | (role == "k"))
+        .groupBy(*SHEET, "row_idx")
+        .agg(
+            F.collect_list(F.when(role == "k", F.struct("__name", "col_idx", "value"))).alias("__keys"),
+            F.collect_list(F.when(role.isNull(), F.struct("col_idx", "value"))).alias("__cells"),
+        )
+        .withColumns({"__k": _first_of_each(F.col("__keys"), "__name"), "__vals": _first_of_each(F.col("__cells"), "col_idx")})
     )
-    header = roles.where(F.col("__role") == "v").select(*SHEET, "col_idx", name_col, *carry)
-    long = long.join(header, [*SHEET, "col_idx"], "inner")
-    return long.select(
-        *[F.try_element_at("__kept", F.lit(k)).alias(k) for k in kept],
-        F.col("__kept").alias("kept"),
+    by_name = F.map_from_entries(F.transform("__k", lambda x: F.struct(x["__name"], x["value"])))
+    surplus = F.size("__keys") - F.size("__k") + F.size("__cells") - F.size("__vals")
+    return per_row.select(
         *SHEET,
         "row_idx",
-        "col_idx",
-        "DataValue",
-        name_col,
-        *carry,
+        *[F.try_element_at(by_name, F.lit(k)).alias(k) for k in kept],
+        *([by_name.alias("kept")] if kept_map else []),
+        "__vals",
+        surplus.alias("__repeated"),
     )
 
 
+def long_cells(rows: DataFrame, columns: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """R-06: the value cells of ``sheet_rows`` one by one, with the header columns ``carry``; columns without
+    any header drop out (``dropped_columns``).  Joined by position, so equal header names cannot fan out."""
+    fixed = [c for c in rows.columns if not c.startswith("__")]
+    long = rows.select(*fixed, F.inline("__vals")).withColumnRenamed("value", "DataValue")
+    header = columns.where(F.col("__role") == "v").select(*SHEET, "col_idx", *carry)
+    return long.join(header, [*SHEET, "col_idx"], "inner")
+
+
+def _prepared(columns: DataFrame, name_col: str, depth: int, keep_pattern: str | None) -> DataFrame:
+    named = columns.withColumns({"__name": F.col(name_col), "__depth": F.lit(depth)})
+    # one pass over the header rows, written: every later step reads this small table, not the cells
+    return cut_lineage(_roles(named, "__name", keep_pattern or gather_ignore_pattern()))
+
+
 def gather_with_header(
     cells: DataFrame,
     header_names: Sequence[str] = HEADER_2,
     keep_pattern: str | None = None,
     kept: Sequence[str] = KEPT_NAMES,
+    kept_map: bool = True,
 ) -> DataFrame:
     """R-03 / R-04 (header-2 / header-4 sheets) -> long table.
 
@@ -136,42 +158,51 @@ def gather_with_header(
     ``DataValue``, header columns, ``file_name``, ``sheet_name``, ``site_id``,
     ``row_idx``, ``col_idx``.
     """
-    keep_pattern = keep_pattern or gather_ignore_pattern()
-    n = len(header_names)
-    # One pass over the header rows, materialised: every later step reads
-    # this small table, not the cells.
-    meta = cut_lineage(header_metadata(cells, header_names))
-    body = cells.where(F.col("row_idx") > n)
-    long = _gather_rows(body, meta, "key", [*header_names, "site_id"], keep_pattern, kept)
+    columns = _prepared(header_metadata(cells, header_names), "key", len(header_names), keep_pattern)
+    long = long_cells(sheet_rows(cells, columns, kept, kept_map), columns, ["key", *header_names, "site_id"])
     return long.select(
-        *kept, "kept", "key", "DataValue", *header_names, *SHEET, "site_id", "row_idx", "col_idx"
+        *kept, *["kept"] * kept_map, "key", "DataValue", *header_names, *SHEET, "site_id", "row_idx", "col_idx"
     )
 
 
-def dropped_columns(cells: DataFrame, header_names: Sequence[str] = HEADER_2, keep_pattern: str | None = None) -> DataFrame:
-    """Q-H: what gathering leaves out, per (file, sheet, col_idx): further kept
-    columns of one name ('second kept column') and columns without any header
-    ('no header'), with the number of their body cells."""
+def dropped_columns(
+    cells: DataFrame, header_names: Sequence[str] = HEADER_2, keep_pattern: str | None = None, kept: Sequence[str] | None = None
+) -> DataFrame:
+    """Q-H: what gathering leaves out of the long table, per (file, sheet, col_idx): further kept
+    columns of one name ('second kept column'), columns without any header ('no header') and, given
+    ``kept``, columns that ``keep_pattern`` keeps but ``kept`` does not name ('only in the map'),
+    with the number of their body cells."""
     keep_pattern = keep_pattern or gather_ignore_pattern()
     n = len(header_names)
     roles = _roles(header_metadata(cells, header_names), "key", keep_pattern).select(*SHEET, "col_idx", "key", "__role")
     counts = cells.where(F.col("row_idx") > n).groupBy(*SHEET, "col_idx").agg(F.count("value").alias("n_cells"))
-    reason = F.when(F.col("__role").isNull(), F.lit("no header")).when(F.col("__role") == "d", F.lit("second kept column"))
+    reason = (
+        F.when(F.col("__role").isNull(), F.lit("no header"))
+        .when(F.col("__role") == "d", F.lit("second kept column"))
+    )
+    if kept is not None:
+        reason = reason.when((F.col("__role") == "k") & S.not_in("key", kept), F.lit("only in the map"))
     joined = counts.join(roles, [*SHEET, "col_idx"], "left").withColumn("reason", reason)
     return joined.where(F.col("reason").isNotNull()).select(*SHEET, "col_idx", "key", "reason", "n_cells")
 
 
 def meta_rows(cells: DataFrame, meta_pattern: str = META_SHEET_PATTERN, fields: Sequence[str] = META_FIELDS) -> DataFrame:
     """The rows of META sheets as (file_name, Sheet, OriginalName, Name, other
-    ``fields``, meta): ``meta`` is a map of all columns of the sheet."""
+    ``fields``, meta, n_described): ``meta`` is a map of all columns of the sheet, of columns with one name
+    the leftmost.  A name that is described more than once has the first description and their
+    number in ``n_described``, so that no value is doubled."""
     meta_cells = cells.where(F.col("sheet_name").rlike(meta_pattern))
-    head = meta_cells.where(F.col("row_idx") == 1).select(*SHEET, "col_idx", F.col("value").alias("__field"))
+    head = meta_cells.where(F.col("row_idx") == 1).groupBy(*SHEET, "col_idx").agg(F.min("value").alias("__field"))
     field_of = meta_cells.where(F.col("row_idx") > 1).join(head, [*SHEET, "col_idx"])
-    rows = field_of.groupBy(*SHEET, "row_idx").agg(
-        *[F.max(F.when(F.col("__field") == f, F.col("value"))).alias(f) for f in fields],
-        F.map_from_entries(F.collect_list(F.struct("__field", "value"))).alias("meta"),
-    )
-    return rows.where(F.col("Sheet").isNotNull()).drop("sheet_name", "row_idx")
+    cell = F.struct("__field", "col_idx", "value")
+    rows = field_of.groupBy(*SHEET, "row_idx").agg(F.collect_list(cell).alias("__cells"))
+    by_name = F.transform(_first_of_each(F.col("__cells"), "__field"), lambda x: F.struct(x["__field"], x["value"]))
+    rows = rows.withColumn("meta", F.map_from_entries(by_name))
+    rows = rows.select(*SHEET, "row_idx", *[F.try_element_at("meta", F.lit(f)).alias(f) for f in fields], "meta")
+    others = [f for f in fields if f not in ("Sheet", "OriginalName")]
+    first = F.min_by(F.struct(*others, "meta"), F.struct("sheet_name", "row_idx")).alias("__first")
+    per_name = rows.where(F.col("Sheet").isNotNull()).groupBy("file_name", "Sheet", "OriginalName").agg(first, F.count(F.lit(1)).alias("n_described"))
+    return per_name.select("file_name", "Sheet", "OriginalName", "__first.*", "n_described")
 
 
 def gather_with_meta(
@@ -180,6 +211,7 @@ def gather_with_meta(
     keep_pattern: str | None = None,
     kept: Sequence[str] = KEPT_NAMES,
     fields: Sequence[str] = META_FIELDS,
+    kept_map: bool = True,
 ) -> DataFrame:
     """R-02 / J-07: header-1 sheets described by a META sheet.
 
@@ -189,21 +221,98 @@ def gather_with_meta(
     describe keeps its original name and is gathered too; further META columns
     come along as ``fields`` beyond the first three and in the map ``meta``.
     """
-    keep_pattern = keep_pattern or gather_ignore_pattern()
     more = [f for f in fields if f not in META_FIELDS]
     data = cells.where(~F.col("sheet_name").rlike(meta_pattern))
-    names = data.where(F.col("row_idx") == 1).select(*SHEET, "col_idx", F.col("value").alias("OriginalName"))
+    names = header_rows(data, 1).select(*SHEET, "col_idx", F.col("h1").alias("OriginalName"))
     about = meta_rows(cells, meta_pattern, fields).withColumnRenamed("Sheet", "sheet_name")
     described = names.join(about, ["file_name", "sheet_name", "OriginalName"], "left")
-    described = cut_lineage(described.withColumn("__name", F.coalesce("Name", "OriginalName")))
-    body = data.where(F.col("row_idx") > 1)
-    long = _gather_rows(body, described, "__name", ["OriginalName", "Name", *more, "meta"], keep_pattern, kept)
+    described = described.withColumn("VariableName_org", F.coalesce("Name", "OriginalName"))
+    columns = _prepared(described, "VariableName_org", 1, keep_pattern)
+    long = long_cells(sheet_rows(data, columns, kept, kept_map), columns, ["VariableName_org", "OriginalName", "Name", *more, "meta"])
     return long.select(
-        *kept, "kept", F.col("__name").alias("VariableName_org"), "DataValue", "OriginalName", "Name", *more, "meta",
+        *kept, *["kept"] * kept_map, "VariableName_org", "DataValue", "OriginalName", "Name", *more, "meta",
         *SHEET, "row_idx", "col_idx",
     )
 
 
+# P-21 / C-04 / Q-H: workbooks of all layouts in one pass ---------------------------------
+ARCHIVE_CARRY = (
+    "layout", "VariableName_org", "OriginalName", "Name", "meta", "key", "Method", "UnitName_org", "Limit_TrinkWV", "site_id",
+)
+
+
+def archive_columns(cells: DataFrame, header4_files: Sequence[str] = (), keep_pattern: str | None = None) -> DataFrame:
+    """One row per column of every sheet that is to be read, whatever its layout, written once.
+
+    The layout is a column: per file 'header1' with a META sheet, else 'header2' with a
+    site sheet; 'header4' for ``header4_files``.  It decides how many of a sheet's first
+    four rows are header (``__depth``), which of them are name, method, unit and limit, and whether
+    META describes them.  ``__repeated`` counts header cells that are there more than once.
+    """
+    head = cut_lineage(header_rows(cells, len(HEADER_4)))
+    is_meta, is_site = F.col("sheet_name").rlike(META_SHEET_PATTERN), F.col("sheet_name").rlike(S.SITE_ID_PATTERN)
+    files = sheet_layouts(head).select("file_name", "layout", "n_meta_sheets")
+    if header4_files:
+        files = files.withColumn("layout", F.when(F.col("file_name").isin(list(header4_files)), F.lit("header4")).otherwise(F.col("layout")))
+    one = F.col("layout") == "header1"
+    four = F.col("layout") == "header4"
+    depth = F.when(one, 1).when(four, len(HEADER_4)).otherwise(len(HEADER_2))
+    x = head.join(files, "file_name").where((F.col("layout") != "none") & F.when(one, ~is_meta).otherwise(is_site)).withColumn("__depth", depth)
+    # a column with cells below the header only has no header
+    used = [F.when(F.col("__depth") >= i, F.col(f"h{i}")) for i in range(1, len(HEADER_4) + 1)]
+    x = x.where(F.coalesce(*used).isNotNull())
+    x = x.withColumn("__repeated", F.aggregate(F.slice("repeated", 1, F.col("__depth")), F.lit(0).cast("long"), lambda a, b: a + b))
+    about = meta_rows(cells).withColumnsRenamed({"Sheet": "sheet_name", "OriginalName": "__original"})
+    x = x.withColumn("__original", F.when(one, F.col("h1"))).join(about, ["file_name", "sheet_name", "__original"], "left")
+    key = F.when(one, None).when(four, S.header_key(["h1", "h2", "h3", "h4"])).otherwise(S.header_key(["h1", "h2"]))
+    variable = F.when(one, F.coalesce("Name", "h1")).otherwise(F.col("h1"))
+    named = x.select(
+        *SHEET,
+        "col_idx",
+        "layout",
+        "__depth",
+        "__repeated",
+        "n_meta_sheets",
+        "n_described",
+        variable.alias("VariableName_org"),
+        F.col("__original").alias("OriginalName"),
+        "Name",
+        "meta",
+        key.alias("key"),
+        F.when(four, F.col("h2")).alias("Method"),
+        F.when(four, F.col("h3")).when(~one, F.col("h2")).alias("UnitName_org"),
+        F.when(four, F.col("h4")).alias("Limit_TrinkWV"),
+        F.when(~one, S.site_id("sheet_name")).alias("site_id"),
+    ).withColumn("__name", F.coalesce("key", "VariableName_org"))
+    return cut_lineage(_roles(named, "__name", keep_pattern or gather_ignore_pattern()))
+
+
+def sheet_problems(cells: DataFrame, columns: DataFrame, rows: DataFrame) -> DataFrame:
+    """Q-H: (file_name, sheet_name, problem, n) of the sheets that cannot be read without a
+    choice, from the columns and rows of ``archive_columns`` and ``sheet_rows``: cells that are there more than
+    once, names that META describes more than once, and what is wrong with a META sheet
+    itself (repeated columns or cells, more than one), which touches all sheets of its file."""
+    def told(df: DataFrame, problem: str, n: Column) -> DataFrame:
+        counted = df.groupBy(*SHEET).agg(n.cast("long").alias("n"))
+        return counted.where("n > 0").select(*SHEET, F.lit(problem).alias("problem"), "n")
+
+    meta_cells = cells.where(F.col("sheet_name").rlike(META_SHEET_PATTERN))
+    heads = meta_cells.where(F.col("row_idx") == 1).select(*SHEET, "col_idx", "value").distinct()
+    again = heads.groupBy(*SHEET, "value").agg((F.count_distinct("col_idx") - 1).alias("__more"))
+    places = meta_cells.groupBy(*SHEET, "row_idx", "col_idx").agg((F.count(F.lit(1)) - 1).alias("__more"))
+    meta = [told(again, "META column twice", F.sum("__more")), told(places, "repeated cell", F.sum("__more"))]
+    # of a file's META sheets to all its sheets
+    sheets = columns.select(*SHEET, "layout").distinct().where("layout = 'header1'")
+    spread = [sheets.join(p.withColumnRenamed("sheet_name", "__meta"), "file_name").select(*SHEET, F.concat(F.lit("META: "), "problem").alias("problem"), "n") for p in meta]
+    more = told(columns.where("layout = 'header1'"), "META: more than one sheet", F.max("n_meta_sheets") - 1)
+    own = columns.select(*SHEET, F.col("__repeated").alias("n")).unionByName(rows.select(*SHEET, F.col("__repeated").cast("long").alias("n")))
+    return (
+        told(own, "repeated cell", F.sum("n"))
+        .unionByName(told(columns, "name described twice", F.count(F.when(F.col("n_described") > 1, 1))))
+        .unionByName(reduce(lambda a, b: a.unionByName(b), [more, *spread]))
+    )
+
+
 # S-08 / S-10 / S-11 / H-20 ---------------------------------------------------------
 @F.udf(T.ArrayType(T.StringType()))
 def _clean_headers(raw):
@@ -214,16 +323,18 @@ def _clean_headers(raw):
 def table_rows(cells: DataFrame, header_row: int = 1, clean: bool = True) -> DataFrame:
     """(file_name, sheet_name, row_idx, values): one row per sheet row below the
     header, ``values`` mapping that sheet's own column names to the cells.
-    Names are cleaned (snake_case) and unique within each sheet."""
-    head = cells.where(F.col("row_idx") == header_row).groupBy(*SHEET).agg(
-        F.array_sort(F.collect_list(F.struct("col_idx", "value"))).alias("h")
-    )
+    Names are cleaned (snake_case) and unique within each sheet; without ``clean`` the leftmost of equal
+    names counts, and of repeated cells the smallest value."""
+    one = cells.where(F.col("row_idx") == header_row).groupBy(*SHEET, "col_idx").agg(F.min("value").alias("value"))
+    head = one.groupBy(*SHEET).agg(F.array_sort(F.collect_list(F.struct("col_idx", "value"))).alias("h"))
     raw = F.transform("h", lambda x: x["value"])
     named = head.select(*SHEET, "h", (_clean_headers(raw) if clean else raw).alias("n"))
     names = named.select(*SHEET, F.explode(F.arrays_zip(F.transform("h", lambda x: x["col_idx"]).alias("c"), F.col("n"))).alias("x"))
     names = names.select(*SHEET, F.col("x.c").alias("col_idx"), F.col("x.n").alias("__name"))
     body = cells.where(F.col("row_idx") > header_row).join(names, [*SHEET, "col_idx"])
-    return body.groupBy(*SHEET, "row_idx").agg(F.map_from_entries(F.collect_list(F.struct("__name", "value"))).alias("values"))
+    per_row = body.groupBy(*SHEET, "row_idx").agg(F.collect_list(F.struct("__name", "col_idx", "value")).alias("__cells"))
+    firsts = F.transform(_first_of_each(F.col("__cells"), "__name"), lambda x: F.struct(x["__name"], x["value"]))
+    return per_row.select(*SHEET, "row_idx", F.map_from_entries(firsts).alias("values"))
 
 
 def cells_to_table(cells: DataFrame, names: Sequence[str], header_row: int = 1, clean: bool = True, rest: bool = False) -> DataFrame:

@@ -19,24 +19,27 @@ Everything after step 2 joins on (partition id, group), a key without skew.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
-_PID, _RID, _TIE = "__pid", "__rid", "__tie"
+_PID, _RID, _TIE, _SAME = "__pid", "__rid", "__tie", "__same"
 _FIRST, _OFFSET, _BLOCK_N, _GROUP_N = "__first", "__offset", "__block_n", "__group_n"
 
 
-def _sorted_rows(
+def _layout(
     df: DataFrame,
     group_cols: Sequence[str],
     order_cols: Sequence[Column | str],
     num_partitions: int | None,
 ) -> DataFrame:
-    """Steps 1-2: the rows in order, stamped and written once."""
+    """Step 1: the rows dealt by ranges and sorted, with their tie-break."""
     # Names sort ascending with NULLs last (R's order); Columns keep the
     # direction the caller gave them (e.g. ``F.col(x).desc_nulls_last()``).
     order_exprs = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
@@ -53,12 +56,89 @@ def _sorted_rows(
         if num_partitions
         else stamped.repartitionByRange(*sort_keys)
     )
-    laid_out = (
-        ranged.sortWithinPartitions(*sort_keys)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_RID, F.monotonically_increasing_id())
-    )
-    return cut_lineage(laid_out)
+    return ranged.sortWithinPartitions(*sort_keys).withColumns({_PID: F.spark_partition_id(), _RID: F.monotonically_increasing_id()})
+
+
+def _continues(group_cols: Sequence[str]):
+    """For sorted Arrow batches: whether a row has the group of the row before; NULL for the first one of the task."""
+
+    def equal(x: pa.Array, y: pa.Array) -> pa.Array:
+        same = pc.equal(x, y)
+        if pa.types.is_floating(x.type):
+            same = pc.or_(same, pc.and_(pc.is_nan(x), pc.is_nan(y)))
+        return pc.if_else(pc.and_(x.is_null(), y.is_null()), True, pc.fill_null(same, False))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[pa.Array] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(batch.schema.get_field_index(g)) for g in group_cols]
+            before = [c.slice(0, 1) for c in columns] if last is None else last
+            same = pa.array([True] * batch.num_rows)
+            for column, first in zip(columns, before, strict=True):
+                same = pc.and_(same, equal(column, pa.concat_arrays([first, column.slice(0, batch.num_rows - 1)])))
+            if last is None:
+                same = pa.concat_arrays([pa.nulls(1, pa.bool_()), same.slice(1)])
+            last = [c.slice(batch.num_rows - 1, 1) for c in columns]
+            yield pa.record_batch([*batch.columns, same], [*batch.schema.names, _SAME])
+
+    return run
+
+
+class SortedTable:
+    """Rows in (group, order) order, written once below the shared checkpoint folder with an index.
+
+    ``rows`` has the stamps ``__pid`` (range), ``__rid`` (rises in the order of all rows) and
+    ``__same`` (the row before, in the same range, has the same group).  ``index`` has a row per range and
+    group: first row and count, and from them the rows of the group before and in all.  Ranks,
+    repeat marks and group sizes are read from the two; nothing is sorted again.
+    """
+
+    def __init__(self, df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str], num_partitions: int | None = None):
+        self.columns, self.group_cols = df.columns, list(group_cols)
+        sorted_rows = _layout(df, self.group_cols, order_cols, num_partitions)
+        schema = T.StructType([*sorted_rows.schema.fields, T.StructField(_SAME, T.BooleanType())])
+        self.rows = cut_lineage(sorted_rows.mapInArrow(_continues(self.group_cols), schema))
+
+    def _keys_of(self, side: DataFrame, prefix: str):
+        return _null_safe(self.rows, side, [_PID, *self.group_cols], prefix)
+
+    @property
+    def index(self) -> DataFrame:
+        blocks = self.rows.groupBy(_PID, *self.group_cols).agg(
+            F.count(F.lit(1)).alias(_BLOCK_N), F.min(_RID).alias(_FIRST)
+        )
+        # At most (partitions + groups) rows; a hot group has one row per
+        # partition it spans, so this window never sees data volume.
+        before = Window.partitionBy(*self.group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+        whole = Window.partitionBy(*self.group_cols)
+        return blocks.withColumn(_OFFSET, F.coalesce(F.sum(_BLOCK_N).over(before), F.lit(0))).withColumn(
+            _GROUP_N, F.sum(_BLOCK_N).over(whole)
+        )
+
+    def ranked(self, rank_col: str, size_col: str | None = None) -> DataFrame:
+        """The rows with their exact 1-based number in their group."""
+        taken = {rank_col, size_col} & set(self.columns)
+        if taken:
+            raise ValueError(f"the rows have columns {sorted(taken)} already")
+        keys = [_PID, *self.group_cols]
+        right = self.index.select(*[F.col(k).alias(f"__b_{k}") for k in keys], _FIRST, _OFFSET, _GROUP_N)
+        out = self.rows.join(right, self._keys_of(right, "__b_"), "inner").withColumn(
+            rank_col, (F.col(_RID) - F.col(_FIRST) + F.col(_OFFSET) + 1).cast("long")
+        )
+        if size_col:
+            out = out.withColumn(size_col, F.col(_GROUP_N).cast("long"))
+        return out.select(*self.columns, rank_col, *([size_col] if size_col else []))
+
+    def mark_repeats(self, flag_col: str) -> DataFrame:
+        """The rows with TRUE where their group has an earlier row."""
+        group = F.struct(*self.group_cols)
+        ends = self.rows.groupBy(_PID).agg(F.max_by(group, _RID).alias("__last"), F.min_by(group, _RID).alias("__head"))
+        before = F.lag(F.struct("__last")).over(Window.orderBy(_PID))
+        heads = ends.select(F.col(_PID).alias("__p"), (before.isNotNull() & before["__last"].eqNullSafe(F.col("__head"))).alias("__goes_on"))
+        joined = self.rows.join(heads, F.col(_PID) == F.col("__p"))
+        return joined.select(*self.columns, F.coalesce(_SAME, "__goes_on").alias(flag_col))
 
 
 def _sorted_blocks(
@@ -68,20 +148,8 @@ def _sorted_blocks(
     num_partitions: int | None,
 ) -> tuple[DataFrame, DataFrame]:
     """Steps 1-3: stamped rows and the per-block offset table."""
-    rows = _sorted_rows(df, group_cols, order_cols, num_partitions)
-    blocks = rows.groupBy(_PID, *group_cols).agg(
-        F.count(F.lit(1)).alias(_BLOCK_N), F.min(_RID).alias(_FIRST)
-    )
-    # At most (partitions + groups) rows; a hot group has one row per
-    # partition it spans, so this window never sees data volume.
-    before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    whole = Window.partitionBy(*group_cols)
-    blocks = blocks.withColumn(
-        _OFFSET, F.coalesce(F.sum(_BLOCK_N).over(before), F.lit(0))
-    ).withColumn(_GROUP_N, F.sum(_BLOCK_N).over(whole))
-    return rows, blocks
+    table = SortedTable(df, group_cols, order_cols, num_partitions)
+    return table.rows, table.index
 
 
 def rank_within(
@@ -97,22 +165,7 @@ def rank_within(
     Ties in ``order_cols`` are numbered in input order.  ``size_col`` adds the
     number of rows of the row's group.
     """
-    group_cols = list(group_cols)
-    rows, blocks = _sorted_blocks(df, group_cols, order_cols, num_partitions)
-    keys = [_PID, *group_cols]
-    right = blocks.select(
-        *[F.col(k).alias(f"__b_{k}") for k in keys], _FIRST, _OFFSET, _GROUP_N
-    )
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & rows[k].eqNullSafe(right[f"__b_{k}"])
-    out = rows.join(right, cond, "inner").withColumn(
-        rank_col, (F.col(_RID) - F.col(_FIRST) + F.col(_OFFSET) + 1).cast("long")
-    )
-    if size_col:
-        out = out.withColumn(size_col, F.col(_GROUP_N).cast("long"))
-    drop = [_PID, _RID, _TIE, _FIRST, _OFFSET, _GROUP_N] + [f"__b_{k}" for k in keys]
-    return out.drop(*drop)
+    return SortedTable(df, group_cols, order_cols, num_partitions).ranked(rank_col, size_col)
 
 
 def sort_rank(df: DataFrame, order_cols: Sequence[Column | str], rank_col: str = "rn") -> DataFrame:
@@ -125,13 +178,34 @@ def _quantile_name(p: float) -> str:
     return f"q_{str(p).replace('.', '_')}"
 
 
+#: Bins per round of ``exact_quantiles`` and the bin size at which it stops narrowing.
+QUANTILE_BINS = 256
+QUANTILE_LEAF = 1024
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"{prefix}{k}"])
+    return cond
+
+
+def value_summary(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """(group, __n, __min, __max) of the values that are neither NULL nor NaN; one partial aggregate."""
+    v = F.col(value_col).cast("double")
+    present = F.when(~F.isnan(v), v)
+    return df.groupBy(*group_cols).agg(F.count(present).alias("__n"), F.min(present).alias("__min"), F.max(present).alias("__max"))
+
+
 def exact_quantiles(
     df: DataFrame,
     group_cols: Sequence[str],
     value_col: str,
     probs: Sequence[float],
     names: Sequence[str] | None = None,
-    num_partitions: int | None = None,
+    summary: DataFrame | None = None,
+    bins: int = QUANTILE_BINS,
+    leaf: int = QUANTILE_LEAF,
 ) -> DataFrame:
     """Type-7 (linear) quantiles per group, exact, NULL and NaN ignored.
 
@@ -139,59 +213,98 @@ def exact_quantiles(
     h = (n - 1) * p over the sorted non-missing values (0-based) -- the rule
     of Spark's ``percentile`` and DuckDB's ``quantile_cont``.  Groups without
     values get no row; callers left-join the result.
+
+    Distributed selection: nothing is sorted or written but counts.  Each round makes a histogram
+    of the ranges that hold a wanted rank (at first a group's whole range) with ``bins``
+    bins between their least and largest value; running counts say which bin holds
+    the rank, and the bin's own least and largest value are the next range.  A
+    range of one value is the answer; of ranges with at most ``leaf`` values the counts of
+    their values are made.  All aggregates combine on the map side, so a hot group
+    is one row per bin and task.  ``summary``: ``value_summary`` if the caller has it.
     """
     group_cols = list(group_cols)
     names = list(names or [_quantile_name(p) for p in probs])
-    v = F.col(value_col)
-    values = df.select(*group_cols, v.cast("double").alias(value_col)).where(
-        v.isNotNull() & ~F.isnan(v.cast("double"))
+    v = F.col(value_col).cast("double")
+    values = df.select(*group_cols, v.alias("__v")).where(v.isNotNull() & ~F.isnan(v))
+    summary = summary if summary is not None else value_summary(df, group_cols, value_col)
+
+    # wanted ranks, from 1: floor(h) + 1 and the next one
+    h = (F.col("__n") - 1) * F.lit(1.0)
+    ranks = []
+    for p in probs:
+        low = F.floor(h * F.lit(float(p))) + 1
+        ranks += [low, F.least(low + 1, F.col("__n"))]
+    wanted = summary.where("__n > 0").select(
+        *group_cols,
+        "__n",
+        F.explode(F.array_distinct(F.array(*[r.cast("long") for r in ranks]))).alias("__rank"),
+        F.col("__min").alias("__lo"),
+        F.col("__max").alias("__hi"),
+        F.lit(0).cast("long").alias("__below"),
+        F.col("__n").alias("__inside"),
     )
-    rows, blocks = _sorted_blocks(values, group_cols, [value_col], num_partitions)
-
-    # Needed 1-based ranks per group (type 7: floor(h)+1 and the next one),
-    # turned into global row ids from the small block table: a block holds
-    # rank r when offset < r <= offset + block_n, at row id first + r-1-offset.
-    n1 = F.col(_GROUP_N) - 1
-    wanted = []
-    for i, p in enumerate(probs):
-        h = n1 * F.lit(float(p))
-        lo = F.floor(h)
-        frac = h - lo
-        for kind, rank in (("lo", lo + 1), ("hi", F.least(lo + 2, F.col(_GROUP_N)))):
-            wanted.append(
-                F.struct(F.lit(i).alias("i"), F.lit(kind).alias("kind"), rank.cast("long").alias("r"), frac.alias("fr"))
-            )
-    needed = (
-        blocks.select(*group_cols, _FIRST, _OFFSET, _BLOCK_N, F.explode(F.array(*wanted)).alias("__w"))
-        .where((F.col("__w.r") > F.col(_OFFSET)) & (F.col("__w.r") <= F.col(_OFFSET) + F.col(_BLOCK_N)))
-        .select(
-            *group_cols,
-            (F.col(_FIRST) + F.col("__w.r") - 1 - F.col(_OFFSET)).alias("__need_rid"),
-            F.col("__w.i").alias("__i"),
-            F.col("__w.kind").alias("__kind"),
-            F.col("__w.fr").alias("__fr"),
+    wanted = cut_lineage(wanted)
+    open_range = (F.col("__lo") < F.col("__hi")) & (F.col("__inside") > leaf)
+    while not wanted.where(open_range).isEmpty():
+        binned = _in_ranges(values, wanted.where(open_range), group_cols).withColumn("__bin", _bin_of(bins))
+        counts = binned.groupBy(*group_cols, "__lo", "__bin").agg(
+            F.count(F.lit(1)).alias("__k"), F.min("__v").alias("__first"), F.max("__v").alias("__last")
         )
+        wanted = cut_lineage(wanted.where(~open_range).unionByName(_narrowed(wanted.where(open_range), counts, group_cols, "__bin")))
+
+    # ranges of few values: their counts
+    counts = _in_ranges(values, wanted.where("__lo < __hi"), group_cols).groupBy(*group_cols, "__lo", "__v").agg(F.count(F.lit(1)).alias("__k"))
+    counts = counts.select("*", F.col("__v").alias("__first"), F.col("__v").alias("__last"))
+    found = wanted.where("__lo = __hi").unionByName(_narrowed(wanted.where("__lo < __hi"), counts, group_cols, "__v"))
+
+    out = []
+    for p, name in zip(probs, names, strict=True):
+        pos = h * F.lit(float(p))
+        low = F.floor(pos) + 1
+        x0 = F.max(F.when(F.col("__rank") == low, F.col("__lo")))
+        x1 = F.max(F.when(F.col("__rank") == F.least(low + 1, F.col("__n")), F.col("__lo")))
+        out.append((x0 + F.max(pos - F.floor(pos)) * (x1 - x0)).alias(name))
+    return found.groupBy(*group_cols).agg(*out)
+
+
+def _in_ranges(values: DataFrame, wanted: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """The values in the ranges of ``wanted``.  Ranges of a group are equal or disjoint, so a value is in
+    one at most; the join side has a few numbers per group and range."""
+    ranges = wanted.select(*[F.col(g).alias(f"__r_{g}") for g in group_cols], "__lo", "__hi").distinct()
+    cond = _null_safe(values, ranges, group_cols, "__r_") & F.col("__v").between(F.col("__lo"), F.col("__hi"))
+    return values.join(ranges, cond, "inner").select(*[values[g] for g in group_cols], "__v", "__lo", "__hi")
+
+
+def _bin_of(bins: int):
+    """Rises with the value: the least is in bin 0, the largest in the last.  Halves, so that the
+    width is finite; among infinite limits all finite values share one bin."""
+    share = (F.col("__v") / 2 - F.col("__lo") / 2) / (F.col("__hi") / 2 - F.col("__lo") / 2)
+    inner = F.when(F.isnan(share), F.lit(bins // 2)).otherwise(F.least(F.floor(share * (bins - 1)), F.lit(bins - 2))).cast("int")
+    return F.when(F.col("__v") == F.col("__hi"), bins - 1).when(F.col("__v") == F.col("__lo"), 0).otherwise(inner)
+
+
+def _narrowed(wanted: DataFrame, counts: DataFrame, group_cols: Sequence[str], order: str) -> DataFrame:
+    """``wanted`` with the range of the part that holds its rank; a range has few parts."""
+    until = Window.partitionBy(*group_cols, "__lo").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = counts.withColumn("__until", F.sum("__k").over(until)).select(
+        *[F.col(g).alias(f"__p_{g}") for g in group_cols], F.col("__lo").alias("__p_lo"), "__first", "__last", "__k", "__until"
     )
-    # Row ids are unique, so this join has no skew; ``needed`` has at most
-    # 2 * len(probs) rows per group and is broadcast by AQE when small --
-    # the value rows themselves are then never shuffled.
-    picked = rows.select(F.col(_RID).alias("__need_rid"), F.col(value_col).alias("__val")).join(
-        needed, "__need_rid", "inner"
+    place = F.col("__rank") - F.col("__below")
+    cond = _null_safe(wanted, parts, group_cols, "__p_") & (F.col("__lo") == F.col("__p_lo"))
+    cond = cond & (place > F.col("__until") - F.col("__k")) & (place <= F.col("__until"))
+    return wanted.join(parts, cond, "inner").select(
+        *[wanted[g] for g in group_cols],
+        "__n",
+        "__rank",
+        F.col("__first").alias("__lo"),
+        F.col("__last").alias("__hi"),
+        (F.col("__below") + F.col("__until") - F.col("__k")).alias("__below"),
+        F.col("__k").alias("__inside"),
     )
-    aggs = []
-    for i in range(len(probs)):
-        sel = F.col("__i") == i
-        aggs += [
-            F.max(F.when(sel & (F.col("__kind") == "lo"), F.col("__val"))).alias(f"__vlo{i}"),
-            F.max(F.when(sel & (F.col("__kind") == "hi"), F.col("__val"))).alias(f"__vhi{i}"),
-            F.max(F.when(sel, F.col("__fr"))).alias(f"__f{i}"),
-        ]
-    per_group = picked.groupBy(*group_cols).agg(*aggs)
-    out_cols = [
-        (F.col(f"__vlo{i}") + F.col(f"__f{i}") * (F.col(f"__vhi{i}") - F.col(f"__vlo{i}"))).alias(name)
-        for i, name in enumerate(names)
-    ]
-    return per_group.select(*group_cols, *out_cols)
+
+
+#: Rows of a group that one window task takes in ``rolling_mean_rows``.
+BLOCK_ROWS = 1 << 16
 
 
 def rolling_mean_rows(
@@ -201,45 +314,31 @@ def rolling_mean_rows(
     value_col: str,
     windows: dict[str, int],
     num_partitions: int | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Right-aligned rolling mean over the last ``k`` rows, NULL until ``k``
     rows exist and NULL when a value inside the window is missing.
 
-    ``windows`` maps output column -> k.  Each row is copied to the k window
-    ends it belongs to and the copies are aggregated by (group, end rank):
-    the rows of one window never need to sit in one task.
+    ``windows`` maps output column -> k.  Ranks cut each group into blocks of ``block_rows``
+    rows; a block also gets the last k - 1 rows of the one before (its halo, the only
+    rows that are copied) and a plain row frame runs inside it, so that a group of any size
+    is dealt to many tasks.
     """
     group_cols = list(group_cols)
     kmax = max(windows.values())
+    block_rows = max(block_rows, kmax)
     ranked = rank_within(df, group_cols, [order_col], rank_col="__pos", num_partitions=num_partitions)
-    spread = ranked.select(
-        *group_cols,
-        F.col("__pos"),
-        F.col(value_col).alias("__v"),
-        F.explode(F.sequence(F.lit(0), F.lit(kmax - 1))).alias("__j"),
-    ).withColumn("__end", F.col("__pos") + F.col("__j"))
-    aggs = []
-    for name, k in windows.items():
-        inside = F.col("__j") < k
-        aggs += [
-            F.count(F.when(inside, F.lit(1))).alias(f"__n_{name}"),
-            F.count(F.when(inside, F.col("__v"))).alias(f"__nv_{name}"),
-            F.avg(F.when(inside, F.col("__v"))).alias(f"__m_{name}"),
-        ]
-    ends = spread.groupBy(*group_cols, "__end").agg(*aggs)
-    right = ends.select(*[F.col(g).alias(f"__e_{g}") for g in group_cols], "__end", *[
-        c for name in windows for c in (f"__n_{name}", f"__nv_{name}", f"__m_{name}")
-    ])
-    cond = ranked["__pos"] == right["__end"]
-    for g in group_cols:
-        cond = cond & ranked[g].eqNullSafe(right[f"__e_{g}"])
-    joined = ranked.join(right, cond, "left")
+    place = F.pmod(F.col("__pos") - 1, F.lit(block_rows))
+    own = F.floor((F.col("__pos") - 1) / block_rows).cast("long")
+    is_halo = place >= block_rows - (kmax - 1)
+    both = F.when(is_halo, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    blocks = ranked.select("*", F.explode(both).alias("__halo")).withColumn("__block", own + F.col("__halo").cast("long"))
+    out = blocks
     for name, k in windows.items():
-        full = (F.col(f"__n_{name}") == k) & (F.col(f"__nv_{name}") == k)
-        joined = joined.withColumn(name, F.when(full, F.col(f"__m_{name}")))
-    drop = ["__pos", "__end"] + [f"__e_{g}" for g in group_cols]
-    drop += [c for name in windows for c in (f"__n_{name}", f"__nv_{name}", f"__m_{name}")]
-    return joined.drop(*drop)
+        frame = Window.partitionBy(*group_cols, "__block").orderBy("__pos").rowsBetween(-(k - 1), 0)
+        full = (F.count(F.lit(1)).over(frame) == k) & (F.count(F.col(value_col)).over(frame) == k)
+        out = out.withColumn(name, F.when(full, F.avg(F.col(value_col).cast("double")).over(frame)))
+    return out.where(~F.col("__halo")).drop("__pos", "__halo", "__block")
 
 
 def mark_repeats(
@@ -250,17 +349,9 @@ def mark_repeats(
 ) -> DataFrame:
     """W-02: TRUE on every occurrence of an id except the first (R ``duplicated``).
 
-    In the sorted layout a row repeats its id when the row before has the same
-    one: inside a partition that is the previous row, for a partition's first
-    row the last id of the partition before -- a table of one row per
-    partition, however many ids there are.
+    The rows are dealt once, by ranges of (id, order).  In this layout a row repeats
+    its id when the row before has the same one, which the sorting task sees itself; only a
+    partition's first row waits for the last id of the partitions before, a table of one row per
+    partition however many ids there are.
     """
-    ids = F.struct(*[F.col(c) for c in id_cols])
-    rows = _sorted_rows(df, id_cols, order_cols, None).withColumn("__id", ids)
-    ends = rows.groupBy(_PID).agg(F.max_by("__id", _RID).alias("__last"), F.count(F.lit(1)).alias("__n"))
-    before = ends.select(_PID, F.lag(F.struct("__last")).over(Window.orderBy(_PID)).alias("__before"))
-    own = Window.partitionBy(_PID).orderBy(_RID)
-    joined = rows.withColumn("__previous", F.lag(F.struct(F.col("__id").alias("__last"))).over(own)).join(before, _PID)
-    previous = F.coalesce("__previous", "__before")
-    same = previous.isNotNull() & previous["__last"].eqNullSafe(F.col("__id"))
-    return joined.withColumn(flag_col, same).drop(_PID, _RID, _TIE, "__id", "__previous", "__before")
+    return SortedTable(df, id_cols, order_cols).mark_repeats(flag_col)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ranking import exact_quantiles, mark_repeats, rolling_mean_rows, sort_rank
 
 __all__ = [
@@ -58,13 +59,17 @@ def measurement_stats(
         F.avg(value_col).alias("mean"),
         F.max(value_col).alias("max"),
         F.count(F.lit(1)).alias("number_of_samples"),
+        F.count(value_col).alias("__n"),
     )
     if approximate:
         q = clean.groupBy(*keys).agg(
             F.percentile_approx(value_col, [0.1, 0.5, 0.9], accuracy).alias("__q")
         ).select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(("q10", "median", "q90"))])
     else:
-        q = exact_quantiles(clean, keys, value_col, [0.1, 0.5, 0.9], ["q10", "median", "q90"])
+        # one row per key, written: the quantiles start from its counts, least and largest values
+        base = cut_lineage(base)
+        summary = base.select(*keys, "__n", F.col("min").cast("double").alias("__min"), F.col("max").cast("double").alias("__max"))
+        q = exact_quantiles(clean, keys, value_col, [0.1, 0.5, 0.9], ["q10", "median", "q90"], summary)
     cond = None
     for k in keys:
         c = base[k].eqNullSafe(q[k])

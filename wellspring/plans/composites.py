@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.names import rename_regex
+from ..operators import cells as CL
 from ..operators import filters as P
 from ..operators import joins as J
 from ..operators import quality as Q
@@ -81,34 +82,45 @@ def chain_series(long: DataFrame, metadata: DataFrame, well: int | None = None)
 
 
 # C-04 ----------------------------------------------------------------------------------
-def read_archive(cells: DataFrame, header4_files=(), keep_pattern: str | None = None, kept: Sequence[str] = ("Datum", "Probe_Nr")) -> DataFrame:
+def read_archive(
+    cells: DataFrame,
+    header4_files: Sequence[str] = (),
+    keep_pattern: str | None = None,
+    kept: Sequence[str] = ("Datum", "Probe_Nr"),
+    kept_map: bool = True,
+) -> DataFrame:
     """C-04: lab archive import by layout, for any number of workbooks.
 
-    Per file: a META sheet -> header-1 reader; else a sheet starting with a
-    site code -> header-2 reader; files on the explicit ``header4_files``
-    list use the header-4 reader (Q-13: never chosen automatically); files
-    of no layout are left out (reported by ``cells.sheet_layouts``).  The
-    branches are one table (``rbindlist(fill=TRUE)``) with a ``layout`` column.
+    Per file: a META sheet -> header-1; else a sheet starting with a
+    site code -> header-2; files on the explicit ``header4_files``
+    list have four header rows (Q-13: never chosen automatically); files
+    of no layout are left out (reported by ``cells.sheet_layouts``).  Layout and header
+    depth are columns of one header table, so the bodies of all workbooks are read, shuffled
+    and joined once (``rbindlist(fill=TRUE)``: columns that a layout lacks are NULL).
     """
-    from ..operators import cells as CL
-
-    layouts = cut_lineage(CL.sheet_layouts(cells).select("file_name", "layout"))
-    h4 = F.col("file_name").isin(list(header4_files)) if header4_files else F.lit(False)
-    choice = layouts.select(
-        "file_name",
-        F.when(h4, F.lit("header4")).otherwise(F.col("layout")).alias("layout"),
-    )
-
-    def files_of(layout: str) -> DataFrame:
-        return cells.join(choice.where(F.col("layout") == layout), "file_name", "left_semi")
-
-    site_sheets = F.col("sheet_name").rlike(S.SITE_ID_PATTERN)
-    parts = {
-        "header1": CL.gather_with_meta(files_of("header1"), keep_pattern=keep_pattern, kept=kept),
-        "header2": CL.gather_with_header(files_of("header2").where(site_sheets), CL.HEADER_2, keep_pattern, kept),
-        "header4": CL.gather_with_header(files_of("header4").where(site_sheets), CL.HEADER_4, keep_pattern, kept),
-    }
-    return R.union_fill(parts, "layout")
+    columns = CL.archive_columns(cells, header4_files, keep_pattern)
+    rows = CL.sheet_rows(cells, columns, kept, kept_map)
+    return CL.long_cells(rows, columns, CL.ARCHIVE_CARRY)
+
+
+def import_archive(
+    cells: DataFrame,
+    header4_files: Sequence[str] = (),
+    keep_pattern: str | None = None,
+    kept: Sequence[str] = ("Datum", "Probe_Nr"),
+    kept_map: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """C-04 with Q-H: (long table of the good sheets, problems of the bad ones).
+
+    A sheet with a problem is left out as a whole and named with it; all others are
+    read as by ``read_archive``.  The sheet rows are written once, and rows and report read that table.
+    """
+    columns = CL.archive_columns(cells, header4_files, keep_pattern)
+    rows = cut_lineage(CL.sheet_rows(cells, columns, kept, kept_map))
+    problems = cut_lineage(CL.sheet_problems(cells, columns, rows))
+    bad = problems.select(*CL.SHEET).distinct()
+    good = rows.join(bad, [*CL.SHEET], "left_anti")
+    return CL.long_cells(good, columns, CL.ARCHIVE_CARRY), problems
 
 
 # C-05 ----------------------------------------------------------------------------------

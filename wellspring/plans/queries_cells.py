@@ -159,7 +159,7 @@ b AS (
 # --- R-03 / R-05 / R-06 / J-06 / H-18 (header-2) ------------------------------------
 @register("header2_cells")
 def header2_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 2), CL.HEADER_2).drop("kept")
+    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 2), CL.HEADER_2, kept_map=False)
 
 
 ORACLE["header2_cells"] = "WITH " + _B + """
@@ -176,7 +176,7 @@ FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 # --- R-04 (header-4) -----------------------------------------------------------------------
 @register("header4_cells")
 def header4_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 4), CL.HEADER_4).drop("kept")
+    return CL.gather_with_header(lab_cells(Tables(spark, sf_dir), 4), CL.HEADER_4, kept_map=False)
 
 
 ORACLE["header4_cells"] = "WITH " + _B + """
@@ -195,7 +195,7 @@ FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 # --- R-02 / J-07 (header-1 with META sheet) -------------------------------------------------
 @register("header1_cells")
 def header1_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.gather_with_meta(lab_cells(Tables(spark, sf_dir), meta=True)).drop("kept", "meta")
+    return CL.gather_with_meta(lab_cells(Tables(spark, sf_dir), meta=True), kept_map=False).drop("meta")
 
 
 ORACLE["header1_cells"] = "WITH " + _B + """
@@ -213,7 +213,7 @@ def header1_undescribed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = lab_cells(Tables(spark, sf_dir), meta=True)
     part = F.floor((F.col("row_idx") - 1000) / 32)
     gone = (F.col("sheet_name") == "META") & (F.col("row_idx") >= 1000) & (part % 3 == 0)
-    return CL.gather_with_meta(cells.where(~gone)).drop("kept", "meta")
+    return CL.gather_with_meta(cells.where(~gone), kept_map=False).drop("meta")
 
 
 ORACLE["header1_undescribed"] = "WITH " + _B + """
@@ -433,7 +433,7 @@ def archive_cells(t: Tables) -> DataFrame:
 
 @register("archive_import")
 def archive_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.read_archive(archive_cells(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"]).drop("kept", "meta")
+    return C.read_archive(archive_cells(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"], kept_map=False).drop("meta")
 
 
 ORACLE["archive_import"] = "WITH " + _B + """
@@ -463,3 +463,46 @@ SELECT Datum, Probe_Nr,
        CAST(l_partkey + 3 AS BIGINT) AS col_idx, 'header4' AS layout
 FROM x WHERE file_name = 'lab_N.xlsx'
 """
+
+
+# --- Q-H: bad sheets among good ones -------------------------------------------------------------
+def faulty_archive(t: Tables) -> DataFrame:
+    """``archive_cells`` with faults: in lab_A a body cell of every row of sheet '3 ...' a second time, in lab_N
+    a header cell of sheet '4 ...', and in lab_R a second description of a name of sheet '5 ...'."""
+    cells = archive_cells(t)
+    file, sheet, row, col = (F.col(c) for c in ("file_name", "sheet_name", "row_idx", "col_idx"))
+    body = cells.where((file == "lab_A.xlsx") & sheet.startswith("3 ") & (row > 2) & (col == 1))
+    head = cells.where((file == "lab_N.xlsx") & sheet.startswith("4 ") & (row == 1) & (col == 1))
+    described = cells.where((file == "lab_R.xlsx") & (sheet == "META") & (row == 2 + 5 * 2))
+    return cells.unionByName(body.withColumn("value", F.lit("again"))).unionByName(head).unionByName(
+        described.withColumn("row_idx", F.lit(900).cast("long"))
+    )
+
+
+@register("archive_good_sheets")
+def archive_good_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long, _ = C.import_archive(faulty_archive(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"], kept_map=False)
+    return long.drop("meta")
+
+
+ORACLE["archive_good_sheets"] = (
+    "SELECT * FROM (" + ORACLE["archive_import"] + """) WHERE NOT (file_name = 'lab_A.xlsx' AND starts_with(sheet_name, '3 '))
+  AND NOT (file_name = 'lab_N.xlsx' AND starts_with(sheet_name, '4 ')) AND NOT (file_name = 'lab_R.xlsx' AND starts_with(sheet_name, '5 '))
+"""
+)
+
+
+@register("archive_problems")
+def archive_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.import_archive(faulty_archive(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"])[1]
+
+
+ORACLE["archive_problems"] = "WITH " + _B + """
+SELECT file_name, sheet_name,
+       CASE file_name WHEN 'lab_R.xlsx' THEN 'name described twice' ELSE 'repeated cell' END AS problem,
+       CASE file_name WHEN 'lab_A.xlsx' THEN count(DISTINCT l_orderkey) ELSE 1 END AS n
+FROM b
+WHERE (file_name = 'lab_A.xlsx' AND s_nationkey = 3) OR (file_name = 'lab_N.xlsx' AND s_nationkey = 4)
+   OR (file_name = 'lab_R.xlsx' AND s_nationkey = 5)
+GROUP BY file_name, sheet_name
+"""

@@ -191,7 +191,7 @@ def archive_lookups(t: Tables):
 
 
 def archive_series(t: Tables) -> DataFrame:
-    long = CL.gather_with_header(lab_cells(t, 2), CL.HEADER_2)
+    long = CL.gather_with_header(lab_cells(t, 2), CL.HEADER_2, kept_map=False)
     lookup_para, parameters, sites, _ = archive_lookups(t)
     return C.archive_timeseries(long, lookup_para, parameters, sites)
 
@@ -236,13 +236,13 @@ FROM m LEFT JOIN a ON m.werk IS NOT DISTINCT FROM a.werk AND m."year" IS NOT DIS
 
 @register("lab_archive_merged")
 def lab_archive_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header-2 workbooks with a 'Datum' and header-4 workbooks with a 'Probenahme' as one
-    archive, then the yearly means."""
+    """Header-1 and header-2 workbooks with a 'Datum' and header-4 workbooks with a 'Probenahme' as one
+    archive, then the yearly means.  The lookup has no names of header-1 columns, so the inner join leaves these out."""
     t = Tables(spark, sf_dir)
-    cells = archive_cells(t).where(F.col("file_name") != "lab_R.xlsx")
+    cells = archive_cells(t)
     renamed = (F.col("file_name") == "lab_N.xlsx") & (F.col("row_idx") == 1) & (F.col("col_idx") == 1)
     cells = cells.withColumn("value", F.when(renamed, F.lit("Probenahme")).otherwise(F.col("value")))
-    long = C.read_archive(cells, header4_files=["lab_N.xlsx"], kept=("Datum", "Probenahme"))
+    long = C.read_archive(cells, header4_files=["lab_N.xlsx"], kept=("Datum", "Probenahme"), kept_map=False)
     lookup_para, parameters, sites, abstraction = archive_lookups(t)
     series = C.archive_timeseries(long, lookup_para, parameters, sites)
     x = C.lab_archive_yearly(series, abstraction, "Rohwasser")
