@@ -14,7 +14,9 @@ becomes sequences whose lengths are powers of two, which need no padding.
 Tokenising is exact: the tokenizer lower-cases, drops white space and cuts at
 it and before marks, so texts are cut there first, each distinct string is
 encoded once per worker, and its ids are used again; texts that hold ``<|`` (it
-could start a special token) are encoded whole.
+could start a special token) are encoded whole.  A worker keeps the words of the last two
+generations of ``_GENERATION`` words: a word that is met again moves to the newer one, so
+common words stay and rare ones go.
 
 Defined cases: a null or empty text is the closing id alone; a null id is kept;
 repeated rows are packed each; an empty table gives no rows; only the id and
@@ -40,7 +42,7 @@ from .textops import slices
 WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 512
-_CACHED_WORDS = 250_000
+_GENERATION = 200_000
 #: Where the tokenizer itself always cuts: a letter or digit, then an ASCII mark other than the apostrophe.
 _MARK_AFTER_WORD = r"([\p{L}\p{N}])([!-&(-/:-@\[-`{-~])"
 
@@ -56,17 +58,36 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.recent: dict[str, int] = {}
+        self.older: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1, np.int64)  # where the ids of word k begin; one more at the end
+        self.begin = np.zeros(1, np.int64)  # where the ids of entry k begin; one more at the end
+
+    def age(self) -> None:
+        """The recent words become the older ones; the ids of those are forgotten."""
+        entries = np.fromiter(self.recent.values(), np.int64, len(self.recent))
+        sizes = (self.begin[1:] - self.begin[:-1])[entries]
+        ends = np.cumsum(sizes)
+        self.ids = self.ids[np.arange(int(ends[-1])) + np.repeat(self.begin[entries] - (ends - sizes), sizes)]
+        self.begin = np.concatenate([[0], ends])
+        self.older, self.recent = dict(zip(self.recent, range(len(entries)), strict=True)), {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def places(self, distinct: list[str]) -> np.ndarray:
-        if len(self.place) > _CACHED_WORDS:
-            self.clear()
-        new = [w for w in distinct if w not in self.place]
+        """The entry of each word."""
+        if len(self.recent) > _GENERATION:
+            self.age()
+        recent, older = self.recent, self.older
+        new = []
+        for w in distinct:
+            if w not in recent:
+                entry = older.get(w)
+                if entry is None:
+                    new.append(w)
+                else:
+                    recent[w] = entry
         if new:
             found = self.encode(new)
             sizes = np.fromiter(map(len, found), np.int64, len(found))
@@ -75,9 +96,10 @@ class WordTokenizer:
             if total > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(total, np.uint32)])
             self.ids[end:total] = np.concatenate(found)
+            first = len(self.begin) - 1
             self.begin = np.concatenate([self.begin, end + np.cumsum(sizes)])
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
-        return np.fromiter((self.place[w] for w in distinct), np.int64, len(distinct))
+            recent.update(zip(new, range(first, first + len(new)), strict=True))
+        return np.fromiter(map(recent.__getitem__, distinct), np.int64, len(distinct))
 
     def documents(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""

@@ -8,11 +8,13 @@ score is the logistic of
 
 so pairs of terms count, which additive weights miss.  The model is fitted
 with Adagrad on a bounded, documented sample of labelled rows (``max_rows``).
-Labels are noisy and most terms are rare, so only features that go with the
-label (in at least ``min_docs`` sampled documents, and ``min_z``
-standard errors above the label's share) get weights; the others stay 0 and
-cannot be learned by heart.  Scoring is one pass over the documents in Arrow
-batches, without a shuffle.
+Labels are noisy and most terms are rare, so only features that say something
+about the label (in at least ``min_docs`` documents, with a share that is ``min_z`` standard errors
+above or below the common one) get weights and factors; the others stay 0 and cannot be
+learned by heart.  A term may say nothing by itself but change what others say: a group
+that is insulted, a quotation.  So a first model is fitted, and terms that say something among the
+documents it scores above the common share are taken too.  Scoring is one pass over the
+documents in Arrow batches, without a shuffle.
 
 Defined cases: null and empty texts have no terms and get the score of the
 bias; whole texts are read; repeated rows score alike; without any labelled row
@@ -53,6 +55,11 @@ def features(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct_per_document(h, doc)
 
 
+def _log_odds(labels: np.ndarray) -> float:
+    share = float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
+    return float(np.log(share / (1 - share)))
+
+
 class FactorizationMachine:
     def __init__(self, bits: int = BITS, factors: int = FACTORS, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -75,12 +82,14 @@ class FactorizationMachine:
 
     def informative(self, rows: list[np.ndarray], labels: np.ndarray, min_docs: int, min_z: float) -> np.ndarray:
         """Whether each feature's documents have the label clearly more or less often than all."""
+        if not len(rows):
+            return np.zeros(len(self.w), bool)
         everything = np.concatenate(rows)
         seen = np.bincount(everything, minlength=len(self.w))
         hits = np.bincount(everything, np.repeat(labels, [len(r) for r in rows]), len(self.w))
         share = labels.mean()
         z = (hits - seen * share) / np.sqrt(np.maximum(seen * share * (1 - share), 1e-9))
-        return (seen >= min_docs) & (z >= min_z)
+        return (seen >= min_docs) & (np.abs(z) >= min_z)
 
     def fit(
         self,
@@ -94,12 +103,24 @@ class FactorizationMachine:
         decay: float = 1e-5,
         seed: int = 11,
     ) -> FactorizationMachine:
-        """rows: the distinct features of each document.  Whole epochs, ``steps`` batches at least."""
-        n, share = len(rows), float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
+        """rows: the distinct features of each document."""
         known = self.informative(rows, labels, min_docs, min_z)
+        start = self.v.copy()
+        self._fit(rows, labels, known, max(1, steps // 4), batch, rate, decay, seed)
+        suspect = np.flatnonzero(self._margins_of(rows) > _log_odds(labels))
+        within = self.informative([rows[i] for i in suspect], labels[suspect], min_docs, min_z)
+        self.w[:], self.v = 0, start
+        return self._fit(rows, labels, known | within, steps, batch, rate, decay, seed)
+
+    def _margins_of(self, rows: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *[self.margins(np.concatenate(some), np.repeat(np.arange(len(some)), [len(r) for r in some]), len(some))[0] for some in (rows[k : k + 1024] for k in range(0, len(rows), 1024))]])
+
+    def _fit(self, rows, labels, known, steps: int, batch: int, rate: float, decay: float, seed: int) -> FactorizationMachine:
+        """Whole epochs, ``steps`` batches at least, over the ``known`` features."""
+        n = len(rows)
         self.v[~known] = 0
         rows = [r[known[r]] for r in rows]
-        self.w0 = float(np.log(share / (1 - share)))
+        self.w0 = _log_odds(labels)
         g0, gw, gv = 1e-6, np.full(self.w.shape, 1e-6, np.float32), np.full(self.v.shape, 1e-6, np.float32)
         rng = np.random.default_rng(seed)
         for _ in range(-(-steps // max(1, -(-n // batch)))):
