@@ -115,6 +115,25 @@ def test_one_per_group(spark):
     assert ngram_join.one_per_group(docs.limit(0)).count() == 0
 
 
+def test_one_id_with_different_texts(spark):
+    """Texts under one id are judged apart: a copy of another document goes, the others stay."""
+    rng = random.Random(8)
+    w, v, x, y = (prose(rng, 40) for _ in range(4))
+    rows = [(1, w), (1, v), (2, v), (3, x), (3, x), (4, y), (4, x), (5, None), (5, None), (None, w), (None, w)]
+    docs = spark.createDataFrame([(i, t, "a", 1) for i, t in rows], "doc_id long, text string, component_id string, set_id int").repartition(3)
+    out = ngram_join.one_per_group(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, w), (1, v), (3, x), (4, y), (5, None), (None, w), (None, w)], key=str)
+
+
+def test_regions_pass_a_full_filter(spark, monkeypatch):
+    """A filter in which every bit is set keeps nothing out, and the result is the same."""
+    texts = family(60, 5, 8)
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", 64)
+    rows = ngram_join.jaccard_components(frame(spark, texts, (), ()), width=3, similarity="9/10").collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(texts, 3, "9/10")
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 299)]
     out = connected_components(spark.createDataFrame(links, "a long, b long"))

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 14))
     assert QUERIES["pipeline"] is corpus_pipeline.run and set(ORACLE_SQL) < set(QUERIES)
 
 

@@ -92,7 +92,7 @@ class Memo:
 
 def token_borders(raw: bytes, ends: list[int], memo: Memo) -> tuple[int, "TokenBorders"]:
     """(number of tokens, places of token borders) of one text given the ends of its chunks."""
-    begins = [0, *ends[:-1]]
+    begins = [0, *ends][: len(ends)]
     totals, before, inside = [0], 0, False
     for a, b in zip(begins, ends, strict=True):
         tokens, _, first, last = memo.summary(raw[a:b])

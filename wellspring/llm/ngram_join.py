@@ -40,6 +40,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,8 +52,8 @@ BAND_RATIO = 2
 #: Regions up to this many sets are compared directly; larger ones are split by this many pivots.
 LEAF = 4096
 PIVOTS = 8
-#: Up to this many shared regions (12 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_REGIONS = 4_000_000
+#: Bits of the filter that keeps most regions of a single set from being shuffled: 16 MB at every size of the input.
+FILTER_BITS = 1 << 27
 #: Regions that pivots did not make smaller in so many rounds are compared directly.
 SPLITS = 3
 _SLACK = 1e-9
@@ -176,34 +177,43 @@ def _free(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def _shared_cells(sets: DataFrame) -> DataFrame:
-    """(region, count, node, n, parts) for the regions that more than one set has."""
+def _filter_words(shared: DataFrame) -> np.ndarray:
+    """The bits of the shared regions, one for each by its last bits; aggregated by words, ``FILTER_BITS / 64`` rows at most."""
+    at = shared.select(F.col("region").bitwiseAND(FILTER_BITS - 1).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _shared_cells(sets: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """((region, count, node, n, parts) for the regions that more than one set has, the filter they come through).
+
+    The filter, of fixed size, lets all shared regions pass and few others while these are few; the join
+    with the shared regions is what decides.
+    """
     spark = sets.sparkSession
     shared = cut_lineage(
         sets.select(F.explode("keys").alias("region")).groupBy("region").agg(F.count("*").cast("int").alias("count")).where("count > 1")
     )
-    if shared.count() > BROADCAST_REGIONS:
-        cells = sets.select(F.explode(F.arrays_zip("keys", "parts")).alias("k"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
-        return cells.select(F.col("k.keys").alias("region"), "node", "n", F.col("k.parts").alias("parts")).join(shared, "region")
-    table = shared.toArrow()
-    order = np.argsort(table["region"].to_numpy())
-    known = spark.sparkContext.broadcast((table["region"].to_numpy()[order], table["count"].to_numpy()[order]))
+    passing = spark.sparkContext.broadcast(_filter_words(shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        regions, counts = known.value
+        words = passing.value
         # a few documents at a time: their keys are many times their number
         for batch in (b.slice(first, 256) for b in batches for first in range(0, b.num_rows, 256)):
             keys = batch.column(2)
             region = keys.flatten().to_numpy()
-            if not len(regions) or not len(region):
+            at = region & (FILTER_BITS - 1)
+            hit = np.flatnonzero(words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
+            if not len(hit):
                 continue
-            at = np.minimum(np.searchsorted(regions, region), len(regions) - 1)
-            hit = np.flatnonzero(regions[at] == region)
             row = pa.array(np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())[hit])
-            columns = [pa.array(region[hit]), pa.array(counts[at[hit]]), batch.column(0).take(row), batch.column(1).take(row), batch.column(3).flatten().take(pa.array(hit))]
-            yield pa.record_batch(columns, ["region", "count", "node", "n", "parts"])
+            columns = [pa.array(region[hit]), batch.column(0).take(row), batch.column(1).take(row), batch.column(3).flatten().take(pa.array(hit))]
+            yield pa.record_batch(columns, ["region", "node", "n", "parts"])
 
-    return sets.select("doc_id", "n_shingles", "keys", "parts").mapInArrow(run, "region long, count int, node long, n long, parts long")
+    cells = sets.select("doc_id", "n_shingles", "keys", "parts").mapInArrow(run, "region long, node long, n long, parts long")
+    return cells.join(shared, "region"), passing
 
 
 def _shingles(docs: DataFrame, width: int) -> DataFrame:
@@ -306,7 +316,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     path = scratch_path(spark, "sets")
     _sets(texts, width, at_least).write.parquet(path)
-    members = cut_lineage(_members(_shared_cells(spark.read.schema(_SETS).parquet(path)), at_least))
+    cells, passing = _shared_cells(spark.read.schema(_SETS).parquet(path))
+    members = cut_lineage(_members(cells, at_least))
+    passing.destroy()
     sets = cut_lineage(spark.read.schema(_SETS).parquet(path).select("doc_id", "n_shingles", "set_id", (F.size("keys") > 0).alias("is_node")))
     drop_scratch(spark, path)
     _free(spark)
@@ -362,15 +374,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: str | float = "0.8") -> DataFrame:
-    """``docs`` without the documents that have a linked one with a smaller id, and without repeated ids.
-    Rows with a null id stay."""
-    groups = jaccard_components(docs, id_col, text_col, width, similarity)
-    gone = cut_lineage(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
-    kept = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    """``docs`` without the documents that have a linked one with a smaller id.
+
+    A document is a text with its id: rows that repeat both go but one, while different texts under one id
+    are judged apart, each by its own links.  Of linked texts with the same smallest id one stays.  Rows with a null id stay.
+    """
+    number = F.col(id_col).cast("long")
+    hashed = docs.where(number.isNotNull()).select(number.alias("__id"), F.xxhash64(text_col).alias("__hash"))
+    several = cut_lineage(
+        hashed.groupBy("__id").agg(F.count("*").alias("__rows"), (F.min("__hash") != F.max("__hash")).alias("__differ")).where("__rows > 1")
+    )
+    # the key of a document is its id, but for ids with different texts a hash of both
+    keyed = docs.join(several, number == F.col("__id"), "left").withColumn("__key", F.when(F.coalesce("__differ", F.lit(False)), F.xxhash64(number, text_col)).otherwise(number))
+    groups = jaccard_components(keyed, "__key", text_col, width, similarity).where("doc_id is not null").select(F.col("doc_id").alias("__key"), "component_id")
+    named = groups.distinct().join(keyed.where("__differ").select("__key", number.alias("__own")).distinct(), "__key", "left")
+    named = cut_lineage(named.withColumn("__own", F.coalesce("__own", "__key")))
+    first = named.groupBy("component_id").agg(F.min(F.struct("__own", "__key"))["__key"].alias("__first"))
+    gone = cut_lineage(named.join(first, "component_id").where("__key <> __first").select("__key"))
+    kept = keyed.join(gone, "__key", "left_anti")
+    # texts are shuffled only where a document is there twice
+    again = F.coalesce(F.col("__rows") > 1, F.lit(False))
+    return kept.where(~again).unionByName(kept.where(again).dropDuplicates(["__key"])).select(*docs.columns)
 
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:

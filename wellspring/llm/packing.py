@@ -13,8 +13,8 @@ becomes sequences whose lengths are powers of two, which need no padding.
 
 Tokenising is exact: the tokenizer lower-cases, drops white space and cuts at
 it and before marks, so texts are cut there first, each distinct string is
-encoded once per worker, and its ids are used again; texts that hold ``<|`` (it
-could start a special token) are encoded whole.  A worker keeps the words of the last two
+encoded once per task, and its ids are used again; texts that hold ``<|`` (it
+could start a special token) are encoded whole.  A task keeps the words of the last two
 generations of ``_GENERATION`` words: a word that is met again moves to the newer one, so
 common words stay and rare ones go.
 
@@ -249,6 +249,7 @@ def pack_documents(
                     yield rows(packer.out, next_id, names)
                     next_id += len(packer.out)
                     packer.out = []
+        tokenizer.clear()  # a reused worker keeps the vocabulary, not the words
         packer.recut(final=True)
         if packer.out:
             yield rows(packer.out, next_id, names)
