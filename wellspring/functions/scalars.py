@@ -321,6 +321,14 @@ def depth_label(depth: ColumnOrName, sensor: ColumnOrName) -> Column:
     return F.concat(_c(depth).cast("string"), F.lit(" m uGOK ("), _c(sensor).cast("string"), F.lit(")"))
 
 
+def plot_title(parameter: ColumnOrName, well: ColumnOrName) -> Column:
+    return F.format_string("Parameter: %s, Brunnen: K%d", _c(parameter), _c(well))
+
+
+def plot_name(parameter: ColumnOrName, well: ColumnOrName) -> Column:
+    return F.format_string("%s_K%02d", _c(parameter), _c(well))
+
+
 # H-26 ------------------------------------------------------------------------
 def to_million(value: ColumnOrName) -> Column:
     return _c(value) / F.lit(1e6)

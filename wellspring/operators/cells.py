@@ -320,19 +320,37 @@ def _clean_headers(raw):
     return clean_names(raw)
 
 
-def table_rows(cells: DataFrame, header_row: int = 1, clean: bool = True) -> DataFrame:
-    """(file_name, sheet_name, row_idx, values): one row per sheet row below the
-    header, ``values`` mapping that sheet's own column names to the cells.
-    Names are cleaned (snake_case) and unique within each sheet; without ``clean`` the leftmost of equal
-    names counts, and of repeated cells the smallest value."""
-    one = cells.where(F.col("row_idx") == header_row).groupBy(*SHEET, "col_idx").agg(F.min("value").alias("value"))
+def clean_header(cells: DataFrame, clean: bool = True) -> DataFrame:
+    """(file, sheet, col_idx, __name) of one header row per sheet: names cleaned (snake_case) and
+    unique within each sheet; of repeated cells the smallest value."""
+    one = cells.groupBy(*SHEET, "col_idx").agg(F.min("value").alias("value"))
     head = one.groupBy(*SHEET).agg(F.array_sort(F.collect_list(F.struct("col_idx", "value"))).alias("h"))
     raw = F.transform("h", lambda x: x["value"])
     named = head.select(*SHEET, "h", (_clean_headers(raw) if clean else raw).alias("n"))
     names = named.select(*SHEET, F.explode(F.arrays_zip(F.transform("h", lambda x: x["col_idx"]).alias("c"), F.col("n"))).alias("x"))
-    names = names.select(*SHEET, F.col("x.c").alias("col_idx"), F.col("x.n").alias("__name"))
-    body = cells.where(F.col("row_idx") > header_row).join(names, [*SHEET, "col_idx"])
-    per_row = body.groupBy(*SHEET, "row_idx").agg(F.collect_list(F.struct("__name", "col_idx", "value")).alias("__cells"))
+    return names.select(*SHEET, F.col("x.c").alias("col_idx"), F.col("x.n").alias("__name"))
+
+
+def table_rows(cells: DataFrame, header_row: int | DataFrame = 1, clean: bool = True) -> DataFrame:
+    """(file_name, sheet_name, row_idx, values): one row per sheet row below the
+    header, ``values`` mapping that sheet's own column names to the cells.
+    Names are cleaned (snake_case) and unique within each sheet; without ``clean`` the leftmost of equal
+    names counts, and of repeated cells the smallest value.  ``header_row`` is a number, or a table
+    (file_name, sheet_name, header_row, first_row, last_row) with those of each sheet; only its
+    sheets are read, and a null last row is the end."""
+    if isinstance(header_row, int):
+        head, body = cells.where(F.col("row_idx") == header_row), cells.where(F.col("row_idx") > header_row)
+    else:
+        placed = cells.join(header_row, [*SHEET])
+        head = placed.where(F.col("row_idx") == F.col("header_row"))
+        last = F.coalesce(F.col("row_idx") <= F.col("last_row"), F.lit(True))
+        body = placed.where((F.col("row_idx") >= F.col("first_row")) & last)
+    names = clean_header(head.select(*CELL_COLUMNS), clean)
+    per_row = (
+        body.join(names, [*SHEET, "col_idx"])
+        .groupBy(*SHEET, "row_idx")
+        .agg(F.collect_list(F.struct("__name", "col_idx", "value")).alias("__cells"))
+    )
     firsts = F.transform(_first_of_each(F.col("__cells"), "__name"), lambda x: F.struct(x["__name"], x["value"]))
     return per_row.select(*SHEET, "row_idx", F.map_from_entries(firsts).alias("values"))
 
@@ -346,6 +364,41 @@ def cells_to_table(cells: DataFrame, names: Sequence[str], header_row: int = 1,
     return rows.select(*SHEET, "row_idx", *out, *(["values"] if rest else []))
 
 
+# S-09 / R-09 -------------------------------------------------------------------------
+LAB_HEADER_ROW = 5
+LAB_BLOCKS = ((1, 53), (210, 211))
+LAB_KEY_PARTS = ("par_name", "method", "par_name_phreeqc", "unit_org")
+
+
+def lab_sheet_rows(
+    cells: DataFrame,
+    key_cols: Sequence[str],
+    header_row: int = LAB_HEADER_ROW,
+    blocks: Sequence[tuple[int, int | None]] = LAB_BLOCKS,
+) -> tuple[DataFrame, DataFrame]:
+    """The lab workbook as delivered: (rows, columns) for ``long_cells``.
+
+    The header is in ``header_row``; only the columns of ``blocks`` are read, by position.
+    Names with '@' are value columns, split into ``LAB_KEY_PARTS``; the others are key columns with
+    clean names, of which ``key_cols`` become columns of the rows.  There is no wide table.
+    """
+    block = cell_range(cells, (header_row, None), blocks)
+    head = block.where(F.col("row_idx") == header_row).groupBy(*SHEET, "col_idx").agg(F.min("value").alias("value"))
+    is_value = F.col("value").contains("@")
+    keys = clean_header(head.where(~is_value))
+    parts = S.split_key("value", LAB_KEY_PARTS)
+    columns = head.join(keys, [*SHEET, "col_idx"], "left").select(
+        *SHEET,
+        "col_idx",
+        F.coalesce("__name", "value").alias("__name"),
+        F.when(is_value, "v").otherwise("k").alias("__role"),
+        F.lit(header_row).alias("__depth"),
+        *[part.alias(name) for name, part in parts.items()],
+    )
+    columns = cut_lineage(columns)
+    return sheet_rows(block, columns, key_cols, kept_map=False), columns
+
+
 # P-22 / Q-D / Q-E / Q-F -------------------------------------------------------------
 def sheet_layouts(
     cells_or_sheets: DataFrame,

@@ -16,6 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+
 def keyed_join(
     left: DataFrame,
     right: DataFrame,
@@ -78,6 +81,25 @@ def add_parameter_metadata(
     return keyed_join(df, lookup, [name_col], how="inner").where(F.col("para_id").isNotNull())
 
 
+def map_or_template(
+    df: DataFrame, lookup_para: DataFrame | None, parameters: DataFrame | None = None, name_col: str = "VariableName_org"
+) -> tuple[DataFrame, DataFrame]:
+    """J-03 / J-04 / K-06 in one scan: (rows whose name maps to a ``para_id``, template of the other names).
+
+    The rows are joined and written once; both results read that table.  A missing or
+    empty lookup maps nothing, and the template then has every name.
+    """
+    if lookup_para is None:
+        kind = df.schema[name_col].dataType
+        lookup_para = df.sparkSession.range(0).select(F.lit(None).cast(kind).alias(name_col), F.lit(None).cast("int").alias("para_id"))
+    lookup = lookup_para.where(F.col("para_id").isNotNull())
+    if parameters is not None:
+        lookup = natural_join(lookup, parameters)
+    joined = cut_lineage(keyed_join(df, lookup, [name_col]))
+    mapped = joined.where(F.col("para_id").isNotNull())
+    return mapped, unmapped_template(joined.where(F.col("para_id").isNull()), name_col)
+
+
 def unmapped_template(df: DataFrame, name_col: str = "VariableName_org") -> DataFrame:
     """K-06 / O-04: distinct names with an empty ``para_id`` to fill in."""
     return (

@@ -1,17 +1,20 @@
 """Data-quality rules as queries (SURVEY Q-A ... Q-I).
 
 Each rule returns its violations as a DataFrame; ``check`` raises when a
-violation table is not empty (``isEmpty`` reads at most one row).
+violation table is not empty (``isEmpty`` reads at most one row).  Rules on single rows are
+also conditions that ``written_checked`` counts while a flow's table is written, without
+a job of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..session import cut_lineage
 from .joins import keyed_join
 from .stats import duplicate_ids
 
@@ -25,6 +28,28 @@ def check(violations: DataFrame, message: str) -> None:
         raise QualityError(f"{message}: e.g. {violations.take(5)}")
 
 
+def observed(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with an observation of its ``rows`` and of how many meet each rule's condition, counted by
+    whatever job runs it; several rules are one pass."""
+    seen = Observation()
+    counts = [F.count(F.when(F.coalesce(bad, F.lit(False)), 1)).alias(name) for name, bad in rules.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def written_checked(df: DataFrame, rules: Mapping[str, Column], required: str | None = None) -> DataFrame:
+    """``cut_lineage`` that raises if the rows written break a rule (name -> condition of a bad row) or,
+    with ``required`` (what the table is), if there are none (Q-I)."""
+    watched, seen = observed(df, rules)
+    written = cut_lineage(watched)
+    counts = seen.get
+    broken = {name: counts[name] for name in rules if counts[name]}
+    if broken:
+        raise QualityError("; ".join(f"{name}: {n} rows" for name, n in broken.items()))
+    if required and not counts["rows"]:
+        raise QualityError(f"{required} is empty")
+    return written
+
+
 def duplicated_samples(df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """Q-A: sample ids that occur more than once."""
     return duplicate_ids(df, id_cols, "n")
@@ -32,13 +57,22 @@ def duplicated_samples(df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
 
 def bad_logger_names(files: DataFrame, stem_col: str = "file_stem") -> DataFrame:
     """Q-B: logger files whose name does not match the pattern."""
-    return files.where(S.not_rlike(stem_col, S.LOGGER_FILE_PATTERN))
+    return files.where(is_bad_logger_name(stem_col))
+
+
+def is_bad_logger_name(stem_col: str = "file_stem") -> Column:
+    return S.not_rlike(stem_col, S.LOGGER_FILE_PATTERN)
 
 
 def unit_violations(df: DataFrame, par_col: str = "par_name_phreeqc", unit_col: str = "unit",
                     exempt: Sequence[str] = ("temp", "pH"), unit: str = "mg/l") -> DataFrame:
     """Q-C: every unit is mg/l except for temperature and pH."""
-    return df.where(S.not_in(par_col, exempt) & (F.col(unit_col).isNull() | (F.col(unit_col) != unit)))
+    return df.where(is_unit_violation(par_col, unit_col, exempt, unit))
+
+
+def is_unit_violation(par_col: str = "par_name_phreeqc", unit_col: str = "unit",
+                      exempt: Sequence[str] = ("temp", "pH"), unit: str = "mg/l") -> Column:
+    return S.not_in(par_col, exempt) & (F.col(unit_col).isNull() | (F.col(unit_col) != unit))
 
 
 def missing_sheets(sheets: DataFrame, required: Sequence[str]) -> DataFrame:

@@ -190,11 +190,12 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: s
     return cond
 
 
-def value_summary(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+def value_summary(df: DataFrame, group_cols: Sequence[str], value_col: str, weight_col: str | None = None) -> DataFrame:
     """(group, __n, __min, __max) of the values that are neither NULL nor NaN; one partial aggregate."""
     v = F.col(value_col).cast("double")
     present = F.when(~F.isnan(v), v)
-    return df.groupBy(*group_cols).agg(F.count(present).alias("__n"), F.min(present).alias("__min"), F.max(present).alias("__max"))
+    n = F.coalesce(F.sum(F.when(present.isNotNull(), F.col(weight_col))), F.lit(0)) if weight_col else F.count(present)
+    return df.groupBy(*group_cols).agg(n.cast("long").alias("__n"), F.min(present).alias("__min"), F.max(present).alias("__max"))
 
 
 def exact_quantiles(
@@ -204,6 +205,7 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     summary: DataFrame | None = None,
+    weight_col: str | None = None,
     bins: int = QUANTILE_BINS,
     leaf: int = QUANTILE_LEAF,
 ) -> DataFrame:
@@ -221,12 +223,14 @@ def exact_quantiles(
     range of one value is the answer; of ranges with at most ``leaf`` values the counts of
     their values are made.  All aggregates combine on the map side, so a hot group
     is one row per bin and task.  ``summary``: ``value_summary`` if the caller has it.
+    ``weight_col``: how often a row's value occurs (once without it).
     """
     group_cols = list(group_cols)
     names = list(names or [_quantile_name(p) for p in probs])
     v = F.col(value_col).cast("double")
-    values = df.select(*group_cols, v.alias("__v")).where(v.isNotNull() & ~F.isnan(v))
-    summary = summary if summary is not None else value_summary(df, group_cols, value_col)
+    weight = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
+    values = df.select(*group_cols, v.alias("__v"), weight.alias("__w")).where(v.isNotNull() & ~F.isnan(v))
+    summary = summary if summary is not None else value_summary(df, group_cols, value_col, weight_col)
 
     # wanted ranks, from 1: floor(h) + 1 and the next one
     h = (F.col("__n") - 1) * F.lit(1.0)
@@ -248,12 +252,12 @@ def exact_quantiles(
     while not wanted.where(open_range).isEmpty():
         binned = _in_ranges(values, wanted.where(open_range), group_cols).withColumn("__bin", _bin_of(bins))
         counts = binned.groupBy(*group_cols, "__lo", "__bin").agg(
-            F.count(F.lit(1)).alias("__k"), F.min("__v").alias("__first"), F.max("__v").alias("__last")
+            F.sum("__w").alias("__k"), F.min("__v").alias("__first"), F.max("__v").alias("__last")
         )
         wanted = cut_lineage(wanted.where(~open_range).unionByName(_narrowed(wanted.where(open_range), counts, group_cols, "__bin")))
 
     # ranges of few values: their counts
-    counts = _in_ranges(values, wanted.where("__lo < __hi"), group_cols).groupBy(*group_cols, "__lo", "__v").agg(F.count(F.lit(1)).alias("__k"))
+    counts = _in_ranges(values, wanted.where("__lo < __hi"), group_cols).groupBy(*group_cols, "__lo", "__v").agg(F.sum("__w").alias("__k"))
     counts = counts.select("*", F.col("__v").alias("__first"), F.col("__v").alias("__last"))
     found = wanted.where("__lo = __hi").unionByName(_narrowed(wanted.where("__lo < __hi"), counts, group_cols, "__v"))
 
@@ -272,7 +276,7 @@ def _in_ranges(values: DataFrame, wanted: DataFrame, group_cols: Sequence[str])
     one at most; the join side has a few numbers per group and range."""
     ranges = wanted.select(*[F.col(g).alias(f"__r_{g}") for g in group_cols], "__lo", "__hi").distinct()
     cond = _null_safe(values, ranges, group_cols, "__r_") & F.col("__v").between(F.col("__lo"), F.col("__hi"))
-    return values.join(ranges, cond, "inner").select(*[values[g] for g in group_cols], "__v", "__lo", "__hi")
+    return values.join(ranges, cond, "inner").select(*[values[g] for g in group_cols], "__v", "__w", "__lo", "__hi")
 
 
 def _bin_of(bins: int):

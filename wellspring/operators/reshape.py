@@ -40,11 +40,16 @@ def to_wide(
     names: Sequence[str],
 ) -> DataFrame:
     """R-11: one row per key, one column per name (explicit list, no extra
-    job to discover values).  (key, name) must be unique; see
-    ``quality.duplicated_samples``."""
+    job to discover values).  (key, name) must be unique, see
+    ``quality.duplicated_samples``; names outside the list are reported by ``names_outside``."""
     return df.groupBy(*keys).pivot(name_col, list(names)).agg(F.first(value_col))
 
 
+def names_outside(df: DataFrame, name_col: str, names: Sequence[str]) -> DataFrame:
+    """R-11: the names that ``to_wide`` leaves out, with the number of their rows."""
+    return df.where(S.not_in(name_col, names)).groupBy(name_col).agg(F.count(F.lit(1)).alias("n"))
+
+
 def union_fill(frames: Mapping[str, DataFrame], source_col: str | None = "source") -> DataFrame:
     """U-01 ``rbindlist(fill=TRUE)`` / ``bind_rows(.id)``.
 

@@ -14,10 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .joins import keyed_join
 from .ranking import exact_quantiles, mark_repeats, rolling_mean_rows, sort_rank
 
 __all__ = [
     "measurement_stats",
+    "value_counts",
+    "merged_counts",
+    "stats_of_counts",
     "overall_period",
     "period_of",
     "daily_totals",
@@ -89,6 +93,41 @@ def measurement_stats(
     )
 
 
+def value_counts(df: DataFrame, keys: Sequence[str] = ("sensor_id", "parameter"), time_col: str = "datum_uhrzeit", value_col: str = "messwert") -> DataFrame:
+    """(keys, value, n, first, last): the measurements as counts of their values (NaN as NULL).  Counts of several
+    parts of the data add up to those of all (``merged_counts``), so they are a state that
+    statistics, quantiles among them, can be kept from."""
+    clean = df.withColumn(value_col, F.when(~F.isnan(value_col), F.col(value_col)))
+    return clean.groupBy(*keys, value_col).agg(
+        F.count(F.lit(1)).alias("n"), F.min(time_col).alias("first"), F.max(time_col).alias("last")
+    )
+
+
+def merged_counts(parts: DataFrame, keys: Sequence[str] = ("sensor_id", "parameter"), value_col: str = "messwert") -> DataFrame:
+    return parts.groupBy(*keys, value_col).agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def stats_of_counts(counts: DataFrame, keys: Sequence[str] = ("sensor_id", "parameter"), value_col: str = "messwert") -> DataFrame:
+    """A-01 from ``value_counts``: the same columns as ``measurement_stats``, exact."""
+    keys, v, n = list(keys), F.col(value_col), F.col("n")
+    present = F.when(v.isNotNull(), n)
+    base = cut_lineage(
+        counts.groupBy(*keys).agg(
+            F.min("first").alias("datetime_min"),
+            F.max("last").alias("datetime_max"),
+            F.min(v).alias("min"),
+            (F.sum(v * n) / F.sum(present)).alias("mean"),
+            F.max(v).alias("max"),
+            F.sum(n).alias("number_of_samples"),
+            F.coalesce(F.sum(present), F.lit(0)).alias("__n"),
+        )
+    )
+    summary = base.select(*keys, "__n", F.col("min").cast("double").alias("__min"), F.col("max").cast("double").alias("__max"))
+    q = exact_quantiles(counts, keys, value_col, [0.1, 0.5, 0.9], ["q10", "median", "q90"], summary, "n")
+    out = keyed_join(base, q, keys)
+    return out.select(*keys, "datetime_min", "datetime_max", "min", "q10", "mean", "median", "q90", "max", "number_of_samples")
+
+
 def overall_period(stats: DataFrame) -> DataFrame:
     """A-02: covered period and total samples of a stats table."""
     return stats.agg(

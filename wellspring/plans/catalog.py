@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("queries", "queries_lab", "queries_cells", "queries_text", "queries_io", "queries_sources")
+_MODULES = ("queries", "queries_lab", "queries_cells", "queries_text", "queries_io", "queries_sources", "queries_flows")
 
 
 def _load() -> None:

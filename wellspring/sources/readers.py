@@ -155,6 +155,18 @@ def read_accumulated(spark: SparkSession, path: str, schema: T.StructType = SENS
         return spark.createDataFrame([], schema)
 
 
+def read_lookup(spark: SparkSession, path: str, schema: str = "VariableName_org string, para_id int") -> DataFrame | None:
+    """J-03 / K-06: the lookup of parameter names; None where the file is missing."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_isotopes(spark: SparkSession, path: str) -> DataFrame:
     """S-06: ';'-separated isotope export."""
     return _csv(spark, ISOTOPE_SCHEMA, sep=";").csv(path)

@@ -90,8 +90,9 @@ def save_tables(tables: Mapping[str, DataFrame], target_dir: str) -> dict[str, s
     return out
 
 
-def write_template(template: DataFrame, path: str) -> str:
-    """K-06: the unmapped-names template as one sorted CSV (a small table:
-    distinct parameter names)."""
-    template.orderBy("VariableName_org").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_template(template: DataFrame, path: str, order_col: str = "VariableName_org") -> str:
+    """K-06: the unmapped-names template as CSV, dealt by ranges and sorted, so that the files one after
+    another are in order; a few names make one file."""
+    key = F.col(order_col).asc_nulls_last()
+    template.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").option("header", True).csv(path)
     return path
