@@ -52,6 +52,8 @@ BAND_RATIO = 2
 #: Regions up to this many sets are compared directly; larger ones are split by this many pivots.
 LEAF = 4096
 PIVOTS = 8
+#: Regions of a set in one row of the table of sets.
+KEYS_PER_ROW = 64
 #: Bits of the filter that keeps most regions of a single set from being shuffled: 16 MB at every size of the input.
 FILTER_BITS = 1 << 27
 #: Regions that pivots did not make smaller in so many rounds are compared directly.
@@ -136,9 +138,9 @@ def region_keys(h: np.ndarray, doc: np.ndarray, sizes: np.ndarray, similarity: F
 
 
 def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """(doc_id, n_shingles, set_id, keys, parts) of every document.  ``keys`` are the regions of
-    the set, ``parts`` the size band of each and how many the set has in it; a task gives them for
-    the first document of each set that it meets."""
+    """(doc_id, n_shingles, set_id, is_first, keys, parts) of every document, with one row or several
+    after another.  ``keys`` are the regions of the set, ``parts`` the size band of each and how many the set
+    has in it; a task gives them for the first document of each set that it meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
@@ -159,15 +161,21 @@ def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 keep = new[doc]
                 keys, of, parts = region_keys(h[keep], doc[keep], sizes * new, similarity)
                 order = np.argsort(of, kind="stable")
-                offsets = np.searchsorted(of[order], np.arange(n + 1)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[order])) for x in (keys.view(np.int64), parts)]
-                columns = [ids, pa.array(sizes.astype(np.int64)), pa.array(set_ids, pa.binary()), *lists]
-                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "keys", "parts"])
+                # rows of few keys, so that no batch of rows is large
+                ends_of = np.searchsorted(of[order], np.arange(n), side="right")
+                pieces = np.maximum(-(-np.diff(ends_of, prepend=0) // KEYS_PER_ROW), 1)
+                row = np.repeat(np.arange(n), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                begin = np.concatenate([[0], ends_of[:-1]])[row] + piece * KEYS_PER_ROW
+                offsets = pa.array(np.concatenate([begin, [len(of)]]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (keys.view(np.int64), parts)]
+                columns = [ids.take(pa.array(row)), pa.array(sizes[row].astype(np.int64)), pa.array(set_ids, pa.binary()).take(pa.array(row)), pa.array(piece == 0), *lists]
+                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "is_first", "keys", "parts"])
 
     return docs.mapInArrow(run, _SETS)
 
 
-_SETS = "doc_id long, n_shingles long, set_id binary, keys array<long>, parts array<long>"
+_SETS = "doc_id long, n_shingles long, set_id binary, is_first boolean, keys array<long>, parts array<long>"
 
 
 def _free(spark: SparkSession) -> None:
@@ -200,8 +208,7 @@ def _shared_cells(sets: DataFrame) -> tuple[DataFrame, Broadcast]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = passing.value
-        # a few documents at a time: their keys are many times their number
-        for batch in (b.slice(first, 256) for b in batches for first in range(0, b.num_rows, 256)):
+        for batch in batches:
             keys = batch.column(2)
             region = keys.flatten().to_numpy()
             at = region & (FILTER_BITS - 1)
@@ -319,7 +326,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cells, passing = _shared_cells(spark.read.schema(_SETS).parquet(path))
     members = cut_lineage(_members(cells, at_least))
     passing.destroy()
-    sets = cut_lineage(spark.read.schema(_SETS).parquet(path).select("doc_id", "n_shingles", "set_id", (F.size("keys") > 0).alias("is_node")))
+    sets = cut_lineage(spark.read.schema(_SETS).parquet(path).where("is_first").select("doc_id", "n_shingles", "set_id", (F.size("keys") > 0).alias("is_node")))
     drop_scratch(spark, path)
     _free(spark)
 
