@@ -205,6 +205,7 @@ def _shared_cells(sets: DataFrame) -> tuple[DataFrame, Broadcast]:
         sets.select(F.explode("keys").alias("region")).groupBy("region").agg(F.count("*").cast("int").alias("count")).where("count > 1")
     )
     passing = spark.sparkContext.broadcast(_filter_words(shared))
+    _free(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = passing.value
@@ -326,6 +327,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cells, passing = _shared_cells(spark.read.schema(_SETS).parquet(path))
     members = cut_lineage(_members(cells, at_least))
     passing.destroy()
+    _free(spark)
     sets = cut_lineage(spark.read.schema(_SETS).parquet(path).where("is_first").select("doc_id", "n_shingles", "set_id", (F.size("keys") > 0).alias("is_node")))
     drop_scratch(spark, path)
     _free(spark)
@@ -346,13 +348,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     crowd = rows.join(sizes, "region").groupBy("node").agg(F.sum("size").alias("crowd"))
     pivots = rows.join(crowd, "node").groupBy("region").agg(F.max_by("node", F.struct("crowd", "node")).alias("pivot"))
     rows = cut_lineage(rows.join(pivots, "region"))
+    _free(spark)
     measured = _measured(rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")), shingles, at_least)
     links = cut_lineage(links.unionByName(measured.where("linked").select("a", "b")))
+    _free(spark)
     distances = rows.join(measured, (rows["node"] == measured["a"]) & (rows["pivot"] == measured["b"]), "left")
     distances = distances.select("region", "node", "parts", F.coalesce("distance", F.lit(0.0)).alias("distance"))
 
     # 3. open regions: split the large ones, compare what is left
     waiting = cut_lineage(_open_regions(distances, links))
+    _free(spark)
     pairs = _pairs(waiting.where(F.col("size") <= LEAF).join(members, ["node", "parts"]), at_least)
     large = waiting.where(F.col("size") > LEAF)
     for seed in range(SPLITS):
@@ -366,6 +371,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     else:
         pairs = pairs.unionByName(_pairs(large, at_least))
     last = _measured(pairs, shingles, at_least).where("linked").select("a", "b")
+    _free(spark)
 
     components = connected_components(links.unionByName(last)).withColumnRenamed("node", "class_id")
     return (
