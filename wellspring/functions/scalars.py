@@ -179,6 +179,15 @@ def with_lab_value(df, text_col: str, below_factor: float = 0.5, prefix: str = "
     ).drop("__lv_sign", "__lv_num")
 
 
+def with_matched_value(df, text_col: str, matches_col: str, below_factor: float = 0.5):
+    """``with_lab_value`` for a text of which ``matches_col`` says whether it is a lab value: no pattern runs again."""
+    matches = F.col(matches_col)
+    sign = F.when(matches, F.regexp_replace(F.substring(F.trim(text_col), 1, 1), "[^<>]", ""))
+    number = F.when(matches, F.translate(F.col(text_col), "<>", "")).try_cast("double")
+    factor = F.when(F.col(text_col).contains("<"), F.lit(below_factor)).otherwise(F.lit(1.0))
+    return df.withColumns({"numeric_value": number * factor, "out_of_limit": sign})
+
+
 # H-11 ----------------------------------------------------------------------
 def micro_to_milli(unit: ColumnOrName, value: ColumnOrName) -> dict[str, Column]:
     """µg/l -> mg/l (value x 0.001); other units unchanged; NULL unit -> NULL."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -218,20 +218,27 @@ def availability_report(timeseries: DataFrame, werk: str, water_type: str = "Roh
 
 
 # C-07 ------------------------------------------------------------------------------------
+def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column behind a generator: Catalyst neither pushes later filters through it nor copies
+    its expression to each place that uses it, so the expression runs once a row."""
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def clean_lab_values(long: DataFrame, labor: str = LAB_NAME, below_factor: float = 0.5) -> DataFrame:
     """C-07 core: raw lab text -> numbers, limits, mg/l; unusable rows dropped.
 
     ``long`` carries par_name, unit_org and par_val_org (plus keys).
     """
-    x = long.withColumn("__par_val", S.limit_comma_to_point(S.blank_if_not_analysed("par_val_org")))
-    # P-15 in its cheapest equivalent form: a number exists exactly when the
-    # unit is known and the cleaned text matches the lab-value pattern (the
-    # factors are never NULL, the matched number always casts).  Catalyst
-    # pushes this filter towards the scan, so it is one regex, not the parse.
+    raw = F.col("par_val_org")
+    # the patterns look only at texts that can have them
+    analysed = F.when(raw.contains("n."), S.blank_if_not_analysed(raw)).otherwise(raw)
+    x = _computed_once(long, "__par_val", F.when(raw.contains(","), S.limit_comma_to_point(analysed)).otherwise(analysed))
+    x = _computed_once(x, "__is_number", F.coalesce(F.col("__par_val").rlike(S.LAB_VALUE_PATTERN), F.lit(False)))
+    # P-15: a number exists exactly when the unit is known and the cleaned text matches the lab-value
+    # pattern (the factors are never NULL, the matched number always casts)
     is_text = F.coalesce(F.col("par_name").isin(list(S.TEXT_PARAMETERS)), F.lit(False))
-    has_number = F.col("unit_org").isNotNull() & F.coalesce(F.col("__par_val").rlike(S.LAB_VALUE_PATTERN), F.lit(False))
-    x = x.where((is_text & F.col("par_val_org").isNotNull()) | (~is_text & has_number))
-    x = S.with_lab_value(x, "__par_val", below_factor).drop("__par_val")
+    x = x.where((is_text & raw.isNotNull()) | (~is_text & F.col("unit_org").isNotNull() & F.col("__is_number")))
+    x = S.with_matched_value(x, "__par_val", "__is_number", below_factor).drop("__par_val", "__is_number")
     conv = S.micro_to_milli("unit_org", "numeric_value")
     x = x.withColumns({"unit": conv["unit"], "numeric_value": conv["numeric_value"]})
     x = x.withColumn("character_value", S.text_value("par_name", "par_val_org"))

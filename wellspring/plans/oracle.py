@@ -6,6 +6,16 @@ from ..functions.geo import utm_to_lonlat_sql
 
 ORACLE: dict[str, str] = {}
 
+
+def replaced(sql: str, *changes: tuple[str, str]) -> str:
+    """``sql`` with each old text replaced; an old text that it lacks is an error, not a statement left as it was."""
+    for old, new in changes:
+        if old not in sql:
+            raise ValueError(f"not in the statement: {old!r}")
+        sql = sql.replace(old, new)
+    return sql
+
+
 ORACLE["sensor_stats"] = """
 SELECT user_id AS sensor_id, event_type AS parameter,
        min(ts) AS datetime_min, max(ts) AS datetime_max,

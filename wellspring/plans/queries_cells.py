@@ -253,7 +253,8 @@ FROM b GROUP BY ALL
 # --- A-10 ---------------------------------------------------------------------------------------
 @register("type_census")
 def type_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = lab_cells(Tables(spark, sf_dir), 2)
+    # read once: no table is written, and the filter reaches the parts of the union
+    cells = _lab_cells(Tables(spark, sf_dir), 2, False)
     return CL.type_census(cells.where(F.col("row_idx") > 2))
 
 
@@ -269,7 +270,7 @@ SELECT 'date' AS "type", (SELECT count(*) FROM s) AS n
 # --- P-17 -----------------------------------------------------------------------------------------
 @register("column_split")
 def column_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    meta = CL.header_metadata(lab_cells(Tables(spark, sf_dir), 2), CL.HEADER_2)
+    meta = CL.header_metadata(_lab_cells(Tables(spark, sf_dir), 2, False), CL.HEADER_2)
     keys = meta.select("key").distinct()
     return keys.withColumn("is_kept", F.coalesce(F.col("key").rlike(gather_ignore_pattern()), F.lit(False)))
 
@@ -399,7 +400,7 @@ FROM supplier
 # --- H-24 -------------------------------------------------------------------------------------------------------
 @register("header_programme")
 def header_programme(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = lab_cells(Tables(spark, sf_dir), 4)
+    cells = _lab_cells(Tables(spark, sf_dir), 4, False)
     head = cells.where((F.col("row_idx") <= 4) & (F.col("col_idx") >= FIRST_PART_COL))
     return head.groupBy("file_name", "sheet_name", "col_idx").agg(
         CL.S.ordered_join("row_idx", "value", "@").alias("programme")

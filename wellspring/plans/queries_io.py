@@ -19,7 +19,7 @@ from ..sources import sinks as K
 from ..streaming.ingest import ingest_new_files
 from ..tables import Tables
 from . import composites as C
-from .oracle import ORACLE
+from .oracle import ORACLE, replaced
 from .queries import INSTALLATION_UTC, dbl, r6, register, ts
 from .queries_cells import archive_cells, lab_cells
 from .queries_text import survey_paths
@@ -249,8 +249,9 @@ def lab_archive_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.withColumns({"mean_value": r6("mean_value"), "Foerdermenge_m3": r6("Foerdermenge_m3")})
 
 
-ORACLE["lab_archive_merged"] = ORACLE["lab_archive_yearly"].replace(
-    "WHERE prufgegenstand = 'Rohwasser'", "WHERE prufgegenstand = 'Rohwasser' AND file_name IN ('lab_A.xlsx', 'lab_N.xlsx')"
+ORACLE["lab_archive_merged"] = replaced(
+    ORACLE["lab_archive_yearly"],
+    ("WHERE prufgegenstand = 'Rohwasser'", "WHERE prufgegenstand = 'Rohwasser' AND file_name IN ('lab_A.xlsx', 'lab_N.xlsx')"),
 )
 
 
@@ -354,14 +355,17 @@ def survey_sheets_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SURVEY_CLEAN_NAMES = {"src0": "cl25", "src1": "gwnmitte_91", "src2": "k1_ost", "src3": "b2_west"}
-ORACLE["survey_sheets_mixed"] = (
-    ORACLE["survey_counts"]
-    .replace(
+ORACLE["survey_sheets_mixed"] = replaced(
+    ORACLE["survey_counts"],
+    (
         "lower(source) AS ods_names_clean",
         "CASE source WHEN 'src0' THEN 'cl25' WHEN 'src1' THEN 'gwnmitte_91' WHEN 'src2' THEN 'k1_ost'"
         " WHEN 'src3' THEN 'b2_west' ELSE lower(source) END AS ods_names_clean",
-    )
-    .replace("messstelle, datum, CAST(n_chars AS DOUBLE) AS lf FROM d WHERE lang = 'en'", "messstelle, NULL AS datum, CAST(n_chars AS DOUBLE) AS lf FROM d WHERE lang = 'en'")
-    .replace('CAST(year(datum) AS INTEGER) AS "year"', 'CAST(year(datum) AS DOUBLE) AS "year"')
-    .replace("WHERE datum <> 'Datum' AND", "WHERE coalesce(datum, '') <> 'Datum' AND")
+    ),
+    (
+        "messstelle, datum, CAST(n_chars AS DOUBLE) AS lf FROM d WHERE lang = 'en'",
+        "messstelle, NULL AS datum, CAST(n_chars AS DOUBLE) AS lf FROM d WHERE lang = 'en'",
+    ),
+    ('CAST(year(datum) AS INTEGER) AS "year"', 'CAST(year(datum) AS DOUBLE) AS "year"'),
+    ("WHERE datum <> 'Datum' AND", "WHERE coalesce(datum, '') <> 'Datum' AND"),
 )

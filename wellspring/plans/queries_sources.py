@@ -14,7 +14,7 @@ from ..sources import sinks as K
 from ..streaming.ingest import ingest_new_files, refresh_stats
 from ..tables import Tables
 from . import composites as C
-from .oracle import ORACLE
+from .oracle import ORACLE, replaced
 from .queries import r6, register, ts
 from .queries_cells import _B, FIRST_PART_COL, lab_cells
 from .queries_io import _LOGGER_LONG, STAT_COLS, stage_logger_files
@@ -71,7 +71,7 @@ def isotopes_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.withColumns({"probenahme_datum": ts("probenahme_datum"), "numeric_value": r6("numeric_value")})
 
 
-ORACLE["isotopes_file"] = ORACLE["isotopes_long"].replace("' ' || CAST(s_suppkey AS VARCHAR)", "CAST(s_suppkey AS VARCHAR)")
+ORACLE["isotopes_file"] = replaced(ORACLE["isotopes_long"], ("' ' || CAST(s_suppkey AS VARCHAR)", "CAST(s_suppkey AS VARCHAR)"))
 
 
 # --- S-07 / S-09 -----------------------------------------------------------------------------------
@@ -138,6 +138,4 @@ def refreshed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.select("sensor_id", "parameter", "datetime_min", "datetime_max", *[r6(c).alias(c) for c in STAT_COLS], "number_of_samples")
 
 
-ORACLE["refreshed_stats"] = ORACLE["sensor_ingest_stats"].replace(
-    ",\n       row_number() OVER (ORDER BY sensor_id, parameter) AS rn", ""
-)
+ORACLE["refreshed_stats"] = replaced(ORACLE["sensor_ingest_stats"], (",\n       row_number() OVER (ORDER BY sensor_id, parameter) AS rn", ""))
