@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import uuid
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -238,6 +239,16 @@ def _shingles(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def _by_node(shingles: DataFrame) -> tuple[DataFrame, str]:
+    """The sets written in buckets of their node, and the name of that table: joins on the node shuffle the pairs only."""
+    spark = shingles.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"wellspring_shingles_{uuid.uuid4().hex}"
+    dealt = shingles.repartition(buckets, "doc_id").write.bucketBy(buckets, "doc_id").sortBy("doc_id")
+    dealt.option("path", scratch_path(spark, "shingles")).saveAsTable(name)
+    return spark.table(name), name
+
+
 def _measured(pairs: DataFrame, shingles: DataFrame, similarity: Fraction) -> DataFrame:
     """Distinct ``pairs`` (a, b) with ``distance`` and ``linked``, written once."""
     x = shingles.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_x"))
@@ -335,7 +346,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # 1. regions with more than one set
     rows = cut_lineage(members.select(F.explode(F.slice("regions", 1, F.col("leading"))).alias("region"), "node", "parts"))
     wanted = cut_lineage(rows.select(F.col("node").alias("doc_id")).distinct())
-    shingles = cut_lineage(_shingles(texts.join(wanted, "doc_id", "left_semi"), width))
+    shingles, table = _by_node(_shingles(texts.join(wanted, "doc_id", "left_semi"), width))
     _free(spark)
 
     # equal sets: every node to the smallest id of its set
@@ -371,6 +382,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     else:
         pairs = pairs.unionByName(_pairs(large, at_least))
     last = _measured(pairs, shingles, at_least).where("linked").select("a", "b")
+    spark.sql(f"DROP TABLE {table}")  # its files stay in the shared folder, as those of all written steps
     _free(spark)
 
     components = connected_components(links.unionByName(last)).withColumnRenamed("node", "class_id")
