@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_scratch, scratch_path
 from .components import connected_components
-from .textops import distinct_per_document, mixed, shingle_hashes, slices, word_hashes
+from .textops import distinct_per_document, give_back, mixed, shingle_hashes, slices, word_hashes
 
 BAND_RATIO = 2
 #: Regions up to this many sets are compared directly; larger ones are split by this many pivots.
@@ -172,6 +172,8 @@ def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (keys.view(np.int64), parts)]
                 columns = [ids.take(pa.array(row)), pa.array(sizes[row].astype(np.int64)), pa.array(set_ids, pa.binary()).take(pa.array(row)), pa.array(piece == 0), *lists]
                 yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "is_first", "keys", "parts"])
+        met.clear()
+        give_back()
 
     return docs.mapInArrow(run, _SETS)
 
@@ -220,6 +222,7 @@ def _shared_cells(sets: DataFrame) -> tuple[DataFrame, Broadcast]:
             row = pa.array(np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())[hit])
             columns = [pa.array(region[hit]), batch.column(0).take(row), batch.column(1).take(row), batch.column(3).flatten().take(pa.array(hit))]
             yield pa.record_batch(columns, ["region", "node", "n", "parts"])
+        give_back()
 
     cells = sets.select("doc_id", "n_shingles", "keys", "parts").mapInArrow(run, "region long, node long, n long, parts long")
     return cells.join(shared, "region"), passing
@@ -235,6 +238,7 @@ def _shingles(docs: DataFrame, width: int) -> DataFrame:
                 offsets = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))
                 yield pa.record_batch([batch.column(0).slice(first, n), lists], ["doc_id", "shingles"])
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 

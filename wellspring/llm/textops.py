@@ -7,6 +7,7 @@ memory follows the longest document and not the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,15 @@ BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
+def give_back() -> None:
+    """Return what a reused worker has freed to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     col = batch.column(batch.schema.get_field_index(name))
     return pc.fill_null(col.cast(pa.large_string()), "")

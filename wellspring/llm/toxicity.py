@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import MAX_ROWS, held_out, sample_labels, sampled_documents
-from .textops import LOWER, SPACE, buffers, distinct_per_document, prefix_sums, slices, substring_hashes, words
+from .textops import LOWER, SPACE, buffers, distinct_per_document, give_back, prefix_sums, slices, substring_hashes, words
 
 BITS = 16
 FACTORS = 8
@@ -191,10 +191,12 @@ def drop_toxic(docs: DataFrame, model: FactorizationMachine | None, text_col: st
     """The documents that score below ``limit``, all columns as they were."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for first, n, texts in slices(batch, text_col):
                 found = model.scores(texts) if model else np.zeros(n)
                 yield batch.slice(first, n).filter(pa.array(found < limit))
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)
 
