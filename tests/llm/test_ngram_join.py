@@ -139,3 +139,22 @@ def test_components_of_chains_and_stars(spark):
     out = connected_components(spark.createDataFrame(links, "a long, b long"))
     found = {r.node: r.component for r in out.collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {299: 299, 300: 299}
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 2**64, 4000, np.uint64, endpoint=False)
+    sets = [np.unique(rng.choice(pool, n, replace=False)) for n in (1, 5, 31, 32, 33, 64, 65, 700, 1400, 2600)]
+    sizes = np.array([len(s) for s in sets])
+    bits, words = ngram_join.sketches(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes)
+    assert words.tolist() == [1, 1, 1, 1, 2, 2, 4, 32, 64, 128]
+    parts = np.split(bits, np.cumsum(words)[:-1])
+    for x, s in zip(parts, sets, strict=True):
+        for y, t in zip(parts, sets, strict=True):
+            while len(x) > len(y):
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            while len(y) > len(x):
+                y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+            differing = sum(int(w).bit_count() for w in x ^ y)
+            assert differing <= len(set(s) ^ set(t))
+            assert differing % 2 == len(set(s) ^ set(t)) % 2

@@ -18,8 +18,8 @@ down in three steps, each exact:
    the Voronoi cell of the nearest and, by the triangle inequality, also to every
    cell whose pivot is at most two radii farther.  In what remains, only pairs
    of different components are compared whose distances to a pivot differ by at
-   most the radius, and that have so many regions in common that the differing
-   classes can be as few as the differing shingles of a link.
+   most the radius, and whose sketches, a bit or two of parity for each shingle, differ in
+   no more bits than the shingles of a link.
 
 Equal sets are one node per task and class, so copies are never paired with
 each other.  Sets are compared by 64-bit shingle hashes.
@@ -42,7 +42,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_scratch, scratch_path
@@ -228,8 +228,19 @@ def _shared_cells(sets: DataFrame) -> tuple[DataFrame, Broadcast]:
     return cells.join(shared, "region"), passing
 
 
+def sketches(h: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words of 64 bits, number of words of each document): for each set the parity of its shingles at each
+    place, the hash's last bits; two to four places for a shingle.  The number of words is a power of two, so
+    that the halves of a sketch, one upon the other, are the sketch of half as many places."""
+    words = np.left_shift(1, np.ceil(np.log2(np.maximum(sizes / 32, 1))).astype(np.int64))
+    begin = np.cumsum(words) - words
+    place = (h & (64 * words[doc] - 1).astype(np.uint64)).astype(np.int64) + 64 * begin[doc]
+    odd = (np.bincount(place, minlength=64 * int(words.sum())) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8"), words
+
+
 def _shingles(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, shingles) with the distinct shingle hashes."""
+    """(doc_id, n, sketch, shingles) with the distinct shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,10 +248,13 @@ def _shingles(docs: DataFrame, width: int) -> DataFrame:
                 h, doc = shingle_sets(texts, width)
                 offsets = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))
-                yield pa.record_batch([batch.column(0).slice(first, n), lists], ["doc_id", "shingles"])
+                bits, words = sketches(h, doc, np.diff(offsets))
+                sketch = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(words)].astype(np.int32)), pa.array(bits.view(np.int64)))
+                columns = [batch.column(0).slice(first, n), pa.array(np.diff(offsets)), sketch, lists]
+                yield pa.record_batch(columns, ["doc_id", "n", "sketch", "shingles"])
         give_back()
 
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.mapInArrow(run, "doc_id long, n int, sketch array<long>, shingles array<long>")
 
 
 def _by_node(shingles: DataFrame) -> tuple[DataFrame, str]:
@@ -288,22 +302,29 @@ def _split(rows: DataFrame, shingles: DataFrame, similarity: Fraction, seed: int
     return cells, measured.where("linked").select("a", "b")
 
 
-def _pairs(rows: DataFrame, similarity: Fraction) -> DataFrame:
-    """(a, b) of nodes of a region that have different labels and whose distances to the region's
-    pivot differ by the radius at most.  Where the rows say all ``regions`` of their node, a pair comes
-    from its first common region only, and only with as many common ones as a link has."""
-    columns = {"_l": "label", "_d": "distance", "_n": "n", "_p": "parts", "_r": "regions"}
-    columns = {short: name for short, name in columns.items() if name in rows.columns}
-    x = rows.select("region", F.col("node").alias("a"), *[F.col(name).alias(short + "a") for short, name in columns.items()])
-    y = rows.select("region", F.col("node").alias("b"), *[F.col(name).alias(short + "b") for short, name in columns.items()])
-    window = F.abs(F.col("_da") - F.col("_db")) <= float(1 - similarity) + _SLACK
-    cond = (x["region"] == y["region"]) & (F.col("a") < F.col("b")) & (F.col("_la") != F.col("_lb")) & window
-    if "_r" in columns:
-        common = F.array_intersect("_ra", "_rb")
-        most = F.floor((F.col("_na") + F.col("_nb")) * (float((1 - similarity) / (1 + similarity)) + _SLACK))
-        parts = F.greatest("_pa", "_pb").bitwiseAND((1 << _PARTS_BITS) - 1)
-        cond = cond & (F.array_min(common) == x["region"]) & (parts - F.size(common) <= most)
-    return x.join(y, cond).select("a", "b")
+def _pairs(rows: DataFrame, shingles: DataFrame, similarity: Fraction) -> DataFrame:
+    """(a, b) of nodes of a region that have different labels, whose distances to the region's
+    pivot differ by the radius at most and which neither sizes nor sketches exclude: at each place where two
+    sketches differ there is a shingle that one of the sets has alone."""
+    sketched = shingles.select(F.col("doc_id").alias("node"), "n", "sketch")
+    known = rows.select("region", "node", "label", "distance").join(sketched, "node")
+    x = known.select("region", *[F.col(c).alias("_x" + c) for c in known.columns if c != "region"])
+    y = known.select("region", *[F.col(c).alias("_y" + c) for c in known.columns if c != "region"])
+    words, longer = F.least(F.size("_xsketch"), F.size("_ysketch")), F.greatest(F.size("_xsketch"), F.size("_ysketch"))
+
+    def folded(sketch: str) -> Column:
+        halves = F.zip_with(F.slice(sketch, F.lit(1), words), F.slice(sketch, words + 1, words), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(sketch) > words, halves).otherwise(F.col(sketch))
+
+    unlike = F.zip_with(folded("_xsketch"), folded("_ysketch"), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    differing = F.aggregate(unlike, F.lit(0), lambda total, c: total + c).cast("long")
+    p, q = similarity.numerator, similarity.denominator
+    near = differing * (q + p) <= (F.col("_xn") + F.col("_yn")).cast("long") * (q - p)
+    alike = F.least("_xn", "_yn").cast("long") * q >= F.greatest("_xn", "_yn").cast("long") * p
+    window = F.abs(F.col("_xdistance") - F.col("_ydistance")) <= float(1 - similarity) + _SLACK
+    other = (F.col("_xnode") < F.col("_ynode")) & (F.col("_xlabel") != F.col("_ylabel"))
+    cond = (x["region"] == y["region"]) & other & window & alike & ((longer > 2 * words) | near)
+    return x.join(y, cond).select(F.col("_xnode").alias("a"), F.col("_ynode").alias("b"))
 
 
 def _members(cells: DataFrame, similarity: Fraction) -> DataFrame:
@@ -340,15 +361,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     path = scratch_path(spark, "sets")
     _sets(texts, width, at_least).write.parquet(path)
     cells, passing = _shared_cells(spark.read.schema(_SETS).parquet(path))
-    members = cut_lineage(_members(cells, at_least))
+    # 1. regions with more than one set
+    rows = cut_lineage(_members(cells, at_least).select(F.explode(F.slice("regions", 1, F.col("leading"))).alias("region"), "node"))
     passing.destroy()
     _free(spark)
     sets = cut_lineage(spark.read.schema(_SETS).parquet(path).where("is_first").select("doc_id", "n_shingles", "set_id", (F.size("keys") > 0).alias("is_node")))
     drop_scratch(spark, path)
     _free(spark)
 
-    # 1. regions with more than one set
-    rows = cut_lineage(members.select(F.explode(F.slice("regions", 1, F.col("leading"))).alias("region"), "node", "parts"))
     wanted = cut_lineage(rows.select(F.col("node").alias("doc_id")).distinct())
     shingles, table = _by_node(_shingles(texts.join(wanted, "doc_id", "left_semi"), width))
     _free(spark)
@@ -368,12 +388,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = cut_lineage(links.unionByName(measured.where("linked").select("a", "b")))
     _free(spark)
     distances = rows.join(measured, (rows["node"] == measured["a"]) & (rows["pivot"] == measured["b"]), "left")
-    distances = distances.select("region", "node", "parts", F.coalesce("distance", F.lit(0.0)).alias("distance"))
+    distances = distances.select(rows["region"], rows["node"], F.coalesce("distance", F.lit(0.0)).alias("distance"))
 
     # 3. open regions: split the large ones, compare what is left
     waiting = cut_lineage(_open_regions(distances, links))
     _free(spark)
-    pairs = _pairs(waiting.where(F.col("size") <= LEAF).join(members, ["node", "parts"]), at_least)
+    pairs = _pairs(waiting.where(F.col("size") <= LEAF), shingles, at_least)
     large = waiting.where(F.col("size") > LEAF)
     for seed in range(SPLITS):
         if large.isEmpty():
@@ -381,10 +401,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         cells, found = _split(large, shingles, at_least, seed)
         links = cut_lineage(links.unionByName(found))
         parts = cut_lineage(_open_regions(cells, links))
-        pairs = pairs.unionByName(_pairs(parts.where(F.col("size") <= LEAF), at_least))
+        pairs = pairs.unionByName(_pairs(parts.where(F.col("size") <= LEAF), shingles, at_least))
         large = parts.where(F.col("size") > LEAF)
     else:
-        pairs = pairs.unionByName(_pairs(large, at_least))
+        pairs = pairs.unionByName(_pairs(large, shingles, at_least))
     last = _measured(pairs, shingles, at_least).where("linked").select("a", "b")
     spark.sql(f"DROP TABLE {table}")  # its files stay in the shared folder, as those of all written steps
     _free(spark)
