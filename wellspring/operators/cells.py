@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..functions.names import clean_names, gather_ignore_pattern
-from ..session import cut_lineage
+from ..session import cut_lineage, dealt
 
 SHEET = ("file_name", "sheet_name")
 CELL_COLUMNS = ("file_name", "sheet_name", "row_idx", "col_idx", "value")
@@ -36,6 +36,7 @@ HEADER_2 = ("VariableName_org", "UnitName_org")
 HEADER_4 = ("VariableName_org", "Method", "UnitName_org", "Limit_TrinkWV")
 META_SHEET_PATTERN = "META"
 META_FIELDS = ("Sheet", "OriginalName", "Name")
+META_BLOCK = 4096  # rows of a META sheet that meet its header in one task
 # Kept columns that become columns of the long table; others stay in its map.
 KEPT_NAMES = ("Datum", "Probe_Nr")
 
@@ -67,7 +68,8 @@ def header_rows(cells: DataFrame, n: int) -> DataFrame:
     row, value = F.col("row_idx"), F.col("value")
     parts = [F.min(F.when(row == i, value)).alias(f"h{i}") for i in range(1, n + 1)]
     surplus = [F.greatest(F.count(F.when(row == i, 1)) - 1, F.lit(0)) for i in range(1, n + 1)]
-    return cells.where(row <= n).groupBy(*SHEET, "col_idx").agg(*parts, F.array(*surplus).alias("repeated"))
+    head = dealt(cells.where(row <= n), *SHEET, "col_idx")
+    return head.groupBy(*SHEET, "col_idx").agg(*parts, F.array(*surplus).alias("repeated"))
 
 
 def header_metadata(cells: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -104,8 +106,9 @@ def sheet_rows(cells: DataFrame, columns: DataFrame, kept: Sequence[str], kept_m
     rows of the sheet, ``__name`` and ``__role``.  Only the kept columns, a few of each sheet, meet the
     body before the shuffle; of a repeated cell the smallest value counts.
     """
-    sheets = columns.select(*SHEET, "__depth").distinct()
-    keys = columns.where(F.col("__role") != "v").select(*SHEET, "col_idx", "__name", "__role")
+    # written, so that their size is known when the joins are planned: small ones move no cell of the body
+    sheets = cut_lineage(columns.select(*SHEET, "__depth").distinct())
+    keys = cut_lineage(columns.where(F.col("__role") != "v").select(*SHEET, "col_idx", "__name", "__role"))
     body = cells.where(F.col("row_idx") > 1).join(sheets, [*SHEET]).where(F.col("row_idx") > F.col("__depth"))
     role = F.col("__role")
     per_row = (
@@ -192,10 +195,16 @@ def meta_rows(cells: DataFrame, meta_pattern: str = META_SHEET_PATTERN, fields:
     the leftmost.  A name that is described more than once has the first description and their
     number in ``n_described``, so that no value is doubled."""
     meta_cells = cells.where(F.col("sheet_name").rlike(meta_pattern))
-    head = meta_cells.where(F.col("row_idx") == 1).groupBy(*SHEET, "col_idx").agg(F.min("value").alias("__field"))
-    field_of = meta_cells.where(F.col("row_idx") > 1).join(head, [*SHEET, "col_idx"])
-    cell = F.struct("__field", "col_idx", "value")
-    rows = field_of.groupBy(*SHEET, "row_idx").agg(F.collect_list(cell).alias("__cells"))
+    head = meta_cells.where((F.col("row_idx") == 1) & F.col("col_idx").isNotNull()).groupBy(*SHEET, "col_idx").agg(F.min("value").alias("field"))
+    by_col = F.map_from_entries(F.collect_list(F.when(F.col("field").isNotNull(), F.struct("col_idx", "field"))))
+    heads = head.groupBy(*SHEET).agg(by_col.alias("__fields"))
+    # a META sheet has few columns and can have very many rows: its rows meet the header in blocks, not all in one task
+    body = meta_cells.where(F.col("row_idx") > 1).withColumn("__block", F.floor(F.col("row_idx") / META_BLOCK))
+    heads = body.select(*SHEET, "__block").distinct().join(heads, [*SHEET])
+    blocks = dealt(body, *SHEET, "__block").groupBy(*SHEET, "__block", "row_idx")
+    rows = blocks.agg(F.collect_list(F.struct("col_idx", "value")).alias("__raw")).join(heads, [*SHEET, "__block"])
+    named = F.transform("__raw", lambda x: F.struct(F.try_element_at("__fields", x["col_idx"]).alias("__field"), x["col_idx"].alias("col_idx"), x["value"].alias("value")))
+    rows = rows.withColumn("__cells", F.filter(named, lambda x: x["__field"].isNotNull())).where(F.size("__cells") > 0)
     by_name = F.transform(_first_of_each(F.col("__cells"), "__field"), lambda x: F.struct(x["__field"], x["value"]))
     rows = rows.withColumn("meta", F.map_from_entries(by_name))
     rows = rows.select(*SHEET, "row_idx", *[F.try_element_at("meta", F.lit(f)).alias(f) for f in fields], "meta")
