@@ -49,3 +49,13 @@ def test_dealt_partitions_are_not_merged(spark):
     few = spark.range(1000).withColumn("k", F.col("id"))
     assert spread(dealt(few, "k").groupBy("k").count())
     assert not spread(few.groupBy("k").count())
+
+
+def test_header_and_sheet_rows_are_dealt(spark):
+    head = [("f", "1 a", 1, c, f"h{c}") for c in range(1, 200)]
+    body = [("f", "1 a", r, 1 + r % 199, str(r)) for r in range(2, 300)]
+    cells = spark.createDataFrame(head + body, SCHEMA)
+    assert spread(CL.header_rows(cells, 1))
+    columns = CL.header_rows(cells, 1).select(*CL.SHEET, "col_idx", F.col("h1").alias("__name"), F.lit("v").alias("__role"), F.lit(1).alias("__depth"))
+    rows = CL.sheet_rows(cells, columns, [], False)
+    assert rows.count() == 298 and spread(rows)

@@ -111,9 +111,9 @@ def sheet_rows(cells: DataFrame, columns: DataFrame, kept: Sequence[str], kept_m
     keys = cut_lineage(columns.where(F.col("__role") != "v").select(*SHEET, "col_idx", "__name", "__role"))
     body = cells.where(F.col("row_idx") > 1).join(sheets, [*SHEET]).where(F.col("row_idx") > F.col("__depth"))
     role = F.col("__role")
+    used = body.join(keys, [*SHEET, "col_idx"], "left").where(role.isNull() | (role == "k"))
     per_row = (
-        body.join(keys, [*SHEET, "col_idx"], "left")
-        .where(role.isNull() | (role == "k"))
+        dealt(used, *SHEET, "row_idx")
         .groupBy(*SHEET, "row_idx")
         .agg(
             F.collect_list(F.when(role == "k", F.struct("__name", "col_idx", "value"))).alias("__keys"),

@@ -19,7 +19,7 @@ from ..functions.names import gather_ignore_pattern
 from ..operators import cells as CL
 from ..operators import joins as J
 from ..operators import quality as Q
-from ..session import cut_lineage
+from ..session import cut_lineage, dealt
 from ..tables import Tables
 from . import composites as C
 from .oracle import ORACLE
@@ -49,10 +49,11 @@ def sheet_values(t: Tables) -> DataFrame:
     ).select("s_suppkey", "s_nationkey", F.concat_ws(" ", F.col("s_nationkey").cast("string"), "n_name").alias("sheet_name"))
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
     b = J.keyed_join(li, sup, ["l_suppkey"], ["s_suppkey"], how="inner")
-    return b.groupBy(
+    b = b.select(
         F.concat(F.lit("lab_"), "l_returnflag", F.lit(".xlsx")).alias("file_name"),
-        "sheet_name", "s_nationkey", "l_orderkey", "l_partkey",
-    ).agg(F.sum("l_quantity").alias("q"))
+        "sheet_name", "s_nationkey", "l_orderkey", "l_partkey", "l_quantity",
+    )
+    return dealt(b, "l_orderkey", "l_partkey").groupBy("file_name", "sheet_name", "s_nationkey", "l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("q"))
 
 
 def _part_header_values(parts: DataFrame, n_header: int):
@@ -81,7 +82,7 @@ def _lab_cells(t: Tables, n_header: int, meta: bool, vals: DataFrame | None = No
     # two-decimal text of the (integral) summed quantity
     body = _cell(vals, row, col, F.col("q").cast("decimal(18,2)").cast("string"))
     rows = J.keyed_join(
-        vals.select("file_name", "sheet_name", "l_orderkey").distinct(),
+        dealt(vals.select("file_name", "sheet_name", "l_orderkey"), "file_name", "sheet_name", "l_orderkey").distinct(),
         t.orders.select("o_orderkey", "o_orderdate"), ["l_orderkey"], ["o_orderkey"],
     )
     # kept cells of a row (date, sample id) in one pass: one struct per cell
@@ -94,7 +95,7 @@ def _lab_cells(t: Tables, n_header: int, meta: bool, vals: DataFrame | None = No
     ).select(*CELL_COLS)
     sheets = vals.select("file_name", "sheet_name").distinct()
     parts = J.keyed_join(
-        vals.select("file_name", "sheet_name", "l_partkey").distinct(),
+        dealt(vals.select("file_name", "sheet_name", "l_partkey"), "file_name", "sheet_name", "l_partkey").distinct(),
         t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), ["l_partkey"], ["p_partkey"],
     )
     if not meta:
