@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import reshape as R
+from ..session import dealt
 from ..tables import Tables
 from . import composites as C
 from .oracle import ORACLE
@@ -175,7 +176,8 @@ WIDE_NAMES = [f"L{i}" for i in range(1, 8)]
 
 @register("lab_wide")
 def lab_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = Tables(spark, sf_dir).lineitem
+    # dealt by sample: values, names and the wide rows of a sample are made where its lines are
+    li = dealt(Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), "l_orderkey")
     per = li.groupBy(
         F.col("l_orderkey").alias("probe_nr"),
         F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("par_name_phreeqc"),
@@ -193,8 +195,7 @@ ORACLE["lab_wide"] = "SELECT l_orderkey AS probe_nr, " + ", ".join(
 def current_lab_wide(t: Tables) -> DataFrame:
     """Lab matrix with one row per sample (order) and 'name@method@phreeqc@unit'
     value columns built from the order's lines."""
-    li = t.lineitem
-    g = li.groupBy(F.col("l_orderkey").alias("probe_nr")).agg(
+    g = t.lineitem.groupBy(F.col("l_orderkey").alias("probe_nr")).agg(
         F.sum("l_quantity").alias("q"), F.max("l_discount").alias("d"), F.max("l_tax").alias("tx"),
         F.count(F.lit(1)).alias("n"), F.min("l_linestatus").alias("st"), F.max("l_extendedprice").alias("ep"),
         F.min("l_quantity").alias("qmin"), F.min("l_suppkey").alias("supp"), F.max("l_shipdate").alias("sd"),
