@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wellspring.operators import cells as CL
+from wellspring.plans import queries_cells, queries_lab
 from wellspring.session import dealt
 
 SCHEMA = "file_name string, sheet_name string, row_idx long, col_idx long, value string"
@@ -59,3 +60,22 @@ def test_header_and_sheet_rows_are_dealt(spark):
     columns = CL.header_rows(cells, 1).select(*CL.SHEET, "col_idx", F.col("h1").alias("__name"), F.lit("v").alias("__role"), F.lit(1).alias("__depth"))
     rows = CL.sheet_rows(cells, columns, [], False)
     assert rows.count() == 298 and spread(rows)
+
+
+def test_tables_of_samples_are_dealt(spark, tmp_path):
+    lines = spark.range(300).selectExpr(
+        "id div 3 AS l_orderkey", "id AS l_partkey", "1L AS l_suppkey", "CAST(id % 3 + 1 AS INT) AS l_linenumber", "CAST(id AS DOUBLE) AS l_quantity",
+        "10D AS l_extendedprice", "0.04D AS l_discount", "0.02D AS l_tax", "'A' AS l_returnflag", "'O' AS l_linestatus", "TIMESTAMP '2020-01-02' AS l_shipdate",
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    wide = queries_lab.lab_wide(spark, str(tmp_path))
+    assert wide.count() == 100 and wide.where("L1 + 1 = L2 AND L2 + 1 = L3 AND L4 IS NULL").count() == 100
+    assert spread(wide)
+    assert spread(queries_lab.solver_long(spark, str(tmp_path)))
+    t = Lines(
+        lineitem=spark.read.parquet(str(tmp_path / "lineitem.parquet")),
+        supplier=spark.createDataFrame([(1, 4)], "s_suppkey long, s_nationkey int"),
+        nation=spark.createDataFrame([(4, "N")], "n_nationkey int, n_name string"),
+    )
+    assert queries_cells.sheet_values(t).count() == 300 and spread(queries_cells.sheet_values(t))
+    assert spread(queries_lab.current_lab_wide(t))

@@ -195,7 +195,7 @@ ORACLE["lab_wide"] = "SELECT l_orderkey AS probe_nr, " + ", ".join(
 def current_lab_wide(t: Tables) -> DataFrame:
     """Lab matrix with one row per sample (order) and 'name@method@phreeqc@unit'
     value columns built from the order's lines."""
-    g = t.lineitem.groupBy(F.col("l_orderkey").alias("probe_nr")).agg(
+    g = dealt(t.lineitem, "l_orderkey").groupBy(F.col("l_orderkey").alias("probe_nr")).agg(
         F.sum("l_quantity").alias("q"), F.max("l_discount").alias("d"), F.max("l_tax").alias("tx"),
         F.count(F.lit(1)).alias("n"), F.min("l_linestatus").alias("st"), F.max("l_extendedprice").alias("ep"),
         F.min("l_quantity").alias("qmin"), F.min("l_suppkey").alias("supp"), F.max("l_shipdate").alias("sd"),
@@ -281,7 +281,7 @@ def solver_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = C.solver_data(current_lab_df(Tables(spark, sf_dir)))
     # the driver rows hold several values of a sample and name; the flow refuses such
     # data, so this query makes them unique first
-    once = data.groupBy("probe_nr", "par_name_phreeqc").agg(F.avg("numeric_value").alias("numeric_value"))
+    once = dealt(data, "probe_nr", "par_name_phreeqc").groupBy("probe_nr", "par_name_phreeqc").agg(F.avg("numeric_value").alias("numeric_value"))
     out = C.solver_long(once)
     return out.select("solution", "units", "par_name_phreeqc", r6("numeric_value").alias("numeric_value"))
 
