@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_scratch, scratch_path
 from .components import connected_components
-from .textops import distinct_per_document, give_back, mixed, shingle_hashes, slices, word_hashes
+from .textops import SMALL_SLICE, distinct_per_document, giving_back, mixed, shingle_hashes, slices, word_hashes
 
 BAND_RATIO = 2
 #: Regions up to this many sets are compared directly; larger ones are split by this many pivots.
@@ -146,7 +146,7 @@ def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
         for batch in batches:
-            for first, n, texts in slices(batch, "text"):
+            for first, n, texts in slices(batch, "text", SMALL_SLICE):
                 h, doc = shingle_sets(texts, width)
                 sizes = np.bincount(doc, minlength=n)
                 ends = np.cumsum(sizes)
@@ -172,10 +172,8 @@ def _sets(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (keys.view(np.int64), parts)]
                 columns = [ids.take(pa.array(row)), pa.array(sizes[row].astype(np.int64)), pa.array(set_ids, pa.binary()).take(pa.array(row)), pa.array(piece == 0), *lists]
                 yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "is_first", "keys", "parts"])
-        met.clear()
-        give_back()
 
-    return docs.mapInArrow(run, _SETS)
+    return docs.mapInArrow(giving_back(run), _SETS)
 
 
 _SETS = "doc_id long, n_shingles long, set_id binary, is_first boolean, keys array<long>, parts array<long>"
@@ -222,9 +220,8 @@ def _shared_cells(sets: DataFrame) -> tuple[DataFrame, Broadcast]:
             row = pa.array(np.repeat(np.arange(batch.num_rows), keys.value_lengths().to_numpy())[hit])
             columns = [pa.array(region[hit]), batch.column(0).take(row), batch.column(1).take(row), batch.column(3).flatten().take(pa.array(hit))]
             yield pa.record_batch(columns, ["region", "node", "n", "parts"])
-        give_back()
 
-    cells = sets.select("doc_id", "n_shingles", "keys", "parts").mapInArrow(run, "region long, node long, n long, parts long")
+    cells = sets.select("doc_id", "n_shingles", "keys", "parts").mapInArrow(giving_back(run), "region long, node long, n long, parts long")
     return cells.join(shared, "region"), passing
 
 
@@ -244,7 +241,7 @@ def _shingles(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n, texts in slices(batch, "text"):
+            for first, n, texts in slices(batch, "text", SMALL_SLICE):
                 h, doc = shingle_sets(texts, width)
                 offsets = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))
@@ -252,9 +249,8 @@ def _shingles(docs: DataFrame, width: int) -> DataFrame:
                 sketch = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(words)].astype(np.int32)), pa.array(bits.view(np.int64)))
                 columns = [batch.column(0).slice(first, n), pa.array(np.diff(offsets)), sketch, lists]
                 yield pa.record_batch(columns, ["doc_id", "n", "sketch", "shingles"])
-        give_back()
 
-    return docs.mapInArrow(run, "doc_id long, n int, sketch array<long>, shingles array<long>")
+    return docs.mapInArrow(giving_back(run), "doc_id long, n int, sketch array<long>, shingles array<long>")
 
 
 def _by_node(shingles: DataFrame) -> tuple[DataFrame, str]:

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .textops import slices
+from .textops import giving_back, slices
 
 WINDOW = 2048
 END_ID = 1
@@ -254,7 +254,7 @@ def pack_documents(
         if packer.out:
             yield rows(packer.out, next_id, names)
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(pack, schema)
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(giving_back(pack), schema)
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:

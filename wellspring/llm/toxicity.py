@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import MAX_ROWS, held_out, sample_labels, sampled_documents
-from .textops import LOWER, SPACE, buffers, distinct_per_document, give_back, prefix_sums, slices, substring_hashes, words
+from .textops import LOWER, SMALL_SLICE, SPACE, buffers, distinct_per_document, give_back, giving_back, prefix_sums, slices, substring_hashes, words
 
 BITS = 16
 FACTORS = 8
@@ -158,7 +158,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n, texts in slices(batch, "text"):
+            for first, n, texts in slices(batch, "text", SMALL_SLICE):
                 feature, doc = features(texts, bits)
                 offsets = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(feature.astype(np.int32)))
@@ -167,7 +167,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
     chosen = sample_labels(labels, label, id_col, max_rows)
     kind = docs.schema[id_col].dataType.simpleString()
     sample = sampled_documents(docs, chosen, id_col, text_col).select("doc_id", "text", "label")
-    table = sample.mapInArrow(hashed, f"doc_id {kind}, label int, features array<int>").toArrow()
+    table = sample.mapInArrow(giving_back(hashed), f"doc_id {kind}, label int, features array<int>").toArrow()
     if not table.num_rows:
         return None
     rows = sorted(zip(table["doc_id"].to_pylist(), table["label"].to_pylist(), (np.asarray(x.values, np.int64) for x in table["features"]), strict=True), key=lambda r: (str(r[0]), len(r[2])))
@@ -180,11 +180,11 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine | None, id_col:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n, texts in slices(batch, "text"):
+            for first, n, texts in slices(batch, "text", SMALL_SLICE):
                 found = model.scores(texts) if model else np.zeros(n)
                 yield pa.record_batch([batch.column(0).slice(first, n), pa.array(found)], ["doc_id", "score"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(score, f"doc_id {kind}, score double")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(giving_back(score), f"doc_id {kind}, score double")
 
 
 def drop_toxic(docs: DataFrame, model: FactorizationMachine | None, text_col: str = "text", limit: float = 0.5) -> DataFrame:
@@ -193,12 +193,11 @@ def drop_toxic(docs: DataFrame, model: FactorizationMachine | None, text_col: st
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         for batch in batches:
-            for first, n, texts in slices(batch, text_col):
+            for first, n, texts in slices(batch, text_col, SMALL_SLICE):
                 found = model.scores(texts) if model else np.zeros(n)
                 yield batch.slice(first, n).filter(pa.array(found < limit))
-        give_back()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
