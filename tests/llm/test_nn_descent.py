@@ -102,3 +102,30 @@ def test_query_recall(spark):
     exact = {(e[0], e[2]): e[3] for e in brute(read, [i for i in read if i % 100 == 0], len(read))}
     for r in rows:
         assert r.score == pytest.approx(exact[r.query_id, r.vec_id], abs=1e-12)
+
+
+def test_rounds_of_a_small_table_take_few_tasks(spark, monkeypatch):
+    """However many shuffle partitions the session has, what a round writes comes from the tasks that its vectors need."""
+    rng = np.random.default_rng(10)
+    good = {i: [float(np.float32(v)) for v in rng.normal(size=6)] for i in range(1200)}
+    df = spark.createDataFrame(list(good.items()), "vec_id long, embedding array<float>")
+    files = []
+
+    def cut(rows, cut=nn_descent.cut_lineage):
+        out = cut(rows)
+        if {"fresh", "expanded"} & set(out.columns):
+            files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(nn_descent, "cut_lineage", cut)
+    many = {"spark.sql.shuffle.partitions": str(4 * spark.sparkContext.defaultParallelism), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    for k, v in many.items():
+        spark.conf.set(k, v)
+    try:
+        out = nn_descent.nearest_neighbours(df, lambda c: c % 100 == 0).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    same(out, brute(good, [i for i in good if i % 100 == 0]), 0.95)
+    assert files and max(files) <= spark.sparkContext.defaultParallelism

@@ -53,6 +53,8 @@ ENTRIES = 8
 FIXED_ENTRIES = 64
 #: Medians of the projections come from at most this many vectors.
 MEDIAN_ROWS = 10_000
+#: Rounds run in so many tasks that each gathers about this many bytes of vectors.
+TASK_BYTES = 16 << 20
 #: Nodes of one search block; the search asks one block at a time for a query's distances.
 BLOCK_ROWS = 4096
 
@@ -70,6 +72,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return raw[:, 8:].copy().view("<f4") * raw[:, :8].copy().view("<f8")
 
 
+def _sorted_by(rows: DataFrame, key: str, *more: str, tasks: int | None) -> DataFrame:
+    """``rows`` with whole groups of ``key`` in a partition, sorted.  Where the session has more shuffle partitions
+    than ``tasks``, tasks read several of them; every round is a few shuffles of tables that fit fewer tasks."""
+    dealt = rows.repartition(key)
+    return (dealt.coalesce(tasks) if tasks else dealt).sortWithinPartitions(key, *more)
+
+
 def _packed(docs: DataFrame, scale: float) -> DataFrame:
     """(id, vector) with the vector, divided by ``scale``, as bytes: a power of two near its
     largest component, and float32 multiples of that."""
@@ -160,7 +169,7 @@ def _coded(nodes: DataFrame, forest: Forest) -> DataFrame:
     return nodes.mapInArrow(run, "id long, vector binary, leaf long")
 
 
-def _leaf_neighbours(coded: DataFrame, leaf: int, neighbours: int) -> DataFrame:
+def _leaf_neighbours(coded: DataFrame, leaf: int, neighbours: int, tasks: int | None = None) -> DataFrame:
     """Lists of the nearest inside each leaf; large leaves are dealt into parts by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +188,7 @@ def _leaf_neighbours(coded: DataFrame, leaf: int, neighbours: int) -> DataFrame:
     sizes = coded.groupBy("leaf").agg(F.ceil(F.count("*") / leaf).alias("parts"))
     key = F.xxhash64("leaf", F.pmod(F.xxhash64("id", "leaf"), F.col("parts")))
     dealt = coded.join(sizes, "leaf").select(key.alias("key"), "id", "vector")
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, _LISTS)
+    return _sorted_by(dealt, "key", tasks=tasks).mapInArrow(run, _LISTS)
 
 
 def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -188,7 +197,7 @@ def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip(begin, np.r_[begin[1:], len(keys)], strict=True)
 
 
-def _nearest(lists: DataFrame, neighbours: int) -> DataFrame:
+def _nearest(lists: DataFrame, neighbours: int, tasks: int | None = None) -> DataFrame:
     """(id, nodes, distances, fresh): the nearest different nodes of all lists of an id.
     ``fresh`` marks the links that no list marked as old (fresh = false) had."""
 
@@ -211,11 +220,11 @@ def _nearest(lists: DataFrame, neighbours: int) -> DataFrame:
             marks = pa.ListArray.from_arrays(batch_out.column(1).offsets, pa.array(fresh[keep]))
             yield pa.record_batch([*batch_out.columns, marks], ["id", "nodes", "distances", "fresh"])
 
-    dealt = lists.select("id", "nodes", "distances", "fresh").repartition("id").sortWithinPartitions("id")
-    return dealt.mapInArrow(run, _LISTS + ", fresh array<boolean>")
+    dealt = lists.select("id", "nodes", "distances", "fresh")
+    return _sorted_by(dealt, "id", tasks=tasks).mapInArrow(run, _LISTS + ", fresh array<boolean>")
 
 
-def _round(nodes: DataFrame, graph: DataFrame, sample: int, neighbours: int, seed: int) -> DataFrame:
+def _round(nodes: DataFrame, graph: DataFrame, sample: int, neighbours: int, seed: int, tasks: int | None = None) -> DataFrame:
     """One round of NN-descent."""
     links = graph.select("id", F.explode(F.arrays_zip("nodes", "fresh")).alias("l")).select("id", F.col("l.nodes").alias("node"), F.col("l.fresh").alias("fresh"))
     # new links first, then by hash; Spark limits each group before the shuffle, so hubs stay small
@@ -245,19 +254,22 @@ def _round(nodes: DataFrame, graph: DataFrame, sample: int, neighbours: int, see
             order = np.argsort(owner, kind="stable")
             yield _lists(owner[order], node[order], distance[order])
 
-    measured = gathered.repartition("center").sortWithinPartitions("center").mapInArrow(run, _LISTS)
+    measured = _sorted_by(gathered, "center", tasks=tasks).mapInArrow(run, _LISTS)
     old = graph.withColumn("fresh", F.lit(False))
-    return _nearest(old.unionByName(measured.withColumn("fresh", F.lit(True))), neighbours)
+    return _nearest(old.unionByName(measured.withColumn("fresh", F.lit(True))), neighbours, tasks)
 
 
-def neighbour_graph(nodes: DataFrame, forest: Forest, leaf: int = LEAF, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, delta: float = DELTA) -> DataFrame:
+def neighbour_graph(
+    nodes: DataFrame, forest: Forest, leaf: int = LEAF, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, delta: float = DELTA, tasks: int | None = None
+) -> DataFrame:
     """(id, nodes, distances): the links of each node, to and from, at most ``2 * neighbours``."""
-    graph = cut_lineage(_nearest(_leaf_neighbours(_coded(nodes, forest), leaf, neighbours).withColumn("fresh", F.lit(True)), neighbours))
+    start = _leaf_neighbours(_coded(nodes, forest), leaf, neighbours, tasks).withColumn("fresh", F.lit(True))
+    graph = cut_lineage(_nearest(start, neighbours, tasks))
     new = F.sum(F.size(F.filter("fresh", lambda x: x))) / F.sum(F.size("fresh"))
     for seed in itertools.count():
         if (graph.agg(new).first()[0] or 0) < delta:
             break
-        graph = cut_lineage(_round(nodes, graph, sample, neighbours, seed))
+        graph = cut_lineage(_round(nodes, graph, sample, neighbours, seed, tasks))
     links = graph.select("id", F.explode(F.arrays_zip("nodes", "distances")).alias("l")).select("id", F.col("l.nodes").alias("node"), F.col("l.distances").alias("distance"))
     back = links.select(F.col("node").alias("id"), F.col("id").alias("node"), "distance")
     back = back.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("distance", "node"))).where(F.col("rank") <= neighbours)
@@ -268,7 +280,7 @@ def neighbour_graph(nodes: DataFrame, forest: Forest, leaf: int = LEAF, neighbou
 _BEAM = "query long, vector binary, nodes array<long>, distances array<double>, expanded array<boolean>, news int"
 
 
-def _merged(beams: DataFrame, beam: int) -> DataFrame:
+def _merged(beams: DataFrame, beam: int, tasks: int | None = None) -> DataFrame:
     """One beam per query from lists of measured nodes (query, vector, nodes, distances, expanded)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,10 +311,10 @@ def _merged(beams: DataFrame, beam: int) -> DataFrame:
                 ["query", "vector", "nodes", "distances", "expanded", "news"],
             )
 
-    return beams.repartition("query").sortWithinPartitions("query").mapInArrow(run, _BEAM)
+    return _sorted_by(beams, "query", tasks=tasks).mapInArrow(run, _BEAM)
 
 
-def _measure(asked: DataFrame, vectors: DataFrame, nodes: DataFrame, blocks: int) -> DataFrame:
+def _measure(asked: DataFrame, vectors: DataFrame, nodes: DataFrame, blocks: int, tasks: int | None = None) -> DataFrame:
     """(query, vector, nodes, distances, expanded = false) of ``asked`` (query, node) and the queries'
     ``vectors`` (query, vector): the nodes of a block meet, once each, the queries that ask for some of them."""
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("long")
@@ -342,11 +354,12 @@ def _measure(asked: DataFrame, vectors: DataFrame, nodes: DataFrame, blocks: int
             types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_())]
             yield pa.record_batch([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["query", "vector", "nodes", "distances", "expanded"])
 
-    dealt = together.repartition("block").sortWithinPartitions("block", "kind")
-    return dealt.mapInArrow(run, "query long, vector binary, nodes array<long>, distances array<double>, expanded array<boolean>")
+    return _sorted_by(together, "block", "kind", tasks=tasks).mapInArrow(run, "query long, vector binary, nodes array<long>, distances array<double>, expanded array<boolean>")
 
 
-def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, forest: Forest, beam: int = BEAM, blocks: int = 1, entries: int = ENTRIES) -> DataFrame:
+def greedy_search(
+    nodes: DataFrame, graph: DataFrame, queries: DataFrame, forest: Forest, beam: int = BEAM, blocks: int = 1, entries: int = ENTRIES, tasks: int | None = None
+) -> DataFrame:
     """(query, nodes): the ``beam`` nearest nodes found for each of ``queries`` (id, vector)."""
     place = Window.partitionBy("leaf").orderBy(F.xxhash64("id"))
     mates = _coded(nodes, forest).select("id", "leaf").withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= entries)
@@ -354,7 +367,7 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, forest
     start = _coded(queries, forest).select("id", "leaf").join(mates.select("leaf", F.col("id").alias("node")), "leaf").select(F.col("id").alias("query"), "node")
     start = start.unionByName(queries.select(F.col("id").alias("query")).join(F.broadcast(fixed.select(F.col("id").alias("node")))))
     start = start.unionByName(queries.select(F.col("id").alias("query"), F.col("id").alias("node")))
-    state = cut_lineage(_merged(_measure(start, queries.select(F.col("id").alias("query"), "vector"), nodes, blocks), beam))
+    state = cut_lineage(_merged(_measure(start, queries.select(F.col("id").alias("query"), "vector"), nodes, blocks, tasks), beam, tasks))
     done = None
     while not state.where("news > 0").isEmpty():
         ended = state.where("news = 0")
@@ -365,7 +378,7 @@ def greedy_search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, forest
         known = active.select("query", F.explode("nodes").alias("node"))
         asked = asked.join(known, ["query", "node"], "left_anti")
         old = active.drop("news").withColumn("expanded", F.transform("expanded", lambda x: F.lit(True)))
-        state = cut_lineage(_merged(old.unionByName(_measure(asked, active.select("query", "vector"), nodes, blocks)), beam))
+        state = cut_lineage(_merged(old.unionByName(_measure(asked, active.select("query", "vector"), nodes, blocks, tasks)), beam, tasks))
     done = state if done is None else done.unionByName(state)
     return done.select("query", "nodes")
 
@@ -396,12 +409,13 @@ def nearest_neighbours(
     forest = Forest(int(width or 1), bits, TREES if bits else 1)
     if sample is not None:
         forest.fit(_matrix(sample["vector"].combine_chunks()))
-    graph = neighbour_graph(nodes, forest)
+    tasks = max(spark.sparkContext.defaultParallelism, count * 2 * SAMPLE * 4 * int(width or 1) // TASK_BYTES)
+    graph = neighbour_graph(nodes, forest, tasks=tasks)
 
     asking = members.where(is_query(F.col("id"))).select("node", "id")
     queries = cut_lineage(nodes.join(asking.select(F.col("node").alias("id")).distinct(), "id"))
     blocks = max(1, count // BLOCK_ROWS, min(count // 512, spark.sparkContext.defaultParallelism))
-    found = greedy_search(nodes, graph, queries, forest, beam, blocks)
+    found = greedy_search(nodes, graph, queries, forest, beam, blocks, tasks=tasks)
 
     # exact distances between the nodes, then their members with the smallest ids
     near = found.select("query", F.explode(F.slice("nodes", 1, 4 * k)).alias("near"))
