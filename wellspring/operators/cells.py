@@ -11,7 +11,9 @@ gathering and joining of any number of workbooks is one distributed job:
   duplicate header names cannot fan out (Q-7);
 * kept columns (dates, sample ids) and value cells meet in one aggregation
   per (file, sheet, row) -- bounded by the sheet width -- so attaching the
-  kept columns to every value costs a single shuffle of the body.
+  kept columns to every value costs a single shuffle of the body;
+* sorts begin with the number of the row or column, not with the name of the file: a
+  sort compares eight bytes of its first key before it compares whole rows.
 
 A cell, column name or description that is there more than once never ends a job: one of
 them counts by a stated rule, and ``sheet_problems`` names the sheet.
@@ -69,7 +71,8 @@ def header_rows(cells: DataFrame, n: int) -> DataFrame:
     parts = [F.min(F.when(row == i, value)).alias(f"h{i}") for i in range(1, n + 1)]
     surplus = [F.greatest(F.count(F.when(row == i, 1)) - 1, F.lit(0)) for i in range(1, n + 1)]
     head = dealt(cells.where(row <= n), *SHEET, "col_idx")
-    return head.groupBy(*SHEET, "col_idx").agg(*parts, F.array(*surplus).alias("repeated"))
+    found = head.groupBy("col_idx", *SHEET).agg(*parts, F.array(*surplus).alias("repeated"))
+    return found.select(*SHEET, "col_idx", *[f"h{i}" for i in range(1, n + 1)], "repeated")
 
 
 def header_metadata(cells: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -82,11 +85,14 @@ def header_metadata(cells: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def _roles(columns: DataFrame, name_col: str, keep_pattern: str) -> DataFrame:
     """``columns`` (one row per file, sheet, col_idx) with ``__role``: 'k' for a kept
-    column, 'd' for a further kept column of the same name, 'v' for a value column."""
+    column, 'd' for a further kept column of the same name, 'v' for a value column.  They are written
+    once: of each sheet only the few kept columns are sorted, and later steps read this small table, not the cells."""
     is_kept = F.coalesce(F.col(name_col).rlike(keep_pattern), F.lit(False))
-    first = F.min(F.when(is_kept, F.col("col_idx"))).over(Window.partitionBy(*SHEET, name_col))
-    role = F.when(~is_kept, F.lit("v")).when(F.col("col_idx") == first, F.lit("k")).otherwise(F.lit("d"))
-    return columns.withColumn("__role", role)
+    written = cut_lineage(columns.withColumn("__is_kept", is_kept), free=True)
+    first = F.min("col_idx").over(Window.partitionBy(name_col, *SHEET))
+    kept = written.where("__is_kept").withColumn("__role", F.when(F.col("col_idx") == first, F.lit("k")).otherwise(F.lit("d")))
+    values = written.where("NOT __is_kept").withColumn("__role", F.lit("v"))
+    return values.unionByName(kept).drop("__is_kept")
 
 
 def _first_of_each(cells: Column, field: str) -> Column:
@@ -94,7 +100,8 @@ def _first_of_each(cells: Column, field: str) -> Column:
     ordered = F.sort_array(cells)
     firsts = F.filter(ordered, lambda x, i: (i == 0) | (x[field] != F.get(ordered, i - 1)[field]))
     repeats = F.size(F.array_distinct(F.transform(cells, lambda x: x[field]))) < F.size(cells)
-    return F.when(repeats, firsts).otherwise(cells)
+    two = (F.size(cells) == 2) & ~F.get(cells, F.lit(0))[field].eqNullSafe(F.get(cells, F.lit(1))[field])
+    return F.when((F.size(cells) < 2) | two, cells).when(repeats, firsts).otherwise(cells)
 
 
 def sheet_rows(cells: DataFrame, columns: DataFrame, kept: Sequence[str], kept_map: bool) -> DataFrame:
@@ -112,21 +119,27 @@ def sheet_rows(cells: DataFrame, columns: DataFrame, kept: Sequence[str], kept_m
     body = cells.where(F.col("row_idx") > 1).join(sheets, [*SHEET]).where(F.col("row_idx") > F.col("__depth"))
     role = F.col("__role")
     used = body.join(keys, [*SHEET, "col_idx"], "left").where(role.isNull() | (role == "k"))
+    used = used.select(*CELL_COLUMNS, "__name", role.isNotNull().alias("__is_key"))
     per_row = (
         dealt(used, *SHEET, "row_idx")
-        .groupBy(*SHEET, "row_idx")
+        .groupBy("row_idx", *SHEET)
         .agg(
-            F.collect_list(F.when(role == "k", F.struct("__name", "col_idx", "value"))).alias("__keys"),
-            F.collect_list(F.when(role.isNull(), F.struct("col_idx", "value"))).alias("__cells"),
+            F.collect_list(F.when(F.col("__is_key"), F.struct("__name", "col_idx", "value"))).alias("__keys"),
+            F.collect_list(F.when(~F.col("__is_key"), F.struct("col_idx", "value"))).alias("__cells"),
         )
         .withColumns({"__k": _first_of_each(F.col("__keys"), "__name"), "__vals": _first_of_each(F.col("__cells"), "col_idx")})
     )
     by_name = F.map_from_entries(F.transform("__k", lambda x: F.struct(x["__name"], x["value"])))
+
+    def of(name: str) -> Column:
+        # without the map of all of them no map is built
+        return F.try_element_at(by_name, F.lit(name)) if kept_map else F.get(F.filter("__k", lambda x: x["__name"] == name), F.lit(0))["value"]
+
     surplus = F.size("__keys") - F.size("__k") + F.size("__cells") - F.size("__vals")
     return per_row.select(
         *SHEET,
         "row_idx",
-        *[F.try_element_at(by_name, F.lit(k)).alias(k) for k in kept],
+        *[of(k).alias(k) for k in kept],
         *([by_name.alias("kept")] if kept_map else []),
         "__vals",
         surplus.alias("__repeated"),
@@ -139,13 +152,12 @@ def long_cells(rows: DataFrame, columns: DataFrame, carry: Sequence[str]) -> Dat
     fixed = [c for c in rows.columns if not c.startswith("__")]
     long = rows.select(*fixed, F.inline("__vals")).withColumnRenamed("value", "DataValue")
     header = columns.where(F.col("__role") == "v").select(*SHEET, "col_idx", *carry)
-    return long.join(header, [*SHEET, "col_idx"], "inner")
+    return long.join(header, ["col_idx", *SHEET], "inner").select(*SHEET, "col_idx", *[c for c in [*fixed, "DataValue", *carry] if c not in SHEET])
 
 
 def _prepared(columns: DataFrame, name_col: str, depth: int, keep_pattern: str | None) -> DataFrame:
     named = columns.withColumns({"__name": F.col(name_col), "__depth": F.lit(depth)})
-    # one pass over the header rows, written: every later step reads this small table, not the cells
-    return cut_lineage(_roles(named, "__name", keep_pattern or gather_ignore_pattern()))
+    return _roles(named, "__name", keep_pattern or gather_ignore_pattern())
 
 
 def gather_with_header(
@@ -162,9 +174,13 @@ def gather_with_header(
     ``row_idx``, ``col_idx``.
     """
     columns = _prepared(header_metadata(cells, header_names), "key", len(header_names), keep_pattern)
-    long = long_cells(sheet_rows(cells, columns, kept, kept_map), columns, ["key", *header_names, "site_id"])
+    # written: the body's shuffle is given back before its values are shuffled to their header
+    rows = cut_lineage(sheet_rows(cells, columns, kept, kept_map), free=True)
+    # the key and the site follow from what the long table has: they are not shuffled with the header
+    long = long_cells(rows, columns, header_names)
     return long.select(
-        *kept, *["kept"] * kept_map, "key", "DataValue", *header_names, *SHEET, "site_id", "row_idx", "col_idx"
+        *kept, *["kept"] * kept_map, S.header_key(list(header_names)).alias("key"), "DataValue", *header_names, *SHEET,
+        S.site_id("sheet_name").alias("site_id"), "row_idx", "col_idx",
     )
 
 
@@ -189,28 +205,38 @@ def dropped_columns(
     return joined.where(F.col("reason").isNotNull()).select(*SHEET, "col_idx", "key", "reason", "n_cells")
 
 
-def meta_rows(cells: DataFrame, meta_pattern: str = META_SHEET_PATTERN, fields: Sequence[str] = META_FIELDS) -> DataFrame:
+def meta_rows(
+    cells: DataFrame, meta_pattern: str = META_SHEET_PATTERN, fields: Sequence[str] = META_FIELDS, meta_map: bool = True
+) -> DataFrame:
     """The rows of META sheets as (file_name, Sheet, OriginalName, Name, other
-    ``fields``, meta, n_described): ``meta`` is a map of all columns of the sheet, of columns with one name
+    ``fields``, meta, n_described): ``meta``, with ``meta_map``, is a map of all columns of the sheet, of columns with one name
     the leftmost.  A name that is described more than once has the first description and their
     number in ``n_described``, so that no value is doubled."""
     meta_cells = cells.where(F.col("sheet_name").rlike(meta_pattern))
     head = meta_cells.where((F.col("row_idx") == 1) & F.col("col_idx").isNotNull()).groupBy(*SHEET, "col_idx").agg(F.min("value").alias("field"))
+    if not meta_map:
+        head = head.where(F.col("field").isin(list(fields)))
     by_col = F.map_from_entries(F.collect_list(F.when(F.col("field").isNotNull(), F.struct("col_idx", "field"))))
-    heads = head.groupBy(*SHEET).agg(by_col.alias("__fields"))
-    # a META sheet has few columns and can have very many rows: its rows meet the header in blocks, not all in one task
-    body = meta_cells.where(F.col("row_idx") > 1).withColumn("__block", F.floor(F.col("row_idx") / META_BLOCK))
-    heads = body.select(*SHEET, "__block").distinct().join(heads, [*SHEET])
-    blocks = dealt(body, *SHEET, "__block").groupBy(*SHEET, "__block", "row_idx")
-    rows = blocks.agg(F.collect_list(F.struct("col_idx", "value")).alias("__raw")).join(heads, [*SHEET, "__block"])
-    named = F.transform("__raw", lambda x: F.struct(F.try_element_at("__fields", x["col_idx"]).alias("__field"), x["col_idx"].alias("col_idx"), x["value"].alias("value")))
-    rows = rows.withColumn("__cells", F.filter(named, lambda x: x["__field"].isNotNull())).where(F.size("__cells") > 0)
-    by_name = F.transform(_first_of_each(F.col("__cells"), "__field"), lambda x: F.struct(x["__field"], x["value"]))
-    rows = rows.withColumn("meta", F.map_from_entries(by_name))
-    rows = rows.select(*SHEET, "row_idx", *[F.try_element_at("meta", F.lit(f)).alias(f) for f in fields], "meta")
+    # a row per META sheet, written: with its size known it moves no cell of the rows
+    heads = cut_lineage(head.groupBy(*SHEET).agg(by_col.alias("__fields")))
+    body = meta_cells.where(F.col("row_idx") > 1).join(heads, [*SHEET]).withColumn("__field", F.try_element_at("__fields", F.col("col_idx")))
+    # a META sheet can have very many rows: they are put together in blocks, not all in one task
+    body = body.where(F.col("__field").isNotNull()).withColumn("__block", F.floor(F.col("row_idx") / META_BLOCK))
+    body = dealt(body.select(*SHEET, "__block", "row_idx", "__field", "col_idx", "value"), *SHEET, "__block")
+    blocks = body.groupBy("row_idx", "__block", *SHEET)
+    if meta_map:
+        rows = blocks.agg(F.collect_list(F.struct("__field", "col_idx", "value")).alias("__cells"))
+        by_name = F.transform(_first_of_each(F.col("__cells"), "__field"), lambda x: F.struct(x["__field"], x["value"]))
+        rows = rows.withColumn("meta", F.map_from_entries(by_name))
+        rows = rows.select(*SHEET, "row_idx", *[F.try_element_at("meta", F.lit(f)).alias(f) for f in fields], "meta")
+    else:
+        leftmost = [F.min(F.when(F.col("__field") == f, F.struct("col_idx", "value"))).alias(f) for f in fields]
+        rows = blocks.agg(*leftmost).select(*SHEET, "row_idx", *[F.col(f)["value"].alias(f) for f in fields])
     others = [f for f in fields if f not in ("Sheet", "OriginalName")]
-    first = F.min_by(F.struct(*others, "meta"), F.struct("sheet_name", "row_idx")).alias("__first")
-    per_name = rows.where(F.col("Sheet").isNotNull()).groupBy("file_name", "Sheet", "OriginalName").agg(first, F.count(F.lit(1)).alias("n_described"))
+    first = F.min_by(F.struct(*others, *["meta"] * meta_map), F.struct("sheet_name", "row_idx")).alias("__first")
+    # nearly all names are described once: they are dealt before they are sorted, so that they are sorted once
+    named_rows = dealt(rows.where(F.col("Sheet").isNotNull()), "OriginalName", "Sheet", "file_name")
+    per_name = named_rows.groupBy("OriginalName", "Sheet", "file_name").agg(first, F.count(F.lit(1)).alias("n_described"))
     return per_name.select("file_name", "Sheet", "OriginalName", "__first.*", "n_described")
 
 
@@ -221,6 +247,7 @@ def gather_with_meta(
     kept: Sequence[str] = KEPT_NAMES,
     fields: Sequence[str] = META_FIELDS,
     kept_map: bool = True,
+    meta_map: bool = True,
 ) -> DataFrame:
     """R-02 / J-07: header-1 sheets described by a META sheet.
 
@@ -228,18 +255,19 @@ def gather_with_meta(
     sheet's original header names to clean names (Q-6: renamed first, then
     gathered and joined on the clean name).  A column that META does not
     describe keeps its original name and is gathered too; further META columns
-    come along as ``fields`` beyond the first three and in the map ``meta``.
+    come along as ``fields`` beyond the first three and, with ``meta_map``, in the map ``meta``.
     """
     more = [f for f in fields if f not in META_FIELDS]
     data = cells.where(~F.col("sheet_name").rlike(meta_pattern))
     names = header_rows(data, 1).select(*SHEET, "col_idx", F.col("h1").alias("OriginalName"))
-    about = meta_rows(cells, meta_pattern, fields).withColumnRenamed("Sheet", "sheet_name")
-    described = names.join(about, ["file_name", "sheet_name", "OriginalName"], "left")
+    about = meta_rows(cells, meta_pattern, fields, meta_map).withColumnRenamed("Sheet", "sheet_name")
+    described = names.join(about, ["OriginalName", "sheet_name", "file_name"], "left")
     described = described.withColumn("VariableName_org", F.coalesce("Name", "OriginalName"))
     columns = _prepared(described, "VariableName_org", 1, keep_pattern)
-    long = long_cells(sheet_rows(data, columns, kept, kept_map), columns, ["VariableName_org", "OriginalName", "Name", *more, "meta"])
+    rows = cut_lineage(sheet_rows(data, columns, kept, kept_map), free=True)
+    long = long_cells(rows, columns, ["VariableName_org", "OriginalName", "Name", *more, *["meta"] * meta_map])
     return long.select(
-        *kept, *["kept"] * kept_map, "VariableName_org", "DataValue", "OriginalName", "Name", *more, "meta",
+        *kept, *["kept"] * kept_map, "VariableName_org", "DataValue", "OriginalName", "Name", *more, *["meta"] * meta_map,
         *SHEET, "row_idx", "col_idx",
     )
 
@@ -250,19 +278,26 @@ ARCHIVE_CARRY = (
 )
 
 
-def archive_columns(cells: DataFrame, header4_files: Sequence[str] = (), keep_pattern: str | None = None) -> DataFrame:
-    """One row per column of every sheet that is to be read, whatever its layout, written once.
+def archive_carry(meta_map: bool) -> list[str]:
+    return [c for c in ARCHIVE_CARRY if meta_map or c != "meta"]
+
+
+def archive_columns(
+    cells: DataFrame, header4_files: Sequence[str] = (), keep_pattern: str | None = None, meta_map: bool = True
+) -> DataFrame:
+    """One row per column of every sheet that is to be read, whatever its layout, written once; with ``meta_map`` the map ``meta``.
 
     The layout is a column: per file 'header1' with a META sheet, else 'header2' with a
     site sheet; 'header4' for ``header4_files``.  It decides how many of a sheet's first
     four rows are header (``__depth``), which of them are name, method, unit and limit, and whether
     META describes them.  ``__repeated`` counts header cells that are there more than once.
     """
-    head = cut_lineage(header_rows(cells, len(HEADER_4)))
+    head = cut_lineage(header_rows(cells, len(HEADER_4)), free=True)
     is_meta, is_site = F.col("sheet_name").rlike(META_SHEET_PATTERN), F.col("sheet_name").rlike(S.SITE_ID_PATTERN)
     files = sheet_layouts(head).select("file_name", "layout", "n_meta_sheets")
     if header4_files:
         files = files.withColumn("layout", F.when(F.col("file_name").isin(list(header4_files)), F.lit("header4")).otherwise(F.col("layout")))
+    files = cut_lineage(files)  # a row per file: with its size known it moves no header row
     one = F.col("layout") == "header1"
     four = F.col("layout") == "header4"
     depth = F.when(one, 1).when(four, len(HEADER_4)).otherwise(len(HEADER_2))
@@ -271,8 +306,11 @@ def archive_columns(cells: DataFrame, header4_files: Sequence[str] = (), keep_pa
     used = [F.when(F.col("__depth") >= i, F.col(f"h{i}")) for i in range(1, len(HEADER_4) + 1)]
     x = x.where(F.coalesce(*used).isNotNull())
     x = x.withColumn("__repeated", F.aggregate(F.slice("repeated", 1, F.col("__depth")), F.lit(0).cast("long"), lambda a, b: a + b))
-    about = meta_rows(cells).withColumnsRenamed({"Sheet": "sheet_name", "OriginalName": "__original"})
-    x = x.withColumn("__original", F.when(one, F.col("h1"))).join(about, ["file_name", "sheet_name", "__original"], "left")
+    about = meta_rows(cells, meta_map=meta_map).withColumnsRenamed({"Sheet": "sheet_name", "OriginalName": "__original"})
+    # only header-1 columns meet META: the others have no name to look up and would all be dealt by a null
+    described = x.where(one).withColumn("__original", F.col("h1")).join(about, ["__original", "sheet_name", "file_name"], "left")
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in about.schema if f.name not in SHEET}
+    x = described.unionByName(x.where(~one).withColumns(nothing))
     key = F.when(one, None).when(four, S.header_key(["h1", "h2", "h3", "h4"])).otherwise(S.header_key(["h1", "h2"]))
     variable = F.when(one, F.coalesce("Name", "h1")).otherwise(F.col("h1"))
     named = x.select(
@@ -286,14 +324,14 @@ def archive_columns(cells: DataFrame, header4_files: Sequence[str] = (), keep_pa
         variable.alias("VariableName_org"),
         F.col("__original").alias("OriginalName"),
         "Name",
-        "meta",
+        *["meta"] * meta_map,
         key.alias("key"),
         F.when(four, F.col("h2")).alias("Method"),
         F.when(four, F.col("h3")).when(~one, F.col("h2")).alias("UnitName_org"),
         F.when(four, F.col("h4")).alias("Limit_TrinkWV"),
         F.when(~one, S.site_id("sheet_name")).alias("site_id"),
     ).withColumn("__name", F.coalesce("key", "VariableName_org"))
-    return cut_lineage(_roles(named, "__name", keep_pattern or gather_ignore_pattern()))
+    return _roles(named, "__name", keep_pattern or gather_ignore_pattern())
 
 
 def sheet_problems(cells: DataFrame, columns: DataFrame, rows: DataFrame) -> DataFrame:
@@ -308,7 +346,7 @@ def sheet_problems(cells: DataFrame, columns: DataFrame, rows: DataFrame) -> Dat
     meta_cells = cells.where(F.col("sheet_name").rlike(META_SHEET_PATTERN))
     heads = meta_cells.where(F.col("row_idx") == 1).select(*SHEET, "col_idx", "value").distinct()
     again = heads.groupBy(*SHEET, "value").agg((F.count_distinct("col_idx") - 1).alias("__more"))
-    places = meta_cells.groupBy(*SHEET, "row_idx", "col_idx").agg((F.count(F.lit(1)) - 1).alias("__more"))
+    places = dealt(meta_cells.select(*SHEET, "row_idx", "col_idx"), *SHEET, "row_idx", "col_idx").groupBy(*SHEET, "row_idx", "col_idx").agg((F.count(F.lit(1)) - 1).alias("__more"))
     meta = [told(again, "META column twice", F.sum("__more")), told(places, "repeated cell", F.sum("__more"))]
     # of a file's META sheets to all its sheets
     sheets = columns.select(*SHEET, "layout").distinct().where("layout = 'header1'")

@@ -73,11 +73,12 @@ def add_parameter_metadata(
     The lookup first gets the parameter table by a natural join (J-03).
     Fails when the lookup has no usable row (Q-I / Q-10).
     """
-    lookup = lookup_para.where(F.col("para_id").isNotNull())
+    # written, so that its size is known when the join is planned: a small one moves no row of ``df``
+    lookup = cut_lineage(lookup_para.where(F.col("para_id").isNotNull()))
     if lookup.isEmpty():
         raise ValueError("no parameters defined in the lookup table")
     if parameters is not None:
-        lookup = natural_join(lookup, parameters)
+        lookup = cut_lineage(natural_join(lookup, parameters))
     return keyed_join(df, lookup, [name_col], how="inner").where(F.col("para_id").isNotNull())
 
 

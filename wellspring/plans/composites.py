@@ -132,6 +132,7 @@ def read_archive(
     keep_pattern: str | None = None,
     kept: Sequence[str] = ("Datum", "Probe_Nr"),
     kept_map: bool = True,
+    meta_map: bool = True,
 ) -> DataFrame:
     """C-04: lab archive import by layout, for any number of workbooks.
 
@@ -142,9 +143,9 @@ def read_archive(
     depth are columns of one header table, so the bodies of all workbooks are read, shuffled
     and joined once (``rbindlist(fill=TRUE)``: columns that a layout lacks are NULL).
     """
-    columns = CL.archive_columns(cells, header4_files, keep_pattern)
+    columns = CL.archive_columns(cells, header4_files, keep_pattern, meta_map)
     rows = CL.sheet_rows(cells, columns, kept, kept_map)
-    return CL.long_cells(rows, columns, CL.ARCHIVE_CARRY)
+    return CL.long_cells(rows, columns, CL.archive_carry(meta_map))
 
 
 def import_archive(
@@ -153,18 +154,19 @@ def import_archive(
     keep_pattern: str | None = None,
     kept: Sequence[str] = ("Datum", "Probe_Nr"),
     kept_map: bool = True,
+    meta_map: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """C-04 with Q-H: (long table of the good sheets, problems of the bad ones).
 
     A sheet with a problem is left out as a whole and named with it; all others are
     read as by ``read_archive``.  The sheet rows are written once, and rows and report read that table.
     """
-    columns = CL.archive_columns(cells, header4_files, keep_pattern)
-    rows = cut_lineage(CL.sheet_rows(cells, columns, kept, kept_map))
+    columns = CL.archive_columns(cells, header4_files, keep_pattern, meta_map)
+    rows = cut_lineage(CL.sheet_rows(cells, columns, kept, kept_map), free=True)
     problems = cut_lineage(CL.sheet_problems(cells, columns, rows))
     bad = problems.select(*CL.SHEET).distinct()
     good = rows.join(bad, [*CL.SHEET], "left_anti")
-    return CL.long_cells(good, columns, CL.ARCHIVE_CARRY), problems
+    return CL.long_cells(good, columns, CL.archive_carry(meta_map)), problems
 
 
 def parameters_or_template(

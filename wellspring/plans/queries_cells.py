@@ -19,13 +19,14 @@ from ..functions.names import gather_ignore_pattern
 from ..operators import cells as CL
 from ..operators import joins as J
 from ..operators import quality as Q
-from ..session import cut_lineage, dealt
+from ..session import cut_at, cut_lineage, dealt, drop_scratch, scratch_path
 from ..tables import Tables
 from . import composites as C
 from .oracle import ORACLE
 from .queries import register
 
 FIRST_PART_COL = 3  # columns 1 and 2 hold the date and the sample id
+KEPT_COLUMNS = ("Datum", "Probe_Nr")
 CELL_COLS = ("file_name", "sheet_name", "row_idx", "col_idx", "value")
 
 
@@ -48,7 +49,8 @@ def sheet_values(t: Tables) -> DataFrame:
         t.supplier.select("s_suppkey", "s_nationkey"), t.nation, ["s_nationkey"], ["n_nationkey"], columns=["n_name"]
     ).select("s_suppkey", "s_nationkey", F.concat_ws(" ", F.col("s_nationkey").cast("string"), "n_name").alias("sheet_name"))
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
-    b = J.keyed_join(li, sup, ["l_suppkey"], ["s_suppkey"], how="inner")
+    # written, so that its size is known when the join is planned: a small one moves no line
+    b = J.keyed_join(li, cut_lineage(sup), ["l_suppkey"], ["s_suppkey"], how="inner")
     b = b.select(
         F.concat(F.lit("lab_"), "l_returnflag", F.lit(".xlsx")).alias("file_name"),
         "sheet_name", "s_nationkey", "l_orderkey", "l_partkey", "l_quantity",
@@ -56,7 +58,7 @@ def sheet_values(t: Tables) -> DataFrame:
     return dealt(b, "l_orderkey", "l_partkey").groupBy("file_name", "sheet_name", "s_nationkey", "l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("q"))
 
 
-def _part_header_values(parts: DataFrame, n_header: int):
+def _part_header_values(n_header: int):
     unit = F.when(F.col("p_size") >= 5, F.col("p_brand"))
     if n_header == 2:
         return [F.col("p_name"), unit]
@@ -68,83 +70,102 @@ def lab_cells(t: Tables, n_header: int = 2, meta: bool = False) -> DataFrame:
     """Cells of header-n sheets (or header-1 sheets described by a META sheet),
     written once to the shared checkpoint folder: like a workbook export it
     is an input table that several stages read."""
-    return cut_lineage(_lab_cells(t, n_header, meta))
+    return _written_cells(t, sheet_values(t), [(None, n_header, meta)])
 
 
-def _lab_cells(t: Tables, n_header: int, meta: bool, vals: DataFrame | None = None) -> DataFrame:
-    # Several branches read the per-cell values; Spark reuses the one
-    # aggregation exchange for all of them (measured faster than a cut here).
-    if vals is None:
-        vals = sheet_values(t)
-    first_body = n_header + 1 if not meta else 2
-    row = (F.col("l_orderkey") + first_body).cast("long")
-    col = (F.col("l_partkey") + FIRST_PART_COL).cast("long")
-    # two-decimal text of the (integral) summed quantity
-    body = _cell(vals, row, col, F.col("q").cast("decimal(18,2)").cast("string"))
-    rows = J.keyed_join(
-        dealt(vals.select("file_name", "sheet_name", "l_orderkey"), "file_name", "sheet_name", "l_orderkey").distinct(),
-        t.orders.select("o_orderkey", "o_orderdate"), ["l_orderkey"], ["o_orderkey"],
-    )
-    # kept cells of a row (date, sample id) in one pass: one struct per cell
-    kept_body = rows.select(
-        "file_name", "sheet_name", row.alias("row_idx"),
-        F.inline(F.array(
-            F.struct(F.lit(1).cast("long").alias("col_idx"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("value")),
-            F.struct(F.lit(2).cast("long").alias("col_idx"), F.col("l_orderkey").cast("string").alias("value")),
-        )),
-    ).select(*CELL_COLS)
-    sheets = vals.select("file_name", "sheet_name").distinct()
-    parts = J.keyed_join(
-        dealt(vals.select("file_name", "sheet_name", "l_partkey"), "file_name", "sheet_name", "l_partkey").distinct(),
-        t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), ["l_partkey"], ["p_partkey"],
+def _written_cells(t: Tables, vals: DataFrame, layouts: list[tuple[str | None, int, bool]]) -> DataFrame:
+    spark = vals.sparkSession
+    path = scratch_path(spark, "values")
+    cells = cut_lineage(_cells_of(t, cut_at(vals, path, free=True), layouts), free=True)
+    drop_scratch(spark, path)
+    return cells
+
+
+def _lab_cells(t: Tables, n_header: int, meta: bool) -> DataFrame:
+    # several branches read other columns of the per-cell values: written, their lines are added up once for all
+    return _cells_of(t, cut_lineage(sheet_values(t), free=True), [(None, n_header, meta)])
+
+
+def _struct(sheet, row, col, value):
+    """A cell of a file."""
+    return F.struct(
+        sheet.alias("sheet_name"),
+        (F.lit(row) if isinstance(row, int) else row).cast("long").alias("row_idx"),
+        (F.lit(col) if isinstance(col, int) else col).cast("long").alias("col_idx"),
+        (F.lit(value) if isinstance(value, str) else value).cast("string").alias("value"),
     )
-    if not meta:
-        kept_head = sheets.select(
-            "file_name", "sheet_name",
-            F.inline(F.array(*[
-                F.struct(F.lit(1).cast("long").alias("row_idx"), F.lit(c).cast("long").alias("col_idx"),
-                         F.lit(name).alias("value"))
-                for c, name in ((1, "Datum"), (2, "Probe_Nr"))
-            ])),
-        ).select(*CELL_COLS)
-        # all header rows of a column in one pass; empty header cells are absent
-        part_head = parts.select(
-            "file_name", "sheet_name", col.alias("col_idx"),
-            F.inline(F.array(*[
-                F.struct(F.lit(i + 1).cast("long").alias("row_idx"), v.cast("string").alias("value"))
-                for i, v in enumerate(_part_header_values(parts, n_header))
-            ])),
-        ).where(F.col("value").isNotNull()).select(*CELL_COLS)
-        return _union([kept_head, part_head, kept_body, body])
 
+
+def _keyed_rows(vals: DataFrame, key: str, about: DataFrame, about_key: str) -> DataFrame:
+    """``about`` for each (file, sheet, ``key``), also for a null key.  Dealt by the key alone, the rows meet
+    ``about`` where they lie."""
+    keys = vals.select("file_name", "sheet_name", key)
+    known = dealt(keys.where(F.col(key).isNotNull()), key).distinct()
+    unknown = keys.where(F.col(key).isNull()).distinct()
+    found = J.keyed_join(known, about, [key], [about_key], null_safe=False)
+    rest = J.keyed_join(unknown, about.where(F.col(about_key).isNull()), [key], [about_key])
+    return found.unionByName(rest)
+
+
+def _cells_of(t: Tables, vals: DataFrame, layouts: list[tuple[str | None, int, bool]]) -> DataFrame:
+    """Cells of the workbooks with the values ``vals``.  ``layouts`` has (file, header rows, with a META sheet) of each
+    file that ``vals`` has, or (None, ...) for all of them.  All cells of a row or column are made in one pass."""
+
+    def by_file(make):
+        if layouts[0][0] is None:
+            return make(*layouts[0][1:])
+        return F.coalesce(*[F.when(F.col("file_name") == file, make(n, meta)) for file, n, meta in layouts])
+
+    with_meta = by_file(lambda n, meta: F.lit(meta))
+    row = (F.col("l_orderkey") + by_file(lambda n, meta: F.lit(2 if meta else n + 1))).cast("long")
+    col = (F.col("l_partkey") + FIRST_PART_COL).cast("long")
+    sheet, meta_sheet = F.col("sheet_name"), F.lit("META")
+    nat = F.regexp_substr(sheet, F.lit("^[0-9]+")).cast("long")
     original = F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit(" "), F.col("p_name"))
     clean = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
-    head = [
-        _cell(sheets, 1, 1, "Datum"),
-        _cell(sheets, 1, 2, "Probe_Nr"),
-        _cell(parts, 1, col, original),
-    ]
-    kept_body = [kept_body]
-    # META sheet per file: header row, then (Sheet, OriginalName, Name) rows.
-    files = vals.select("file_name").distinct().withColumn("sheet_name", F.lit("META"))
-    meta_cells = [_cell(files, 1, i + 1, name) for i, name in enumerate(("Sheet", "OriginalName", "Name"))]
-    described = parts.select(
-        "file_name", F.lit("META").alias("sheet_name"), F.col("sheet_name").alias("__sheet"),
-        "l_partkey", original.alias("__orig"), clean.alias("__clean"),
-    )
     # META rows: 2.. for the kept columns of each sheet, 1000.. for parts;
     # unique per file because sheet codes are nation keys (< 32).
-    nat = F.regexp_substr(F.col("__sheet"), F.lit("^[0-9]+")).cast("long")
-    mrow = F.col("l_partkey") * 32 + nat + 1000
-    for i, c in enumerate(("__sheet", "__orig", "__clean")):
-        meta_cells.append(_cell(described, mrow, i + 1, F.col(c)))
-    kept_meta = sheets.select("file_name", F.lit("META").alias("sheet_name"), F.col("sheet_name").alias("__sheet"))
-    knat = F.regexp_substr(F.col("__sheet"), F.lit("^[0-9]+")).cast("long")
-    for j, name in enumerate(("Datum", "Probe_Nr")):
-        r = F.lit(2) + knat * 2 + j
-        for i, v in enumerate((F.col("__sheet"), F.lit(name), F.lit(name))):
-            meta_cells.append(_cell(kept_meta, r, i + 1, v))
-    return _union([*head, *kept_body, body, *meta_cells])
+    part_row = F.col("l_partkey") * 32 + nat + 1000
+
+    def part_cells(n, meta):
+        if not meta:
+            return F.array(*[_struct(sheet, i + 1, col, v) for i, v in enumerate(_part_header_values(n))])
+        return F.array(
+            _struct(sheet, 1, col, original),
+            *[_struct(meta_sheet, part_row, i + 1, v) for i, v in enumerate((sheet, original, clean))],
+        )
+
+    def sheet_cells(n, meta):
+        own = [_struct(sheet, 1, j + 1, name) for j, name in enumerate(KEPT_COLUMNS)]
+        described = [
+            _struct(meta_sheet, F.lit(2) + nat * 2 + j, i + 1, v)
+            for j, name in enumerate(KEPT_COLUMNS)
+            for i, v in enumerate((sheet, F.lit(name), F.lit(name)))
+        ]
+        return F.array(*own, *(described if meta else []))
+
+    # two-decimal text of the (integral) summed quantity
+    body = _cell(vals, row, col, F.col("q").cast("decimal(18,2)").cast("string"))
+    # kept cells of a row (date, sample id) in one pass: one struct per cell
+    rows = _keyed_rows(vals, "l_orderkey", t.orders.select("o_orderkey", "o_orderdate"), "o_orderkey")
+    row_cells = F.array(
+        _struct(sheet, row, 1, F.date_format("o_orderdate", "yyyy-MM-dd")),
+        _struct(sheet, row, 2, F.col("l_orderkey").cast("string")),
+    )
+    parts = _keyed_rows(vals, "l_partkey", t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), "p_partkey")
+    # empty header cells are absent; META workbooks have them
+    part_head = parts.select("file_name", F.inline(by_file(part_cells))).where(F.col("value").isNotNull() | with_meta)
+    sheets = vals.select("file_name", "sheet_name").distinct()
+    frames = [
+        sheets.select("file_name", F.inline(by_file(sheet_cells))),
+        part_head,
+        rows.select("file_name", F.inline(row_cells)),
+        body,
+    ]
+    if any(meta for _, _, meta in layouts):
+        files = vals.select("file_name").distinct().where(with_meta)
+        frames.append(files.select("file_name", F.inline(F.array(*[_struct(meta_sheet, 1, i + 1, name) for i, name in enumerate(CL.META_FIELDS)]))))
+    return _union([f.select(*CELL_COLS) for f in frames])
 
 
 _B = """
@@ -196,7 +217,7 @@ FROM b JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 # --- R-02 / J-07 (header-1 with META sheet) -------------------------------------------------
 @register("header1_cells")
 def header1_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CL.gather_with_meta(lab_cells(Tables(spark, sf_dir), meta=True), kept_map=False).drop("meta")
+    return CL.gather_with_meta(lab_cells(Tables(spark, sf_dir), meta=True), kept_map=False, meta_map=False)
 
 
 ORACLE["header1_cells"] = "WITH " + _B + """
@@ -214,7 +235,7 @@ def header1_undescribed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = lab_cells(Tables(spark, sf_dir), meta=True)
     part = F.floor((F.col("row_idx") - 1000) / 32)
     gone = (F.col("sheet_name") == "META") & (F.col("row_idx") >= 1000) & (part % 3 == 0)
-    return CL.gather_with_meta(cells.where(~gone), kept_map=False).drop("meta")
+    return CL.gather_with_meta(cells.where(~gone), kept_map=False, meta_map=False)
 
 
 ORACLE["header1_undescribed"] = "WITH " + _B + """
@@ -425,17 +446,13 @@ ARCHIVE_LAYOUTS = {"R": ("meta", 0), "A": ("header", 2), "N": ("header", 4)}
 def archive_cells(t: Tables) -> DataFrame:
     """One archive: lab_R as a META (header-1) workbook, lab_A with 2 and
     lab_N with 4 header rows -- each workbook built from its own lines."""
-    vals = sheet_values(t)
-    parts = [
-        _lab_cells(t, n or 1, kind == "meta", vals.where(F.col("file_name") == f"lab_{flag}.xlsx"))
-        for flag, (kind, n) in ARCHIVE_LAYOUTS.items()
-    ]
-    return cut_lineage(_union(parts))
+    layouts = [(f"lab_{flag}.xlsx", n or 1, kind == "meta") for flag, (kind, n) in ARCHIVE_LAYOUTS.items()]
+    return _written_cells(t, sheet_values(t).where(F.col("file_name").isin([file for file, _, _ in layouts])), layouts)
 
 
 @register("archive_import")
 def archive_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.read_archive(archive_cells(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"], kept_map=False).drop("meta")
+    return C.read_archive(archive_cells(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"], kept_map=False, meta_map=False)
 
 
 ORACLE["archive_import"] = "WITH " + _B + """
@@ -483,8 +500,8 @@ def faulty_archive(t: Tables) -> DataFrame:
 
 @register("archive_good_sheets")
 def archive_good_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long, _ = C.import_archive(faulty_archive(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"], kept_map=False)
-    return long.drop("meta")
+    long, _ = C.import_archive(faulty_archive(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"], kept_map=False, meta_map=False)
+    return long
 
 
 ORACLE["archive_good_sheets"] = (
@@ -496,7 +513,7 @@ ORACLE["archive_good_sheets"] = (
 
 @register("archive_problems")
 def archive_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.import_archive(faulty_archive(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"])[1]
+    return C.import_archive(faulty_archive(Tables(spark, sf_dir)), header4_files=["lab_N.xlsx"], kept_map=False, meta_map=False)[1]
 
 
 ORACLE["archive_problems"] = "WITH " + _B + """

@@ -242,7 +242,7 @@ def lab_archive_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = archive_cells(t)
     renamed = (F.col("file_name") == "lab_N.xlsx") & (F.col("row_idx") == 1) & (F.col("col_idx") == 1)
     cells = cells.withColumn("value", F.when(renamed, F.lit("Probenahme")).otherwise(F.col("value")))
-    long = C.read_archive(cells, header4_files=["lab_N.xlsx"], kept=("Datum", "Probenahme"), kept_map=False)
+    long = C.read_archive(cells, header4_files=["lab_N.xlsx"], kept=("Datum", "Probenahme"), kept_map=False, meta_map=False)
     lookup_para, parameters, sites, abstraction = archive_lookups(t)
     series = C.archive_timeseries(long, lookup_para, parameters, sites)
     x = C.lab_archive_yearly(series, abstraction, "Rohwasser")
